@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import view
 from checks.parameters import COUNTRY, END, HOME_PORT, MAP, PORT, START, VESSEL, mid_text
-from wakeline.functions.text import similar, similarity
+from wakeline.functions.text import is_match, lcs_length, ratio
 from wakeline.functions.values import (
     clipped_speed,
     draught_or_zero,
@@ -31,9 +31,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_settings(spark)
         self.sf_dir = sf_dir
+        self.views: dict[str, DataFrame] = {}
 
     def view(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        if name not in self.views:
+            self.views[name] = view(self.spark, self.sf_dir, name)
+        return self.views[name]
 
     @property
     def positions(self) -> DataFrame:
@@ -162,13 +165,14 @@ def _trajectory(i: Inputs) -> DataFrame:
 def _name_similarity(i: Inputs) -> DataFrame:
     links = i.vessel_links.select("page_id", F.col("name").alias("link_name"))
     names = i.view("name_register").where(F.col("name") != "").select("reg_id", "name")
-    a, b = F.lower("name"), F.lower("link_name")
-    return names.join(links, F.col("reg_id") == F.col("page_id").cast("string")).select(
+    pairs = names.join(links, F.col("reg_id") == F.col("page_id").cast("string"))
+    total = F.length("name") + F.length("link_name")
+    return pairs.withColumn("lcs", lcs_length(F.lower("name"), F.lower("link_name"))).select(
         "reg_id",
         "name",
         "link_name",
-        F.round(similarity(a, b), 6).alias("ratio"),
-        similar(a, b).alias("is_match"),
+        F.round(ratio(F.col("lcs"), total), 6).alias("ratio"),
+        is_match(F.col("lcs"), total).alias("is_match"),
     )
 
 

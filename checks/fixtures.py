@@ -5,7 +5,17 @@ The statements run unchanged on Spark and DuckDB and read the given tables whole
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ["events", "customer", "part", "pages", "documents"]
+# The given table each view is derived from.
+BASE_TABLES = {
+    "positions": "events",
+    "messages": "events",
+    "register": "customer",
+    "name_register": "part",
+    "vessel_pages": "part",
+    "raw_numbers": "part",
+    "all_pages": "pages",
+    "accented_register": "documents",
+}
 
 _MMSI = (
     "CAST(CASE {id} % 5 WHEN 0 THEN 244000000 WHEN 1 THEN 245000000 "
@@ -141,7 +151,8 @@ DUCKDB_ACCENTED = _ACCENTED.format(
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    for table in BASE_TABLES:
+    if name in BASE_TABLES:
+        table = BASE_TABLES[name]
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(SPARK_ACCENTED if name == "accented_register" else VIEWS[name])
 

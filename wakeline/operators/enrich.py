@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.text import max_edits, similar
+from wakeline.functions.text import is_match, lcs_length, letter_bits, max_edits
 from wakeline.functions.tracks import numbered
 
 # Fixed value: stands for a name without a match.
@@ -88,88 +88,91 @@ def _compatible_lengths(length: Column) -> Column:
     )
 
 
-def _segments(edits: Column, length: Column) -> Column:
-    """``edits + 1`` even segments as (number, start from zero, length)."""
+def _with_segments(lengths: DataFrame) -> DataFrame:
+    """The left name's even segments for each pair of lengths: k + 1, so that k edits
+    leave one untouched. Places count from zero."""
 
-    def segment(i: Column) -> Column:
-        start = F.floor(i * length / (edits + 1)).cast("int")
-        end = F.floor((i + 1) * length / (edits + 1)).cast("int")
-        return F.struct(i.alias("number"), start.alias("start"), (end - start).alias("size"))
+    def cut(number: Column) -> Column:
+        return F.floor(number * F.col("len_a") / (F.col("k") + 1)).cast("int")
 
-    return F.transform(F.sequence(F.lit(0), edits), segment)
+    return (
+        lengths.withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
+        .withColumn("number", F.explode(F.sequence(F.lit(0), F.col("k"))))
+        .withColumn("start", cut(F.col("number")))
+        .withColumn("size", cut(F.col("number") + 1) - F.col("start"))
+    )
+
+
+def _distinct_names(names: DataFrame, alias: str) -> DataFrame:
+    return (
+        names.select(F.lower("name").alias(alias))
+        .where(F.col(alias) != "")
+        .distinct()
+        .withColumn(f"len_{alias}", F.length(alias))
+        .withColumn(f"bits_{alias}", letter_bits(F.col(alias)))
+    )
+
+
+def _segment_keys(names: DataFrame) -> DataFrame:
+    """Each left name under its segments, for every length a match can have."""
+    lengths = F.explode(_compatible_lengths(F.col("len_a")))
+    segment = F.substring("a", F.col("start") + 1, F.col("size"))
+    return _with_segments(names.withColumn("len_b", lengths)).select(
+        "a", "bits_a", "len_a", "len_b", "k", "number", segment.alias("key")
+    )
+
+
+def _substring_keys(names: DataFrame) -> DataFrame:
+    """Each right name under the substrings that can be an untouched segment."""
+    lengths = F.explode(_compatible_lengths(F.col("len_b")))
+    longer = F.col("len_b") - F.col("len_a")
+    behind = F.col("k") - F.col("number")
+    first = F.greatest(
+        F.lit(0), F.col("start") - F.col("number"), F.col("start") + longer - behind
+    )
+    last = F.least(
+        F.col("len_b") - F.col("size"),
+        F.col("start") + F.col("number"),
+        F.col("start") + longer + behind,
+    )
+    substring = F.substring("b", F.col("at") + 1, F.col("size"))
+    return (
+        _with_segments(names.withColumn("len_a", lengths))
+        .where(first <= last)
+        .withColumn("at", F.explode(F.sequence(first, last)))
+        .select("b", "bits_b", "len_a", "len_b", "number", substring.alias("key"))
+    )
 
 
 def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of similar lower-case names from two one-column frames.
+    """Pairs of similar lower-case names from two frames with a column ``name``.
 
     Each distinct name takes part once, however many rows carry it. Two matching
     names are at most ``k`` edits apart. Cut into k + 1 segments, the left name has
     one that no edit touched, with no more than ``number`` edits before it and
     ``k - number`` behind it: the right name holds it, shifted by no more than
     that. So an equi-join on (both lengths, segment number, segment) finds every
-    match. Edit distance decides inside the join, before any pair is sent on, and
-    the ratio decides last.
+    match. Letter counts and then edit distance reject candidates inside the join,
+    and the ratio decides once per remaining pair.
     """
-    a = (
-        left.select(F.lower("name").alias("a"))
-        .where(F.col("a") != "")
-        .distinct()
-        .withColumn("len_a", F.length("a"))
-        .withColumn("len_b", F.explode(_compatible_lengths(F.col("len_a"))))
-        .withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
-        .withColumn("segment", F.explode(_segments(F.col("k"), F.col("len_a"))))
-        .select(
-            "a",
-            "len_a",
-            "len_b",
-            F.col("segment.number").alias("number"),
-            F.substring("a", F.col("segment.start") + 1, F.col("segment.size")).alias("key"),
-        )
-    )
-
-    number, start = F.col("segment.number"), F.col("segment.start")
+    # Neither side has a size bound and the segments multiply both, which size
+    # estimates miss: merge, never broadcast.
+    a = _segment_keys(_distinct_names(left, "a")).hint("merge")
+    b = _substring_keys(_distinct_names(right, "b"))
+    only_a = F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b")))
+    only_b = F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a")))
     longer = F.col("len_b") - F.col("len_a")
-    behind = F.col("k") - number
-    first = F.greatest(F.lit(0), start - number, start + longer - behind)
-    last = F.least(
-        F.col("len_b") - F.col("segment.size"), start + number, start + longer + behind
-    )
-    b = (
-        right.select(F.lower("name").alias("b"))
-        .where(F.col("b") != "")
-        .distinct()
-        .withColumn("len_b", F.length("b"))
-        .withColumn("len_a", F.explode(_compatible_lengths(F.col("len_b"))))
-        .withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
-        .withColumn("segment", F.explode(_segments(F.col("k"), F.col("len_a"))))
-        .withColumn("first", first)
-        .withColumn("last", last)
-        .where("first <= last")
-        .withColumn(
-            "keys",
-            F.array_distinct(
-                F.transform(
-                    F.sequence("first", "last"),
-                    lambda at: F.substring(F.col("b"), at + 1, F.col("segment.size")),
-                )
-            ),
-        )
-        .select("b", "len_a", "len_b", number.alias("number"), F.explode("keys").alias("key"))
-    )
-
-    edits = max_edits(a["len_a"], a["len_b"])
-    near = F.call_function("levenshtein", a["a"], b["b"], edits) >= 0
-    same_key = (
-        (a["len_a"] == b["len_a"])
-        & (a["len_b"] == b["len_b"])
-        & (a["number"] == b["number"])
-        & (a["key"] == b["key"])
-    )
+    few_letters = (2 * only_a <= F.col("k") - longer) & (2 * only_b <= F.col("k") + longer)
+    few_edits = F.call_function("levenshtein", "a", "b", "k") >= 0
+    near = F.when(few_letters, few_edits).otherwise(F.lit(False))
     return (
-        a.join(b, same_key & near)
+        a.join(b, ["len_a", "len_b", "number", "key"])
+        .where(near)
+        .groupBy("a", "b")
+        .agg(F.max(F.col("len_a") + F.col("len_b")).alias("total_length"))
+        # With the aggregate in it this filter stays above the grouping.
+        .where(is_match(lcs_length(F.col("a"), F.col("b")), F.col("total_length")))
         .select("a", "b")
-        .distinct()
-        .where(similar(F.col("a"), F.col("b")))
     )
 
 
@@ -205,6 +208,14 @@ def match_lists(names: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def with_scrape_columns(register: DataFrame) -> DataFrame:
+    """The register with the columns of an earlier completion, empty on the first one."""
+    wanted = ["mmsi", *(f"{c}_scrape" for c in _SCRAPED)]
+    return register.withColumns(
+        {c: F.lit(None).cast("string") for c in wanted if c not in register.columns}
+    )
+
+
 def fuzzy_register_match(register: DataFrame, links: DataFrame) -> DataFrame:
     """Add name_scrape, imo_scrape and mmsi_scrape: all matches in page order.
 
@@ -230,11 +241,11 @@ def fuzzy_register_match(register: DataFrame, links: DataFrame) -> DataFrame:
 
 def register_update(matched: DataFrame) -> DataFrame:
     """Fill missing identities from a single match; several matches are only flagged."""
-    missing = F.col("mmsi").isNull()
+    missing = F.col("mmsi").try_cast("int").isNull()
     several = (F.col("n_matches") > 1) | (F.col("list_part") > 0)
     single = F.when((F.col("n_matches") == 1) & ~several, F.col("mmsi_scrape").try_cast("int"))
     return (
         matched.withColumn("ambiguous", missing & several)
-        .withColumn("mmsi", F.coalesce("mmsi", single))
+        .withColumn("mmsi", F.coalesce(F.col("mmsi").try_cast("int"), single))
         .drop("n_matches")
     )
