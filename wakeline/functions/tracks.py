@@ -25,6 +25,22 @@ def slice_start(epoch: Column, spread: list[str], seconds: int = SLICE_SECONDS)
     return F.coalesce(epoch - F.pmod(epoch, F.lit(seconds)), timeless)
 
 
+def with_slice(
+    rows: DataFrame, epoch: Column, spread: list[str], seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    return rows.withColumn("slice", slice_start(epoch, spread, seconds))
+
+
+def spread_slices(sliced: DataFrame) -> DataFrame:
+    """Send each slice to its own place.
+
+    A window by (mmsi, slice) is content with rows that an earlier join already put
+    together by mmsi, and would leave a large vessel in one task. Where no such join
+    was, this is the shuffle the window needs anyway.
+    """
+    return sliced.repartition("mmsi", "slice")
+
+
 def inside_slice(order: list[str]) -> Window:
     return Window.partitionBy("mmsi", "slice").orderBy(*order)
 
@@ -46,7 +62,8 @@ def with_next(
         .select("mmsi", "slice", F.lead("_edge").over(across_slices()).alias("_far"))
     )
     return (
-        rows.withColumn("_near", F.lead(value).over(inside_slice(order)))
+        spread_slices(rows)
+        .withColumn("_near", F.lead(value).over(inside_slice(order)))
         .join(heads, ["mmsi", "slice"], "left")
         .withColumn(alias, F.coalesce("_near", "_far"))
         .drop("_near", "_far")
@@ -63,7 +80,8 @@ def with_previous(
         .select("mmsi", "slice", F.lag("_edge").over(across_slices()).alias("_far"))
     )
     return (
-        rows.withColumn("_near", F.lag(value).over(inside_slice(order)))
+        spread_slices(rows)
+        .withColumn("_near", F.lag(value).over(inside_slice(order)))
         .join(tails, ["mmsi", "slice"], "left")
         .withColumn(alias, F.coalesce("_near", "_far"))
         .drop("_near", "_far")
@@ -89,7 +107,8 @@ def numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     )
     rank = F.row_number().over(Window.partitionBy(*group, "slice").orderBy(*order))
     return (
-        rows.withColumn("_rank", rank)
+        rows.repartition(*group, "slice")
+        .withColumn("_rank", rank)
         .join(offsets, [*group, "slice"])
         .withColumn("position", F.col("_before") + F.col("_rank") - 1)
         .drop("_before", "_rank")

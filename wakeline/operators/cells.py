@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import Box, grid
-from wakeline.functions.tracks import SLICE_SECONDS, numbered, slice_start
+from wakeline.functions.tracks import SLICE_SECONDS, numbered, with_slice
 
 # The published map windows.
 TRAFFIC_WINDOW = Box(2.0, 50.0, 8.0, 55.0)
@@ -69,11 +69,9 @@ def vessel_trajectory(
     """
     if part_seconds % slice_seconds:
         raise ValueError("part_seconds must be a multiple of slice_seconds")
-    sliced = (
-        track.where("on_track")
-        .withColumn("slice", slice_start(F.col("time"), ["lon", "lat"], slice_seconds))
-        .withColumn("part_start", F.col("slice") - F.pmod("slice", F.lit(part_seconds)))
-    )
+    sliced = with_slice(
+        track.where("on_track"), F.col("time"), ["lon", "lat"], slice_seconds
+    ).withColumn("part_start", F.col("slice") - F.pmod("slice", F.lit(part_seconds)))
     places = numbered(sliced, ["mmsi", "part_start"], ["time", "lon", "lat"])
     coordinates = F.array_join(
         F.transform(

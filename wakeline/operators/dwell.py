@@ -8,8 +8,9 @@ from wakeline.functions.tracks import (
     SLICE_SECONDS,
     across_slices,
     inside_slice,
-    slice_start,
+    spread_slices,
     with_next,
+    with_slice,
 )
 from wakeline.functions.values import epoch_seconds, hours
 from wakeline.operators.fleet import of_vessels
@@ -37,11 +38,8 @@ def gap_time(
     # Copies of a report collapse before anything is shuffled by vessel. All but one
     # of them have a gap of zero.
     distinct = reports.groupBy("mmsi", *TIE_BREAK).agg(F.count("*").alias("copies"))
-    sliced = distinct.withColumn(
-        "slice",
-        slice_start(F.unix_seconds("timestamp"), ["lon", "lat", "speed"], slice_seconds),
-    )
     seconds = F.unix_seconds("timestamp")
+    sliced = spread_slices(with_slice(distinct, seconds, ["lon", "lat", "speed"], slice_seconds))
     gap = F.lead(seconds).over(inside_slice(TIE_BREAK)) - seconds
     zero_of_copies = F.when((F.col("copies") > 1) & F.col("timestamp").isNotNull(), F.lit(0))
     per_slice = (
@@ -110,9 +108,8 @@ def _distinct_gaps(reports: DataFrame, slice_seconds: int) -> DataFrame:
     rest = [c for c in reports.columns if c not in ("mmsi", *TIE_BREAK)]
     order = [*TIE_BREAK, *rest]
     distinct = reports.groupBy(*reports.columns).agg(F.count("*").alias("copies"))
-    sliced = distinct.withColumn(
-        "slice",
-        slice_start(F.unix_seconds("timestamp"), ["lon", "lat", "speed"], slice_seconds),
+    sliced = with_slice(
+        distinct, F.unix_seconds("timestamp"), ["lon", "lat", "speed"], slice_seconds
     )
     linked = with_next(
         sliced, order, F.col("timestamp"), F.min("timestamp"), "next_timestamp"

@@ -8,8 +8,9 @@ from wakeline.functions.tracks import (
     SLICE_SECONDS,
     across_slices,
     inside_slice,
-    slice_start,
+    spread_slices,
     with_previous,
+    with_slice,
 )
 from wakeline.functions.values import clipped_speed, draught_or_zero, epoch_seconds
 
@@ -63,12 +64,6 @@ def track_reports(reports: DataFrame) -> DataFrame:
     )
 
 
-def _sliced(track: DataFrame, slice_seconds: int) -> DataFrame:
-    return track.withColumn(
-        "slice", slice_start(F.col("time"), ["lon", "lat"], slice_seconds)
-    )
-
-
 def speed_stats(track: DataFrame) -> DataFrame:
     return track.groupBy("mmsi").agg(
         F.max("speed").alias("speed_max"),
@@ -105,7 +100,9 @@ def track_endpoints(track: DataFrame) -> DataFrame:
 
 def track_steps(track: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Each place on the track with the one before it."""
-    places = _sliced(track.where("on_track"), slice_seconds)
+    places = with_slice(
+        track.where("on_track"), F.col("time"), ["lon", "lat"], slice_seconds
+    )
     linked = with_previous(
         places,
         _TRACK_ORDER,
@@ -152,7 +149,7 @@ def _movement(track: DataFrame, slice_seconds: int) -> DataFrame:
     ).otherwise(F.lit(0.0))
     point = F.when(F.col("on_track"), F.struct(*_TRACK_ORDER))
     per_slice = (
-        _sliced(track, slice_seconds)
+        spread_slices(with_slice(track, F.col("time"), ["lon", "lat"], slice_seconds))
         .withColumn("km", inside_km)
         .groupBy("mmsi", "slice")
         .agg(

@@ -74,15 +74,13 @@ def fleet_statistics(
 
 def register_statistics(spark: SparkSession, register_path: str, out: str) -> None:
     by_port = registry.register_by_port(scan_register(spark, register_path))
-    write_result(by_port, out, order=["port_code"])
+    write_result(by_port, out, files=None)
 
 
 def trip(spark: SparkSession, positions_path: str, mmsi: int, port: Box, out: str) -> None:
     """One vessel's reports at sea, in order of time over all files."""
     positions = read_positions(spark, positions_path, None)
-    write_result(
-        dwell.vessel_trip(positions, [mmsi], port), out, order=["time", "lon", "lat", "speed"]
-    )
+    write_result(dwell.vessel_trip(positions, [mmsi], port), out, files=None)
 
 
 def maps(spark: SparkSession, positions_path: str, out: str, mmsi: int | None = None) -> None:

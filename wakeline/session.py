@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split them also where the split costs a later shuffle: a fleet too large to
+    # broadcast is joined by mmsi, and one vessel can hold much of the reports.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -4,21 +4,14 @@ from pyspark.sql import DataFrame
 
 
 def write_result(
-    result: DataFrame,
-    path: str,
-    fmt: str = "csv",
-    files: int = 5,
-    order: list[str] | None = None,
-    **options,
+    result: DataFrame, path: str, fmt: str = "csv", files: int | None = 5, **options
 ) -> None:
     """Overwrite ``path`` with ``files`` files.
 
-    With ``order`` the files follow each other in that order: sorting first and
-    repartitioning afterwards would lose it.
+    ``files=None`` writes the result as it is partitioned: the files of a sorted
+    result then follow each other in its order, which spreading it would lose.
     """
-    if order:
-        result = result.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    else:
+    if files is not None:
         result = result.repartition(files)
     if fmt == "csv":
         options = {"header": True, **options}
