@@ -42,13 +42,11 @@ WITH base AS (
     CAST(event_id % 16 AS INT) AS status,
     date_trunc('SECOND', ts) AS timestamp
   FROM events)
-SELECT mmsi, lon, lat, accuracy, speed, course, rotation, status, timestamp FROM base
-UNION ALL
-SELECT mmsi, lon, lat, accuracy, speed + CAST(0.25 AS DOUBLE), course, rotation, status,
-  timestamp FROM base WHERE event_type = 'error'
-UNION ALL
-SELECT mmsi, lon, lat, accuracy, speed, course, rotation, status, timestamp
-FROM base WHERE event_type = 'signup'
+SELECT mmsi, lon, lat, accuracy, speed + coalesce(extra, CAST(0 AS DOUBLE)) AS speed,
+  course, rotation, status, timestamp
+FROM base LEFT JOIN (VALUES ('error', CAST(0 AS DOUBLE)), ('error', CAST(0.25 AS DOUBLE)),
+  ('signup', CAST(0 AS DOUBLE)), ('signup', CAST(0 AS DOUBLE))) AS copies(kind, extra)
+  ON event_type = kind
 """
 
 # Missing draughts, fishing and other ship types, digits with and without a country.

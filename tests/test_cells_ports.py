@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ def test_trajectory_parts_are_whole_and_bounded(reports):
     assert points[2] == ["4.0000 51.0000"]
 
 
-def test_positions_by_port_equal_all_comparisons(spark, reports):
+@pytest.mark.parametrize("limit, join", [(200_000, "BroadcastHashJoin"), (10, "SortMergeJoin")])
+def test_positions_by_port_equal_all_comparisons(spark, reports, monkeypatch, limit, join):
+    monkeypatch.setattr(ports, "MAX_BROADCAST_CELLS", limit)
     rng = random.Random(5)
     rows = [
         (i, 0, rng.choice([None, round(rng.uniform(-2, 2), 2)]), round(rng.uniform(50, 52), 2), 1.0)
@@ -62,6 +65,7 @@ def test_positions_by_port_equal_all_comparisons(spark, reports):
         boxes, "port_code string, west double, south double, east double, north double"
     )
     got = ports.positions_by_port(reports(rows), df).select("port_code", "mmsi")
+    assert join in got._jdf.queryExecution().executedPlan().toString()
     expected = sorted(
         (code, m)
         for code, w, s, e, n in boxes

@@ -44,28 +44,35 @@ def _inside_container(html: Column, container: str) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    quoted = rf"""(?i)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    values = [F.regexp_extract(tag, quoted, group) for group in (1, 2, 3)]
-    return F.when(tag.rlike(quoted), F.concat(*values))
+    """Value of an attribute, quoted or not; empty where there is none."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:(["'])(.*?)\1|([^\s"'>]+))"""
+    return F.concat(F.regexp_extract(tag, pattern, 2), F.regexp_extract(tag, pattern, 3))
 
 
 def page_links(
     pages: DataFrame, container: str = "tbody", css_class: str | None = "ship-link"
 ) -> DataFrame:
-    """Targets of the links of a class inside a container, with their place on the page."""
-    tags = F.regexp_extract_all("piece", F.lit(r"(?i)<a\s[^>]*>"), F.lit(0))
-    links = (
+    """Targets of the links of a class inside a container, with their place on the page.
+
+    ``part`` and ``pos`` order the links of a page.
+    """
+
+    def wanted(tag: Column) -> Column:
+        classes = F.split(_attribute(tag, "class"), r"\s+")
+        return F.lit(True) if css_class is None else F.array_contains(classes, css_class)
+
+    tags = F.filter(F.regexp_extract_all("piece", F.lit(r"(?i)<a\s[^>]*>"), F.lit(0)), wanted)
+    targets = F.transform(tags, lambda tag: _attribute(tag, "href"))
+    # The outer forms, as for the others Spark tests the array before it unfolds it and
+    # would compute it several times.
+    return (
         pages.select(
             "page_id",
-            F.posexplode(_inside_container(F.col("html"), container)).alias("part", "piece"),
+            F.posexplode_outer(_inside_container(F.col("html"), container)).alias("part", "piece"),
         )
-        .select("page_id", "part", F.posexplode(tags).alias("pos", "tag"))
-        .withColumn("href", _attribute(F.col("tag"), "href"))
+        .select("page_id", "part", F.posexplode_outer(targets).alias("pos", "href"))
+        .where(F.col("href") != "")
     )
-    if css_class is not None:
-        classes = F.split(_attribute(F.col("tag"), "class"), r"\s+")
-        links = links.where(F.array_contains(classes, css_class))
-    return links.where(F.col("href").isNotNull()).select(*_LINK_ORDER, "href")
 
 
 def vessel_links(links: DataFrame) -> DataFrame:
@@ -166,7 +173,8 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     few_edits = F.call_function("levenshtein", "a", "b", "k") >= 0
     near = F.when(few_letters, few_edits).otherwise(F.lit(False))
     return (
-        a.join(b, ["len_a", "len_b", "number", "key"])
+        # The segment first: it tells rows apart best, which sorting is quicker with.
+        a.join(b, ["key", "number", "len_a", "len_b"])
         .where(near)
         .groupBy("a", "b")
         .agg(F.max(F.col("len_a") + F.col("len_b")).alias("total_length"))

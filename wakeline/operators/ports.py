@@ -5,30 +5,45 @@ from pyspark.sql import functions as F
 
 CELL_DEGREES = 0.1
 
+# Some 60 bytes each, so at most about 12 MB on every executor.
+MAX_BROADCAST_CELLS = 200_000
+
+
+def _cell(coordinate: str, cell_degrees: float):
+    return F.floor(F.col(coordinate) / cell_degrees)
+
+
+def port_cells(ports: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
+    """Each port once for every grid cell its box touches."""
+    columns = F.sequence(_cell("west", cell_degrees), _cell("east", cell_degrees))
+    rows = F.sequence(_cell("south", cell_degrees), _cell("north", cell_degrees))
+    return (
+        ports.where("west <= east and south <= north")
+        .withColumn("cell_x", F.explode(columns))
+        .withColumn("cell_y", F.explode(rows))
+    )
+
 
 def positions_by_port(
     positions: DataFrame, ports: DataFrame, cell_degrees: float = CELL_DEGREES
 ) -> DataFrame:
     """Each position once per port whose closed box contains it.
 
-    Ports are listed under every grid cell their box touches, so candidates meet by
-    an equi-join on the cell and the box test decides. Spark broadcasts the port
-    cells while they are small; beyond that the join shuffles, and adaptive
+    Candidates meet by an equi-join on the grid cell, and the box test decides. The
+    cells of wide boxes are many and no estimate sees them, so they are counted, up
+    to the limit, before they are broadcast. Beyond it the join merges, and adaptive
     execution splits the cells with very many positions.
     """
-
-    def cell(coordinate):
-        return F.floor(F.col(coordinate) / cell_degrees)
-
-    cells = ports.withColumn(
-        "cell_x", F.explode(F.sequence(cell("west"), cell("east")))
-    ).withColumn("cell_y", F.explode(F.sequence(cell("south"), cell("north"))))
-    located = positions.withColumn("cell_x", cell("lon")).withColumn("cell_y", cell("lat"))
+    cells = port_cells(ports, cell_degrees)
+    few = cells.limit(MAX_BROADCAST_CELLS + 1).count() <= MAX_BROADCAST_CELLS
+    located = positions.withColumn("cell_x", _cell("lon", cell_degrees)).withColumn(
+        "cell_y", _cell("lat", cell_degrees)
+    )
     inside = F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(
         F.col("south"), F.col("north")
     )
     return (
-        located.join(cells, ["cell_x", "cell_y"])
+        located.join(F.broadcast(cells) if few else cells.hint("merge"), ["cell_x", "cell_y"])
         .where(inside)
         .select("port_code", *positions.columns)
     )
