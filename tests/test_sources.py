@@ -8,6 +8,7 @@ from wakeline.functions.geo import Box
 from wakeline.functions.values import parse_double, parse_int
 from wakeline.operators import flags, registry
 from wakeline.plans import jobs
+from wakeline.plans.__main__ import run
 from wakeline.sources import ais, register
 from wakeline.sources.mid import bounded, mid_table, parse_mid_text
 from wakeline.sources.sinks import write_result
@@ -135,6 +136,16 @@ def test_fleet_statistics_job(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/maps/traffic_cells", header=True).count() == 3
 
 
+def test_jobs_from_the_command_line(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("mmsi;port_code;ton_gt;power_main\n10;YE;1;2\n11;YE;3;4\n")
+    run(spark, "register_statistics", [f"{tmp_path}/r.csv", f"{tmp_path}/out"])
+    (row,) = spark.read.csv(f"{tmp_path}/out", header=True).collect()
+    assert tuple(row) == ("YE", "2", "4.00", "6.00")
+    (tmp_path / "p.csv").write_text(HEADER + "10,4.5,51.5,1,1.0,0,0,0,2016-01-01 00:00:00\n")
+    run(spark, "trip", [f"{tmp_path}/p.csv", "10", "5,51,6,52", f"{tmp_path}/trip"])
+    assert spark.read.csv(f"{tmp_path}/trip", header=True).count() == 1
+
+
 def test_complete_register_job(spark, tmp_path):
     (tmp_path / "r.csv").write_bytes("Vessel;cfr\nZeehond é;1\nHaring;2\n".encode("latin-1"))
     html = '<tbody><a class="ship-link" href="/vessels/ZEEHOND é-IMO-9-MMSI-244000001">x</a></tbody>'
