@@ -104,6 +104,12 @@ def _rounded(result: DataFrame, *columns: str) -> DataFrame:
     return result.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def _rounded_mean(result: DataFrame, column: str) -> DataFrame:
+    """Speeds have few digits, so a mean can lie exactly between two rounded values,
+    where the order of addition would decide in either engine. The SQL shifts alike."""
+    return result.withColumn(column, F.round(F.col(column) + F.lit(1e-9), 6))
+
+
 def _scan_positions(i: Inputs) -> DataFrame:
     path = i.written("positions")
     i.positions.write.csv(path, header=True, compression="gzip")
@@ -154,7 +160,7 @@ def _register_by_port(i: Inputs) -> DataFrame:
 
 def _movement_report(i: Inputs) -> DataFrame:
     report = movement.movement_report(i.at_sea, i.fleet_messages)
-    return _rounded(report, "draught_avg_meters", "speed_avg", "distance_km")
+    return _rounded_mean(_rounded(report, "draught_avg_meters", "distance_km"), "speed_avg")
 
 
 def _trajectory(i: Inputs) -> DataFrame:
@@ -232,7 +238,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         movement.draught_stats(i.fleet_messages), "draught_avg_meters"
     ),
     "dedup_reports": lambda i: _epoch(movement.dedup_reports(i.at_sea)),
-    "speed_stats": lambda i: _rounded(movement.speed_stats(i.track), "speed_avg"),
+    "speed_stats": lambda i: _rounded_mean(movement.speed_stats(i.track), "speed_avg"),
     "movement_extent": lambda i: movement.movement_extent(i.track),
     "track_endpoints": lambda i: movement.track_endpoints(i.track),
     "track_steps": lambda i: i.steps,

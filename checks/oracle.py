@@ -264,7 +264,7 @@ def statements() -> dict[str, str]:
         ),
         "speed_stats": _sea(
             f"{_TRACK_CTE} SELECT mmsi, max(speed) AS speed_max, min(speed) AS speed_min, "
-            "round(avg(speed), 6) AS speed_avg FROM track GROUP BY mmsi"
+            "round(avg(speed) + 1e-9, 6) AS speed_avg FROM track GROUP BY mmsi"
         ),
         "movement_extent": _sea(
             f"{_TRACK_CTE} SELECT mmsi, max(lat) AS lat_max, min(lat) AS lat_min, "
@@ -298,7 +298,7 @@ def statements() -> dict[str, str]:
             "arg_max(lat, (time, lon, lat)) AS last_lat, arg_max(lon, (time, lon, lat)) AS last_lon "
             "FROM steps GROUP BY mmsi), "
             "figures AS (SELECT mmsi, max(speed) AS speed_max, min(speed) AS speed_min, "
-            "round(avg(speed), 6) AS speed_avg, max(lat) AS lat_max, min(lat) AS lat_min, "
+            "round(avg(speed) + 1e-9, 6) AS speed_avg, max(lat) AS lat_max, min(lat) AS lat_min, "
             "max(lon) AS lon_max, min(lon) AS lon_min, count(*) AS n_records "
             "FROM track GROUP BY mmsi), "
             "draughts AS (SELECT mmsi, round(avg(coalesce(draught, 0.0)) / 10, 6) "
