@@ -3,10 +3,18 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -17,8 +25,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return encode_documents(docs, _vocabulary("byte_bpe_50k.tiktoken")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup,)}
+    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe)}
 
 
 def statements() -> dict[str, str]:
