@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
+from wakeline.llm.quality_rules import quality_rules, train
 
 
 def _vocabulary(name: str) -> str:
@@ -35,8 +36,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    classifier = train(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules(docs, classifier)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe)}
+    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe, op8_quality_rules)}
 
 
 def statements() -> dict[str, str]:
