@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
 from wakeline.llm.quality_rules import quality_rules, train
+from wakeline.llm.tables import let_workers_import
 
 
 def _vocabulary(name: str) -> str:
@@ -17,6 +18,7 @@ def _vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

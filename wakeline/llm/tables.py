@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,16 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers on the driver's machine find the package wherever they start.
+
+    A cluster gets it with --py-files, as any package.
+    """
+    if spark.sparkContext.master.startswith("local"):
+        root = str(Path(__file__).resolve().parents[2])
+        spark.sparkContext.environment["PYTHONPATH"] = root
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it again.
 
