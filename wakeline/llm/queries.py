@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
+from wakeline.llm.extraction import extract_main_text
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.tables import let_workers_import
 
@@ -44,8 +45,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, classifier)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe, op8_quality_rules)}
+    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe, op8_quality_rules, op10_html_extraction)}
 
 
 def statements() -> dict[str, str]:
