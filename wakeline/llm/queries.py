@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
 from wakeline.llm.extraction import extract_main_text
+from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.tables import let_workers_import
 
@@ -23,6 +24,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    pieces = token_pieces(docs, _vocabulary("word_bpe_49k.json"))
+    return pack(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -50,7 +59,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op7_bpe, op8_quality_rules, op10_html_extraction)}
+    found = [
+        op2_best_fit_packing,
+        op3_exact_dedup,
+        op7_bpe,
+        op8_quality_rules,
+        op10_html_extraction,
+    ]
+    return {f.__name__: f for f in found}
 
 
 def statements() -> dict[str, str]:
