@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
 from wakeline.llm.extraction import extract_main_text
+from wakeline.llm.near_dedup import near_duplicates
 from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.tables import let_workers_import
@@ -38,6 +39,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return encode_documents(docs, _vocabulary("byte_bpe_50k.tiktoken")).select(
@@ -62,6 +67,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op2_best_fit_packing,
         op3_exact_dedup,
+        op6_near_dedup,
         op7_bpe,
         op8_quality_rules,
         op10_html_extraction,
