@@ -11,6 +11,7 @@ from wakeline.llm.extraction import extract_main_text
 from wakeline.llm.near_dedup import near_duplicates
 from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
+from wakeline.llm.repeats import remove_repeats
 from wakeline.llm.tables import let_workers_import
 
 
@@ -39,6 +40,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
@@ -67,6 +74,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op2_best_fit_packing,
         op3_exact_dedup,
+        op5_suffix_array_dedup,
         op6_near_dedup,
         op7_bpe,
         op8_quality_rules,

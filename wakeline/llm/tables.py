@@ -41,8 +41,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Start of each text and the bytes of all; a missing text is empty."""
-    column = column.fill_null("") if column.null_count else column
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_binary())
+    column = column.fill_null(b"") if column.null_count else column
     starts = np.frombuffer(column.buffers()[1], np.int64)[
         column.offset : column.offset + len(column) + 1
     ]
