@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from wakeline.llm.bpe import encode_documents, ids_digest
 from wakeline.llm.exact_dedup import exact_duplicates
 from wakeline.llm.extraction import extract_main_text
+from wakeline.llm.licenses import license_scan
 from wakeline.llm.near_dedup import near_duplicates
 from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.repeats import remove_repeats
+from wakeline.llm.resampling import importance_sample, quality_share, target_documents
 from wakeline.llm.tables import let_workers_import
+from wakeline.llm.token_counts import token_counts
 
 
 def _vocabulary(name: str) -> str:
@@ -26,6 +29,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: source, language, a thousand ids, doc_id."""
+    docs = _table(spark, sf_dir, "documents")
+    thousand = F.floor(F.col("doc_id") / 1000)
+    files = docs.select(
+        F.concat_ws("/", "source", "lang", thousand, "doc_id").alias("path"), "text"
+    )
+    doc_id = F.element_at(F.split("path", "/"), -1).cast("long")
+    licensed_by = F.element_at(F.split("licensed_by", "/"), -1).cast("long")
+    return license_scan(files).select(
+        doc_id.alias("doc_id"), "path", "license", "score", "found",
+        licensed_by.alias("licensed_by"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = token_pieces(docs, _vocabulary("word_bpe_49k.json"))
@@ -40,6 +58,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return importance_sample(docs, target_documents(docs, labels), quality_share(labels))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -66,18 +89,25 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, classifier)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_license_scan,
         op2_best_fit_packing,
         op3_exact_dedup,
+        op4_quality_classifier,
         op5_suffix_array_dedup,
         op6_near_dedup,
         op7_bpe,
         op8_quality_rules,
+        op9_token_counts,
         op10_html_extraction,
     ]
     return {f.__name__: f for f in found}
