@@ -15,6 +15,10 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(normalised(text), 256)
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, and the digest and length of the normalised text."""
     text = docs.select("doc_id", normalised(F.col("text")).alias("text"))

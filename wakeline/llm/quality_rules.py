@@ -1,12 +1,13 @@
 """Quality rules: base counts, and a calibrated n-gram classifier in Arrow batches."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.llm.rolling import byte_values, mixed, window_hashes
 from wakeline.llm.tables import slices, utf8
@@ -221,9 +222,9 @@ def quality_rules(
     docs: DataFrame,
     classifier: Classifier | None,
     threshold: float = THRESHOLD,
-    id_type: str = "long",
+    carry: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """doc_id, the base counts, base_failed, the probability of quality, and kept.
+    """The columns of ``carry``, the base counts, base_failed, the probability of quality, and kept.
 
     Every row gives one row, repeated or without doc_id too. A missing text is empty:
     it has no words and fails the base rules. Without a classifier (no labels, or one
@@ -242,16 +243,26 @@ def quality_rules(
                     classifier.probability(scores(classifier, starts, data, words))
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(counts[c]) for c in _COUNTS), probability],
-                ["doc_id", *_COUNTS, "probability"],
+                [
+                    *(batch.column(c) for c in carry),
+                    *(pa.array(counts[c]) for c in _COUNTS),
+                    probability,
+                ],
+                [*carry, *_COUNTS, "probability"],
             )
 
-    counts = ", ".join(f"{c} long" for c in _COUNTS)
+    chosen = docs.select(*carry, F.col("text").alias("text"))
+    schema = T.StructType(
+        [
+            *chosen.schema.fields[:-1],
+            *(T.StructField(c, T.LongType()) for c in _COUNTS),
+            T.StructField("probability", T.DoubleType()),
+        ]
+    )
     repeats = 100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     good = F.coalesce(F.col("probability") >= threshold, F.lit(True))
     return (
-        docs.select("doc_id", "text")
-        .mapInArrow(judged, f"doc_id {id_type}, {counts}, probability double")
+        chosen.mapInArrow(judged, schema)
         .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | repeats)
         .withColumn("kept", ~F.col("base_failed") & good)
     )

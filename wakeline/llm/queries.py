@@ -18,7 +18,7 @@ from wakeline.llm.tables import let_workers_import
 from wakeline.llm.token_counts import token_counts
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -46,7 +46,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    pieces = token_pieces(docs, _vocabulary("word_bpe_49k.json"))
+    pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"))
     return pack(
         pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     )
@@ -75,7 +75,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return encode_documents(docs, _vocabulary("byte_bpe_50k.tiktoken")).select(
+    return encode_documents(docs, vocabulary("byte_bpe_50k.tiktoken")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         ids_digest(F.col("ids")).alias("ids_sha256"),
@@ -90,7 +90,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return token_counts(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,14 @@ rank of the sample (its hash), one bucket of ranks at a time; ties are resolved
 hash of the whole run. Only where runs of one rank differ are single strings compared.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.llm.rolling import byte_values, mixed, sliding_minimum, window_hashes
 from wakeline.llm.tables import slices, utf8, written
@@ -197,8 +198,8 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried, told = {c: v[keep] for c, v in columns.items()}, reported[keep]
 
 
-def _compressed(docs: DataFrame) -> DataFrame:
-    """doc_id and the compressed text, for shuffles of whole texts."""
+def _compressed(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """doc_id, the compressed text and the carried columns, for shuffles of whole texts."""
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
@@ -210,10 +211,19 @@ def _compressed(docs: DataFrame) -> DataFrame:
                 for a, b in zip(places, places[1:], strict=False)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"]
+                [
+                    batch.column("doc_id"),
+                    pa.array(texts, pa.binary()),
+                    *(batch.column(c) for c in carry),
+                ],
+                ["doc_id", "packed", *carry],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(compress, "doc_id long, packed binary")
+    carried = docs.select(*carry).schema.fields
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("packed", T.BinaryType()), *carried]
+    )
+    return docs.select("doc_id", "text", *carry).mapInArrow(compress, schema)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +312,8 @@ def repeated_strings(docs: DataFrame, compressed: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("rank", "first", "size")).alias("runs"))
     )
     compared = written(
-        compressed.join(wanted, "doc_id")
+        compressed.select("doc_id", "packed")
+        .join(wanted, "doc_id")
         .mapInArrow(
             _contexts, "rank long, doc_id long, first long, size int, context binary"
         )
@@ -325,9 +336,11 @@ def repeated_strings(docs: DataFrame, compressed: DataFrame) -> DataFrame:
     return found[0].select(*columns).unionAll(found[1].select(*columns)).unionAll(late)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, and kept (binary): what is left of each text.
 
+    The columns of ``carry`` come along.
+
     A byte goes when a string of LENGTH bytes that covers it also starts earlier, in a
     document with a smaller doc_id or before it in the same one. Strings are judged on
     the input. What is left of a text need not be valid UTF-8. Missing texts count as
@@ -336,8 +349,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     same place; with different texts the spans found for either hold for both. Other
     columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    compressed = _compressed(docs)
+    docs = docs.select(F.col("doc_id").cast("long"), "text", *carry)
+    compressed = _compressed(docs, carry)
     spans = (
         repeated_strings(docs, compressed)
         .groupBy("doc_id")
@@ -369,10 +382,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     batch.column("doc_id"),
                     *(pa.array(list(c), pa.int64()) for c in zip(*counts, strict=True)),
                     pa.array(kept, pa.binary()),
+                    *(batch.column(c) for c in carry),
                 ],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry],
             )
 
-    return compressed.join(spans, "doc_id", "left").mapInArrow(
-        removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = T.StructType(
+        [
+            *(T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")),
+            T.StructField("kept", T.BinaryType()),
+            *docs.select(*carry).schema.fields,
+        ]
     )
+    return compressed.join(spans, "doc_id", "left").mapInArrow(removed, schema)
