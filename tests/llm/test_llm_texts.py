@@ -1,0 +1,305 @@
+"""Operators on single texts against brute force and the tokenizer libraries."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from llm_rows import given_docs, llm_spark, make_docs, tricky_rows  # noqa: F401
+from pyspark.sql import functions as F
+
+from wakeline.llm import quality_rules as rules
+from wakeline.llm.bpe import encode_documents, ids_digest
+from wakeline.llm.extraction import extract_main_text, main_text
+from wakeline.llm.packing import best_fit, pack, token_pieces
+from wakeline.llm.repeats import remove_repeats
+from wakeline.llm.token_counts import SegmentCounter, ordinary_pieces, token_counts
+
+SF = "/root/testdata/sf0.001"
+
+
+def tokenizer(name):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path(name))
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+def given_rows(given_docs):
+    return [tuple(r) for r in given_docs.select("doc_id", "text").collect()]
+
+
+def as_sorted(rows):
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+def test_bpe_equals_the_library(make_docs, given_docs):
+    rows = tricky_rows() + given_rows(given_docs)
+    library = tokenizer("byte_bpe_50k.json")
+    expected = []
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        expected.append((
+            i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest(),
+        ))
+    found = encode_documents(make_docs(rows), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    digests = found.select(
+        "doc_id", F.size("ids"), ids_digest(F.col("ids")), F.sha2("decoded", 256)
+    )
+    assert as_sorted(digests.collect()) == as_sorted(expected)
+
+
+def test_operators_on_single_texts_of_an_empty_table(make_docs, llm_spark):
+    docs = make_docs([])
+    path = public_tokenizers.path
+    assert encode_documents(docs, path("byte_bpe_50k.tiktoken")).collect() == []
+    assert pack(token_pieces(docs, path("word_bpe_49k.json"))).collect() == []
+    assert token_counts(docs, path("piece_bpe_32k.model")).collect() == []
+    assert rules.quality_rules(docs, None).collect() == []
+    assert remove_repeats(docs).collect() == []
+    pages = llm_spark.createDataFrame([], "page_id long, url string, html string")
+    assert extract_main_text(pages).collect() == []
+
+
+def test_packing(make_docs, given_docs):
+    rows = tricky_rows() + given_rows(given_docs)
+    library = tokenizer("word_bpe_49k.json")
+    expected = Counter()
+    for i, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        for start in range(0, len(ids), 4096):
+            part = np.array(ids[start : start + 4096], "<u4")
+            expected[(i, start // 4096, start, len(part), zlib.crc32(part.tobytes()))] += 1
+    pieces = token_pieces(make_docs(rows), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("crc"))
+    for group_items in (1 << 15, 40):
+        found = pack(pieces, group_items=group_items).collect()
+        assert Counter(tuple(r)[:5] for r in found) == expected
+        used = {}
+        for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == used.get(r.sequence_id, 0)
+            used[r.sequence_id] = r.offset + r.length
+        assert max(used.values()) <= 4096
+        groups = -(-len(found) // group_items)
+        assert len(used) <= -(-sum(used.values()) // 4096) + 2 * groups
+
+
+def test_best_fit_takes_the_tightest_open_bin():
+    rng = np.random.default_rng(3)
+    lengths = np.sort(rng.integers(1, 101, 400))[::-1]
+    bins, offsets = best_fit(lengths, 100)
+    rooms = []
+    for length, number, offset in zip(lengths.tolist(), bins, offsets, strict=True):
+        fitting = [room for room in rooms if room >= length]
+        if not fitting:
+            assert number == len(rooms)
+            rooms.append(100)
+        else:
+            assert rooms[number] == min(fitting)
+        assert offset == 100 - rooms[number]
+        rooms[number] -= length
+
+
+def by_hand_removed(rows):
+    seen, found = {}, []
+    for i, t in sorted(((i, t) for i, t in rows if i is not None), key=lambda x: x[0]):
+        data = (t or "").encode()
+        gone = np.zeros(len(data), bool)
+        for start in range(len(data) - 99):
+            first = seen.setdefault(data[start : start + 100], (i, start))
+            if first != (i, start):
+                gone[start : start + 100] = True
+        found.append((i, data, gone))
+    return found
+
+
+def test_repeats_equal_all_strings(make_docs, given_docs):
+    rows = tricky_rows() + [(100 + i, t) for i, t in given_rows(given_docs)]
+    rows += [(900, rows[-1][1][50:700] + "!" + rows[-2][1][:150])]
+    expected = []
+    for i, data, gone in by_hand_removed(rows):
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        expected.append((i, len(data), int(gone.sum()), spans, kept))
+    expected += [(None, len((t or "").encode()), 0, 0, (t or "").encode()) for i, t in rows if i is None]
+    found = [(*tuple(r)[:4], bytes(r.kept)) for r in remove_repeats(make_docs(rows)).collect()]
+    assert as_sorted(found) == as_sorted(expected)
+
+
+def test_repeats_of_one_rank_beyond_the_limit(make_docs, monkeypatch):
+    """Strings beyond the remembered ones are compared by a grouping of their own."""
+    from wakeline.llm import repeats
+
+    batches = []
+    shared = b"The same thirty-two bytes again, and again."
+    for n in range(60):
+        side = bytes(65 + (n // 2 * 7 + k) % 26 for k in range(100))
+        batches.append((n, side + shared + side))
+    rank = np.zeros(60, np.int64)
+    contexts = [c for _, c in batches]
+    size = np.array([len(c) - 99 for c in contexts], np.int32)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(rank), pa.array(range(60)), pa.array(rank), pa.array(size), pa.array(contexts)],
+        ["rank", "doc_id", "first", "size", "context"],
+    )
+    parts = [batch.slice(n, 5) for n in range(0, 60, 5)]
+
+    def judged(limit):
+        monkeypatch.setattr(repeats, "COMPARED_STRINGS", limit)
+        repeated, single = set(), []
+        for out in repeats._compared(iter(parts)):
+            for row in out.to_pylist():
+                places = range(row["first"], row["first"] + row["size"])
+                if row["kind"] == repeats.REPEATED:
+                    repeated |= {(row["doc_id"], p) for p in places}
+                else:
+                    single.append((row["rank"], row["doc_id"], row["first"]))
+        first = {}
+        for key, *at in sorted(single):
+            if first.setdefault(key, tuple(at)) != tuple(at):
+                repeated.add(tuple(at))
+        return repeated, len(single)
+
+    whole, none = judged(1 << 20)
+    assert none == 0
+    limited, some = judged(100)
+    assert some > 0 and limited == whole
+
+
+def base_by_hand(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = set()
+    for i in range(len(words) - 7):
+        if windows[tuple(words[i : i + 8])] > 1:
+            covered.update(range(i, i + 8))
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += line in seen
+            seen.add(line)
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    return len(words), sum(map(len, words)), symbols, again, len(covered), failed
+
+
+def test_base_counts(make_docs, given_docs):
+    rows = tricky_rows() + given_rows(given_docs) + [(70, "x y\n\nx y\n x y\r\nx y\nx y\r")]
+    result = rules.quality_rules(make_docs(rows), None)
+    expected = [(i, *base_by_hand(t)) for i, t in rows]
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert as_sorted(result.select("doc_id", *columns).collect()) == as_sorted(expected)
+    assert all(r.probability is None and r.kept != r.base_failed for r in result.collect())
+
+
+def test_classifier_on_rows_held_out(llm_spark):
+    docs = llm_spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = llm_spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = docs.join(labels, "doc_id").where("quality IS NOT NULL").orderBy("doc_id")
+    table = rows.select("text", "quality").toArrow()
+    quality = table.column("quality").to_numpy()
+    texts = table.column("text").combine_chunks()
+    half = len(quality) // 2
+    model = rules.fit(texts.slice(0, half), quality[:half])
+    probability = []
+    batch = pa.RecordBatch.from_arrays([texts.slice(half)], ["text"])
+    for part in rules.slices([batch], "text", 1 << 20):
+        starts, data = rules.utf8(part.column("text"))
+        words = rules.split_words(starts, data)
+        probability.extend(model.probability(rules.scores(model, starts, data, words)))
+    kept = np.array(probability) >= rules.THRESHOLD
+    truth = quality[half:]
+    assert kept[truth == 1].mean() > 0.98
+    assert kept[truth == 0].mean() < 0.3
+
+
+def test_no_classifier_without_two_classes(make_docs, llm_spark):
+    labels = llm_spark.createDataFrame([(1, 1), (2, 1), (None, 0)], "doc_id long, quality int")
+    assert rules.train(make_docs(tricky_rows()), labels) is None
+
+
+def viterbi_by_hand(text, scores):
+    text = "▁" + text.replace(" ", "▁")
+    unknown = min(scores.values()) - 10
+    best = [(0.0, 0)] + [None] * len(text)
+    for start in range(len(text)):
+        single = False
+        for end in range(start + 1, min(len(text), start + 20) + 1):
+            if text[start:end] in scores:
+                single = single or end == start + 1
+                total = best[start][0] + scores[text[start:end]]
+                if best[end] is None or total > best[end][0]:
+                    best[end] = (total, best[start][1] + 1)
+        if not single:
+            total = best[start][0] + unknown
+            if best[start + 1] is None or total > best[start + 1][0]:
+                best[start + 1] = (total, best[start][1] + len(text[start].encode()))
+    return best[-1][1]
+
+
+def test_token_counts(make_docs, given_docs):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    scores = dict(ordinary_pieces(path))
+    rows = [r for r in tricky_rows() + given_rows(given_docs)[:60] if len(r[1] or "") < 20_000]
+    rows += [(80, "  two  spaces "), (81, " ▁ "), (82, "日")]
+    expected = [(i, viterbi_by_hand(t, scores) if t else 0) for i, t in rows]
+    assert as_sorted(token_counts(make_docs(rows), path).collect()) == as_sorted(expected)
+
+
+def test_equal_scores_keep_the_piece_that_starts_first():
+    counter = SegmentCounter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -2.0)])
+    assert counter.count("ab") == 2  # "▁a" and "b": both segmentations have the score -3
+    with pytest.raises(ValueError, match="reaches over"):
+        SegmentCounter([("a▁b", -1.0)])
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body>
+<header><a href="/">Home</a></header><nav><ul><li><a href="/a">A</a></li></ul></nav>
+<div class="cookie-notice">We use the cookies for all of the things that you do here.</div>
+<main><article><h1>A &amp; B</h1><p>The first part of the text is in this block, and it has the
+words &#8212; of a sentence.<br>It goes on &lt;here&gt;</p><!-- <p>not this</p> -->
+<p>Short <b>one</b>.</p><ul><li><a href="/x">more</a> <a href="/y">links</a></li></ul>
+<p title="a > b">The last&nbsp;part of the text.<form><p>Name <input></p></form>
+<div id="comments"><p>A reader says that the text is good and that it was of use.</p></div>
+</article></main><aside>The sidebar is not the text of the page.</aside>
+<footer>The end of the page</footer></body></html>"""
+
+
+def test_main_text_of_a_page():
+    assert main_text(PAGE) == (
+        "A & B\nThe first part of the text is in this block, and it has the words — of a "
+        "sentence. It goes on <here>\nShort one.\nThe last part of the text."
+    )
+
+
+def test_pages(llm_spark):
+    rows = [(1, None, None), (2, "u", ""), (None, None, PAGE), (3, "u", "<p>never <b>closed"),
+            (3, "u", "<p>never <b>closed"), (4, "u", "x" * 100_000), (5, "u", "a < b <"),
+            (6, "u", "<nav><p>The words of the menu that are in the page")]
+    pages = llm_spark.createDataFrame(
+        [(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int"
+    )
+    found = extract_main_text(pages).collect()
+    expected = [(i, u, main_text(h or ""), len(main_text(h or ""))) for i, u, h in rows]
+    assert as_sorted(found) == as_sorted(expected)
+    assert main_text("<nav><p>The words of the menu that are in the page") == ""
+
+
+def test_given_pages_have_their_article(llm_spark):
+    import html
+
+    pages = llm_spark.read.parquet(f"{SF}/pages.parquet")
+    for page in pages.collect():
+        inner = re.search(r"<article>(.*?)</article>", page.html, re.S)[1]
+        blocks = [re.sub(r"</?(?:b|br)>", " ", x) for x in re.split(r"</?(?:p|h1)>", inner)]
+        texts = [" ".join(html.unescape(x).split()) for x in blocks]
+        assert main_text(page.html) == "\n".join(x for x in texts if x)

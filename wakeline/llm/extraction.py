@@ -179,7 +179,8 @@ def judge(blocks: list[Block]) -> None:
     short. A long one with few is bad, in an article undecided. An undecided block
     takes the label of the nearest decided block before or behind it in the same
     part of the page, an article or the rest; between two equally near, or with
-    none, blocks of an article are good and others bad.
+    none, blocks of an article are good and others bad. A block of links inside an
+    article says nothing of its neighbours.
     """
     for block in blocks:
         words = [w.lower() for w in _WORD.findall(block.text)]
@@ -191,7 +192,7 @@ def judge(blocks: list[Block]) -> None:
             block.good = True
         elif size >= LONG and not block.in_article:
             block.good = density >= LOW_STOP_WORDS
-    labels = [block.good for block in blocks]
+    labels = [None if b.in_article and b.good is False else b.good for b in blocks]
     before = _nearest(blocks, labels, range(len(blocks)))
     behind = _nearest(blocks, labels, range(len(blocks) - 1, -1, -1))
     for place, block in enumerate(blocks):
