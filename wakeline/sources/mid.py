@@ -1,32 +1,33 @@
-"""The table of maritime identification digits (MID), the first three of an mmsi.
+"""The table of maritime identification digits (MID), the first three of an mmsi."""
 
-The assignments are a parameter: a CSV file with the columns mid and country, or
-text such as ``Denmark=219-220; Norway=257-259``.
-"""
+import csv
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.schemas import MID_TABLE
 
+_OWN_TABLE = Path(__file__).resolve().parent.parent / "data" / "mid.csv"
 
-def scan_mid_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MID_TABLE).csv(path, header=True, enforceSchema=True)
 
+def own_assignments() -> list[tuple[str, str]]:
+    """The assignments that come with the package, by digits."""
+    with _OWN_TABLE.open(encoding="utf-8", newline="") as lines:
+        rows = csv.reader(line for line in lines if not line.startswith("#"))
+        next(rows)
+        return [(mid, country) for mid, country in rows]
 
-def parse_mid_text(text: str) -> list[tuple[str, str]]:
-    assignments = []
-    for entry in text.split(";"):
-        country, _, codes = entry.strip().rpartition("=")
-        for span in codes.split(","):
-            low, _, high = span.partition("-")
-            for mid in range(int(low), int(high or low) + 1):
-                assignments.append((str(mid), country))
-    return assignments
 
+def scan_mid_table(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """mid and country from a CSV file with those columns, else the package's own table.
 
-def mid_table(spark: SparkSession, text: str) -> DataFrame:
-    return spark.createDataFrame(parse_mid_text(text), MID_TABLE)
+    The own table lies beside the code on the driver, so its few hundred rows are
+    handed over; executors need not see the file.
+    """
+    if path is None:
+        return spark.createDataFrame(own_assignments(), MID_TABLE)
+    return spark.read.schema(MID_TABLE).csv(path, header=True, enforceSchema=True, comment="#")
 
 
 def bounded(mids: DataFrame) -> DataFrame:
