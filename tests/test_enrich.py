@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.text import lcs_length
 from wakeline.operators import enrich
+from wakeline.plans import jobs
+from wakeline.sources.register import scan_register_text
 
 
 def lcs(a, b):
@@ -122,25 +124,90 @@ def test_register_match_and_update(spark):
             ("f", None, None, "old", "old", "old"),
         ],
     )
-    matched = enrich.fuzzy_register_match(register, links)
-    got = {r.reg_id: r for r in matched.collect()}
-    assert (got["a"].name_scrape, got["a"].imo_scrape) == ("HARING,HARINGS", "i0,i3")
-    assert got["b"].name_scrape == "UNIEK 12"
-    assert got["d"].name_scrape == got["d"].mmsi_scrape == "---"
-    assert got["e"].imo_scrape == got["f"].imo_scrape == "old"
-    updated = {r.reg_id: r for r in enrich.register_update(matched).collect()}
-    assert (updated["a"].mmsi, updated["a"].ambiguous) == (None, True)
-    assert (updated["b"].mmsi, updated["b"].ambiguous) == (244000004, False)
+    matches = enrich.fuzzy_register_match(register, links)
+    order = ["register_name", "page_id", "part", "pos"]
+    got = matches.orderBy(order).select("register_name", "name", "imo").collect()
+    assert [tuple(r) for r in got] == [
+        ("haring", "HARING", "i0"),
+        ("haring", "HARINGS", "i3"),
+        ("nothing like it", "---", "---"),
+        ("uniek 12", "UNIEK 12", "i4"),
+        ("uniek 13", "UNIEK 12", "i4"),
+    ]
+    updated = {r.reg_id: r for r in enrich.register_update(register, matches).collect()}
+    assert (updated["a"].mmsi, updated["a"].n_matches, updated["a"].ambiguous) == (None, 2, True)
+    assert (updated["a"].name_scrape, updated["a"].imo_scrape) == ("HARING", "i0")
+    assert (updated["b"].mmsi, updated["b"].n_matches, updated["b"].ambiguous) == (244000004, 1, False)
+    assert updated["b"].name_scrape == "UNIEK 12"
     assert updated["c"].mmsi == 5
+    assert updated["d"].name_scrape == updated["d"].mmsi_scrape == "---"
     assert updated["d"].mmsi is None and not updated["d"].ambiguous
+    assert updated["e"].imo_scrape == updated["f"].imo_scrape == "old"
+    assert updated["e"].n_matches == 0 and not updated["e"].ambiguous
+
+
+def test_a_name_with_many_matches_is_one_register_row(spark):
+    links = links_frame(spark, ["MARIA"] * 5000)
+    rows = [("a", None, "maria", None, None, None), ("b", 7, "Maria", None, None, None)]
+    register = register_frame(spark, rows)
+    matches = enrich.fuzzy_register_match(register, links)
+    assert matches.count() == 5000
+    updated = enrich.register_update(register, matches).collect()
+    assert sorted((r.reg_id, r.mmsi, r.n_matches, r.ambiguous, r.imo_scrape) for r in updated) == [
+        ("a", None, 5000, True, "i0"),
+        ("b", 7, 5000, False, "i0"),
+    ]
+
+
+def test_completing_a_completed_register(spark, tmp_path):
+    """The written result of a run is the register of the next; earlier values survive."""
+    register, pages, out = (f"{tmp_path}/{n}" for n in ("register.csv", "pages", "out"))
+    with open(register, "wb") as f:
+        f.write("id;naam;mmsi\n1;Zeeëend;\n2;Noordster;5\n".encode("latin-1"))
+    link = '<tbody><a class="ship-link" href="/vessels/{}-IMO-1-MMSI-{}">x</a></tbody>'
+    pages_frame = lambda *names: spark.createDataFrame(
+        [(n, link.format(name, 244000000 + n)) for n, name in enumerate(names)],
+        "page_id long, html string",
+    )
+    pages_frame("ZEEËEND", "ANDERS").write.parquet(pages)
+    jobs.complete_register(spark, register, pages, "naam", out)
+    first = {r.id: r for r in scan_register_text(spark, out).collect()}
+    assert (first["1"].naam, first["1"].name_scrape, first["1"].mmsi) == ("Zeeëend", "ZEEËEND", "244000000")
+    assert (first["2"].name_scrape, first["2"].mmsi) == ("---", "5")
+    # A name that is blanked in between keeps what was found for it.
+    blanked = f"{tmp_path}/blanked"
+    text = scan_register_text(spark, out)
+    text.withColumn("naam", F.when(F.col("id") == "2", F.col("naam"))).coalesce(1).write.csv(
+        blanked, header=True, sep=";", encoding="ISO-8859-1"
+    )
+    pages_frame("NOORDSTER").write.mode("overwrite").parquet(pages)
+    jobs.complete_register(spark, blanked, pages, "naam", out + "2")
+    second = {r.id: r for r in scan_register_text(spark, out + "2").collect()}
+    assert (second["1"].name_scrape, second["1"].mmsi) == ("ZEEËEND", "244000000")
+    assert (second["2"].name_scrape, second["2"].mmsi, second["2"].n_matches) == ("NOORDSTER", "5", "1")
+    assert second.keys() == first.keys() and text.columns == scan_register_text(spark, out + "2").columns
+
+
+def test_links_as_a_parser_gives_them(spark):
+    page = """<table><!-- <tbody><a href="/no">n</a> --><tbody><a title="a > b" href="/r&amp;d?a=1&#38;b=2">1</a>
+    <!-- <a href="/hidden">h</a> --><a href='/q?x=&quot;&lt;&#x41;&#233;&#8364;&gt;&quot;&amp;lt;'>2</a>
+    <A HREF=/plain&#0;&#55296;>3</A><a title='it"s' href="/four">4</a><a href="/five" alt=">5</a></tbody>"""
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    found = enrich.page_links(pages, css_class=None).orderBy("part", "pos").collect()
+    assert [r.href for r in found] == [
+        "/r&d?a=1&b=2", '/q?x="<Aé€>"&lt;', "/plain&#0;&#55296;", "/four", "/five"
+    ]
+
+
+def test_names_are_tested_in_several_tasks_and_once(spark):
+    """Names with common words meet at several segments and are accepted at one."""
+    names = [(f"santa maria {n:05d}",) for n in range(300)] + [(f"star {n}",) for n in range(50)]
+    frame = spark.createDataFrame(names, "name string")
+    found = enrich.name_matches(frame, frame)
+    pairs = [tuple(r) for r in found.collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(a, b) for (a,) in names for (b,) in names if similar(a, b)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [a#" not in plan.split("Join")[0]
 
 
-def test_long_match_lists_go_on_in_further_rows(spark, monkeypatch):
-    monkeypatch.setattr(enrich, "MATCHES_PER_ROW", 3)
-    monkeypatch.setattr(enrich, "PAGES_PER_SLICE", 2)
-    links = links_frame(spark, ["MARIA"] * 7)
-    register = register_frame(spark, [("a", None, "maria", None, None, None)])
-    matched = enrich.fuzzy_register_match(register, links).orderBy("list_part")
-    assert [r.imo_scrape for r in matched.collect()] == ["i0,i1,i2", "i3,i4,i5", "i6"]
-    updated = enrich.register_update(matched).collect()
-    assert all(r.mmsi is None and r.ambiguous for r in updated)

@@ -3,17 +3,16 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.text import is_match, lcs_length, letter_bits, max_edits
-from wakeline.functions.tracks import numbered
+from wakeline.functions.text import bound, is_match, lcs_length, letter_bits, max_edits
 
 # Fixed value: stands for a name without a match.
 NO_MATCH = "---"
 
-MATCHES_PER_ROW = 1000
-PAGES_PER_SLICE = 1000
-
 _SCRAPED = ("name", "imo", "mmsi")
 
+# Columns a completed register has besides its own.
+_OWN_COLUMNS = ("n_matches", "ambiguous")
+
 _LINK_ORDER = ["page_id", "part", "pos"]
 
 
@@ -23,24 +22,24 @@ def _inside_container(html: Column, container: str) -> Column:
     The page is cut before each opening and closing tag, and the depth is counted
     from piece to piece.
     """
-    pieces = F.split(html, rf"(?i)(?=</?{container}[\s>])")
-
-    def next_piece(state: Column, piece: Column) -> Column:
-        start = F.lower(F.substring(piece, 1, len(container) + 2))
-        depth = (
-            F.when(start.startswith(f"<{container}"), state["depth"] + 1)
-            .when(start == f"</{container}", F.greatest(state["depth"] - 1, F.lit(0)))
-            .otherwise(state["depth"])
-        )
-        inside = F.when(depth > 0, F.concat(state["inside"], F.array(piece))).otherwise(
-            state["inside"]
+    opening, closing = f"<{container}", f"</{container}"
+
+    def next_depth(depths: Column, piece: Column) -> Column:
+        start = F.lower(F.substring(piece, 1, len(closing)))
+        depth = F.element_at(depths, -1)
+        change = (
+            F.when(start.startswith(opening), depth + 1)
+            .when(start == closing, F.greatest(depth - 1, F.lit(0)))
+            .otherwise(depth)
         )
-        return F.struct(depth.alias("depth"), inside.alias("inside"))
+        return F.concat(depths, F.array(change))
 
-    start = F.struct(
-        F.lit(0).alias("depth"), F.array().cast("array<string>").alias("inside")
-    )
-    return F.aggregate(pieces, start, next_piece, lambda state: state["inside"])
+    def inside(pieces: Column) -> Column:
+        # The depth before the first piece is zero, so places are one off.
+        depths = F.aggregate(pieces, F.array(F.lit(0)), next_depth)
+        return bound(depths, lambda d: F.filter(pieces, lambda _, n: F.get(d, n + 1) > 0))
+
+    return bound(F.split(html, rf"(?i)(?=</?{container}[\s>])"), inside)
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -49,26 +48,49 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(F.regexp_extract(tag, pattern, 2), F.regexp_extract(tag, pattern, 3))
 
 
+def _decoded(text: Column) -> Column:
+    """The text with its character references replaced, the ampersand's last."""
+
+    def replaced(done: Column, reference: Column) -> Column:
+        hexadecimal = F.regexp_extract(reference, "(?i)^&#x([0-9a-f]+);", 1)
+        decimal = F.regexp_extract(reference, "^&#([0-9]+);", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(decimal)
+        code = code.cast("int")
+        is_character = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(is_character, F.replace(done, reference, character)).otherwise(done)
+
+    numeric = F.regexp_extract_all(text, F.lit("(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), F.lit(0))
+    result = F.aggregate(F.array_distinct(numeric), text, replaced)
+    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        result = F.replace(result, F.lit(f"&{name};"), F.lit(character))
+    return F.when(text.contains("&"), result).otherwise(text)
+
+
 def page_links(
     pages: DataFrame, container: str = "tbody", css_class: str | None = "ship-link"
 ) -> DataFrame:
     """Targets of the links of a class inside a container, with their place on the page.
 
-    ``part`` and ``pos`` order the links of a page.
+    ``part`` and ``pos`` order the links of a page. Comments are no part of it, a
+    quoted value may hold any character, and character references are replaced.
     """
 
     def wanted(tag: Column) -> Column:
         classes = F.split(_attribute(tag, "class"), r"\s+")
         return F.lit(True) if css_class is None else F.array_contains(classes, css_class)
 
-    tags = F.filter(F.regexp_extract_all("piece", F.lit(r"(?i)<a\s[^>]*>"), F.lit(0)), wanted)
-    targets = F.transform(tags, lambda tag: _attribute(tag, "href"))
+    # A tag with unbalanced quotes ends at the first bracket.
+    tag = r"""(?i)<a\s(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
+    tags = F.filter(F.regexp_extract_all("piece", F.lit(tag), F.lit(0)), wanted)
+    targets = F.transform(tags, lambda tag: _decoded(_attribute(tag, "href")))
+    html = F.regexp_replace("html", "(?s)<!--.*?-->", "")
     # The outer forms, as for the others Spark tests the array before it unfolds it and
     # would compute it several times.
     return (
         pages.select(
             "page_id",
-            F.posexplode_outer(_inside_container(F.col("html"), container)).alias("part", "piece"),
+            F.posexplode_outer(_inside_container(html, container)).alias("part", "piece"),
         )
         .select("page_id", "part", F.posexplode_outer(targets).alias("pos", "href"))
         .where(F.col("href") != "")
@@ -95,18 +117,26 @@ def _compatible_lengths(length: Column) -> Column:
     )
 
 
-def _with_segments(lengths: DataFrame) -> DataFrame:
-    """The left name's even segments for each pair of lengths: k + 1, so that k edits
-    leave one untouched. Places count from zero."""
+def _cut(number: Column, length: Column, k: Column) -> Column:
+    """Where segment ``number`` of k + 1 even ones starts, counted from zero."""
+    return F.floor(number * length / (k + 1)).cast("int")
 
-    def cut(number: Column) -> Column:
-        return F.floor(number * F.col("len_a") / (F.col("k") + 1)).cast("int")
 
-    return (
-        lengths.withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
-        .withColumn("number", F.explode(F.sequence(F.lit(0), F.col("k"))))
-        .withColumn("start", cut(F.col("number")))
-        .withColumn("size", cut(F.col("number") + 1) - F.col("start"))
+def _window(number: Column, len_a: Column, len_b: Column, k: Column):
+    """Start and size of a segment of the left name, and the first and last place
+    the right name can hold it at when no edit touched it."""
+    start = _cut(number, len_a, k)
+    size = _cut(number + 1, len_a, k) - start
+    longer, behind = len_b - len_a, k - number
+    first = F.greatest(F.lit(0), start - number, start + longer - behind)
+    last = F.least(len_b - size, start + number, start + longer + behind)
+    return start, size, first, last
+
+
+def _with_segments(lengths: DataFrame) -> DataFrame:
+    """A row for each segment: k + 1, so that k edits leave one untouched."""
+    return lengths.withColumn("k", max_edits(F.col("len_a"), F.col("len_b"))).withColumn(
+        "number", F.explode(F.sequence(F.lit(0), F.col("k")))
     )
 
 
@@ -120,37 +150,50 @@ def _distinct_names(names: DataFrame, alias: str) -> DataFrame:
     )
 
 
+def _segment_of_row():
+    return _window(*(F.col(c) for c in ("number", "len_a", "len_b", "k")))
+
+
 def _segment_keys(names: DataFrame) -> DataFrame:
     """Each left name under its segments, for every length a match can have."""
     lengths = F.explode(_compatible_lengths(F.col("len_a")))
-    segment = F.substring("a", F.col("start") + 1, F.col("size"))
-    return _with_segments(names.withColumn("len_b", lengths)).select(
-        "a", "bits_a", "len_a", "len_b", "k", "number", segment.alias("key")
-    )
+    rows = _with_segments(names.withColumn("len_b", lengths))
+    start, size, _, _ = _segment_of_row()
+    return rows.select(
+        "a", "bits_a", "len_a", "len_b", "number",
+        F.substring("a", start + 1, size).alias("key"),
+    )
 
 
 def _substring_keys(names: DataFrame) -> DataFrame:
-    """Each right name under the substrings that can be an untouched segment."""
+    """Each right name once under each substring that can be an untouched segment."""
     lengths = F.explode(_compatible_lengths(F.col("len_b")))
-    longer = F.col("len_b") - F.col("len_a")
-    behind = F.col("k") - F.col("number")
-    first = F.greatest(
-        F.lit(0), F.col("start") - F.col("number"), F.col("start") + longer - behind
+    rows = _with_segments(names.withColumn("len_a", lengths))
+    _, size, first, last = _segment_of_row()
+    keys = F.transform(
+        F.sequence("first", "last"), lambda at: F.substring(F.col("b"), at + 1, F.col("size"))
     )
-    last = F.least(
-        F.col("len_b") - F.col("size"),
-        F.col("start") + F.col("number"),
-        F.col("start") + longer + behind,
-    )
-    substring = F.substring("b", F.col("at") + 1, F.col("size"))
     return (
-        _with_segments(names.withColumn("len_a", lengths))
-        .where(first <= last)
-        .withColumn("at", F.explode(F.sequence(first, last)))
-        .select("b", "bits_b", "len_a", "len_b", "number", substring.alias("key"))
+        rows.withColumns({"size": size, "first": first, "last": last})
+        .where("first <= last")
+        .select("b", "bits_b", "len_a", "len_b", "number", F.explode(F.array_distinct(keys)).alias("key"))
     )
 
 
+def _met_before() -> Column:
+    """Whether a pair also shares a segment with a lower number, and was tested there."""
+    len_a, len_b, k = F.col("len_a"), F.col("len_b"), F.col("k")
+
+    def shared(number: Column) -> Column:
+        start, size, first, last = _window(number, len_a, len_b, k)
+        segment = F.substring(F.col("a"), start + 1, size)
+        held = F.substring(F.col("b"), first + 1, last - first + size)
+        return (first <= last) & held.contains(segment)
+
+    lower = F.sequence(F.lit(0), F.col("number") - 1)
+    return F.when(F.col("number") == 0, F.lit(False)).otherwise(F.exists(lower, shared))
+
+
 def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of similar lower-case names from two frames with a column ``name``.
 
@@ -159,8 +202,9 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     one that no edit touched, with no more than ``number`` edits before it and
     ``k - number`` behind it: the right name holds it, shifted by no more than
     that. So an equi-join on (both lengths, segment number, segment) finds every
-    match. Letter counts and then edit distance reject candidates inside the join,
-    and the ratio decides once per remaining pair.
+    match. A pair counts at the lowest segment it shares only, so it is tested once,
+    in the tasks of the join: letter counts and then edit distance reject
+    candidates, the ratio decides.
     """
     # Neither side has a size bound and the segments multiply both, which size
     # estimates miss: merge, never broadcast.
@@ -171,15 +215,20 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     longer = F.col("len_b") - F.col("len_a")
     few_letters = (2 * only_a <= F.col("k") - longer) & (2 * only_b <= F.col("k") + longer)
     few_edits = F.call_function("levenshtein", "a", "b", "k") >= 0
-    near = F.when(few_letters, few_edits).otherwise(F.lit(False))
+    total_length = F.col("len_a") + F.col("len_b")
+    similar = is_match(lcs_length(F.col("a"), F.col("b")), total_length)
+    no = F.lit(False)
+    # The cheap tests stay compiled with the join. What is left unfolds to one row with
+    # the verdict, as a second filter would be merged into the first and slow it down.
+    cheap = F.when(few_letters, few_edits).otherwise(no)
+    verdict = F.when(_met_before(), no).otherwise(similar)
     return (
         # The segment first: it tells rows apart best, which sorting is quicker with.
         a.join(b, ["key", "number", "len_a", "len_b"])
-        .where(near)
-        .groupBy("a", "b")
-        .agg(F.max(F.col("len_a") + F.col("len_b")).alias("total_length"))
-        # With the aggregate in it this filter stays above the grouping.
-        .where(is_match(lcs_length(F.col("a"), F.col("b")), F.col("total_length")))
+        .withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
+        .where(cheap)
+        .select("a", "b", F.explode_outer(F.array(verdict)).alias("similar"))
+        .where("similar")
         .select("a", "b")
     )
 
@@ -188,72 +237,71 @@ def matched_links(names: DataFrame, links: DataFrame) -> DataFrame:
     """Every link whose name is similar, per distinct lower-case register name."""
     pairs = name_matches(names, links)
     return links.join(pairs, F.lower(links["name"]) == pairs["b"]).select(
-        F.col("a").alias("register_name"), *_LINK_ORDER, "name", "imo", "mmsi"
+        F.col("a").alias("register_name"), *_LINK_ORDER, *_SCRAPED
     )
 
 
-def match_lists(names: DataFrame, links: DataFrame) -> DataFrame:
-    """Per register name the matches in page order, joined by comma.
-
-    A list longer than MATCHES_PER_ROW goes on in the next row of the name, counted
-    by ``list_part``, so no task holds more than that many matches of a name.
-    """
-    matches = matched_links(names, links).withColumn(
-        "slice", F.floor(F.col("page_id") / PAGES_PER_SLICE)
-    )
-    found = F.array_sort(F.collect_list(F.struct(*_LINK_ORDER, "name", "imo", "mmsi")))
-    return (
-        numbered(matches, ["register_name"], _LINK_ORDER)
-        .withColumn("list_part", F.floor(F.col("position") / MATCHES_PER_ROW).cast("int"))
-        .groupBy("register_name", "list_part")
-        .agg(found.alias("found"))
-        .select(
-            "register_name",
-            "list_part",
-            *(F.array_join(f"found.{c}", ",").alias(f"new_{c}") for c in _SCRAPED),
-            F.size("found").alias("n_matches"),
-        )
-    )
-
-
-def with_scrape_columns(register: DataFrame) -> DataFrame:
-    """The register with the columns of an earlier completion, empty on the first one."""
-    wanted = ["mmsi", *(f"{c}_scrape" for c in _SCRAPED)]
-    return register.withColumns(
-        {c: F.lit(None).cast("string") for c in wanted if c not in register.columns}
-    )
+def _has_name() -> Column:
+    return F.trim(F.coalesce(F.col("name"), F.lit(""))) != ""
 
 
 def fuzzy_register_match(register: DataFrame, links: DataFrame) -> DataFrame:
-    """Add name_scrape, imo_scrape and mmsi_scrape: all matches in page order.
+    """The matches of every distinct lower-case register name, one row each.
 
-    ``---`` stands for no match. Rows without a name keep the values they had. The
-    lists are built once per distinct name, whatever the number of register rows
-    that carry it.
+    page_id, part and pos order the matches of a name. A name without a match has one
+    row with ``---`` and no place. ``links`` is read for its names and for its rows;
+    where making it is dear, pass a written table.
+    """
+    names = register.where(_has_name()).select("name")
+    found = matched_links(names, links)
+    every = names.select(F.lower("name").alias("register_name")).distinct()
+    missing = every.join(found.select("register_name").distinct(), "register_name", "left_anti")
+    types = dict(found.dtypes)
+    empty = {c: F.lit(None).cast(types[c]) for c in _LINK_ORDER}
+    empty |= {c: F.lit(NO_MATCH) for c in _SCRAPED}
+    return found.unionAll(missing.select("register_name", *(v.alias(c) for c, v in empty.items())))
+
+
+def register_update(register: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row per register row, completed from the matches of its name.
+
+    name_scrape, imo_scrape and mmsi_scrape hold the first match on the pages, or
+    ``---``; n_matches counts them. A missing or unreadable mmsi is filled from a
+    single match; several are only flagged as ambiguous. Rows without a name keep the
+    values of an earlier run, whose result can be passed in again.
     """
-    named = F.trim(F.coalesce(F.col("name"), F.lit(""))) != ""
-    lists = match_lists(register.where(named), links)
-    joined = register.join(lists, F.lower(register["name"]) == lists["register_name"], "left")
+    register = register.drop(*_OWN_COLUMNS)
+    with_earlier = register.withColumns(
+        {
+            c: F.lit(None).cast("string")
+            for c in ("mmsi", *(f"{c}_scrape" for c in _SCRAPED))
+            if c not in register.columns
+        }
+    )
+    per_name = matches.groupBy("register_name").agg(
+        F.min(F.struct(*_LINK_ORDER, *_SCRAPED)).alias("first"),
+        F.count("page_id").alias("n_matches"),
+    )
+    # Rows without a name would all meet at one key; they join nothing.
+    key = F.when(_has_name(), F.lower("name"))
+    named = with_earlier.where(_has_name())
+    joined = named.join(per_name, key == per_name["register_name"], "left")
+    nameless = with_earlier.where(~_has_name()).select(
+        "*", F.lit(None).cast(per_name.schema["first"].dataType).alias("first"),
+        F.lit(0).cast("bigint").alias("n_matches"),
+    )
+    rows = joined.drop("register_name").unionByName(nameless)
     scraped = {
-        f"{c}_scrape": F.when(named, F.coalesce(f"new_{c}", F.lit(NO_MATCH))).otherwise(
+        f"{c}_scrape": F.when(_has_name(), F.coalesce(f"first.{c}", F.lit(NO_MATCH))).otherwise(
             F.col(f"{c}_scrape")
         )
         for c in _SCRAPED
     }
-    return joined.select(
-        *(scraped.get(c, F.col(c)).alias(c) for c in register.columns),
-        F.coalesce("list_part", F.lit(0)).alias("list_part"),
+    own = F.col("mmsi").try_cast("int")
+    single = F.when(F.col("n_matches") == 1, F.col("first.mmsi").try_cast("int"))
+    values = scraped | {"mmsi": F.coalesce(own, single)}
+    return rows.select(
+        *(values.get(c, F.col(c)).alias(c) for c in with_earlier.columns),
         F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
-    )
-
-
-def register_update(matched: DataFrame) -> DataFrame:
-    """Fill missing identities from a single match; several matches are only flagged."""
-    missing = F.col("mmsi").try_cast("int").isNull()
-    several = (F.col("n_matches") > 1) | (F.col("list_part") > 0)
-    single = F.when((F.col("n_matches") == 1) & ~several, F.col("mmsi_scrape").try_cast("int"))
-    return (
-        matched.withColumn("ambiguous", missing & several)
-        .withColumn("mmsi", F.coalesce(F.col("mmsi").try_cast("int"), single))
-        .drop("n_matches")
+        (own.isNull() & (F.coalesce("n_matches", F.lit(0)) > 1)).alias("ambiguous"),
     )

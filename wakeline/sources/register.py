@@ -6,10 +6,17 @@ from pyspark.sql import functions as F
 from wakeline.functions.values import parse_amount
 
 
+# Fixed value: the encoding of registers as published.
+REGISTER_ENCODING = "ISO-8859-1"
+
+
 def scan_register_text(
-    spark: SparkSession, path: str, encoding: str = "ISO-8859-1"
+    spark: SparkSession, path: str, encoding: str = REGISTER_ENCODING
 ) -> DataFrame:
-    """Semicolon-separated register, every column a string named by the header."""
+    """Semicolon-separated register, every column a string named by the header.
+
+    Characters are read in the encoding, which the header line shares.
+    """
     return spark.read.csv(path, sep=";", header=True, encoding=encoding)
 
 
