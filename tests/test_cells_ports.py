@@ -31,22 +31,30 @@ def test_grid_rounds_half_up(spark):
     assert got == [1.12, 1.13, -1.13]
 
 
-def test_trajectory_parts_are_whole_and_bounded(reports):
+def test_trajectory_parts_draw_every_step(reports):
+    """Parts are bounded, and their stretches are the steps of the track, over midnight too."""
     rng = random.Random(3)
     rows = [(1, rng.randrange(200000), rng.randrange(10) / 10, 51.0, 1.0) for _ in range(500)]
-    rows.append((2, 5, 4.0, 51.0, 1.0))
+    rows += [(2, 5, 4.0, 51.0, 1.0), (3, 43190, 4.0, 51.0, 1.0), (3, 43210, 4.1, 51.0, 1.0)]
     track = movement.track_reports(reports(rows))
     parts = cells.vessel_trajectory(track, points_per_part=7).collect()
-    assert all(p.n_points <= 7 for p in parts)
-    points = {}
+    assert all(p.n_points <= 8 for p in parts)
+    drawn = {}
     for p in sorted(parts, key=lambda p: (p.mmsi, p.part_start, p.part)):
         body = p.wkt[p.wkt.index("(") + 1 : -1].split(", ")
         assert len(body) == p.n_points
         assert p.wkt.startswith("POINT" if p.n_points == 1 else "LINESTRING")
-        points.setdefault(p.mmsi, []).extend(body)
-    expected = [f"{lon:.4f} 51.0000" for _, lon in sorted({(r[1], r[2]) for r in rows if r[0] == 1})]
-    assert points[1] == expected
-    assert points[2] == ["4.0000 51.0000"]
+        drawn.setdefault(p.mmsi, []).extend(zip(body, body[1:], strict=False))
+    steps = {}
+    for s in movement.track_steps(track).orderBy("mmsi", "time", "lon", "lat").collect():
+        if s.prev_lon is not None:
+            ends = tuple(f"{lon:.4f} {lat:.4f}" for lon, lat in ((s.prev_lon, s.prev_lat), (s.lon, s.lat)))
+            steps.setdefault(s.mmsi, []).append(ends)
+    assert drawn.pop(2) == []
+    assert drawn == steps
+    assert [p.wkt for p in parts if p.mmsi == 3 and p.n_points == 2] == [
+        "LINESTRING (4.0000 51.0000, 4.1000 51.0000)"
+    ]
 
 
 @pytest.mark.parametrize("limit, join", [(200_000, "BroadcastHashJoin"), (10, "SortMergeJoin")])

@@ -16,6 +16,8 @@ WRITING = {
     "scan_register_latin1",
     "observation_window",
     "sink_csv_roundtrip",
+    "fuzzy_register_match",
+    "register_update",
 }
 
 
@@ -99,6 +101,31 @@ def test_slices_spread_after_a_join_by_vessel(spark, stored, operator):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+ONE_READ = ["report_gaps", "track_steps", "valid_steps", "haversine_steps", "vessel_trajectory"]
+
+
+@pytest.mark.parametrize("name", ONE_READ)
+def test_window_operators_read_the_reports_once(spark, name):
+    """The final plan has one scan of the events; what else needs them reuses a shuffle."""
+    result = catalog.registered()[name](spark, SF)
+    result.collect()
+    plan = plan_of(result).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet [^\n]*events", plan)) == 1, plan
+    assert "Reused" in plan
+
+
+def test_exact_name_test_runs_in_several_tasks(spark):
+    """No grouping stands above the join, whose partitions follow the segments' bytes."""
+    from wakeline.operators.enrich import name_matches
+
+    names = spark.createDataFrame([(f"vessel {n * 7919 % 100000:05d}",) for n in range(3000)], "name string")
+    result = name_matches(names, names)
+    result.collect()
+    plan = plan_of(result).split("== Initial Plan ==")[0]
+    assert not re.search(r"Aggregate[^\n]*keys=\[a#\d+, b#", plan)
+    assert result.rdd.getNumPartitions() > 1
+
+
 def test_hot_vessel_is_spread_over_slices(reports):
     rows = [(1, 30 * k, 4.0, 51.0, 1.0) for k in range(5000)]
     track = movement.track_reports(reports(rows))

@@ -49,6 +49,21 @@ def across_slices() -> Window:
     return Window.partitionBy("mmsi").orderBy("slice")
 
 
+def slice_edges(spread: DataFrame, **edges: Column) -> DataFrame:
+    """Aggregates of each slice, taken from the rows that ``spread_slices`` moved.
+
+    The hash needs every column, so the rows below the shuffle are the same as those
+    of a window over them, and Spark reads and moves them once for both.
+    """
+    every = F.max(F.xxhash64(*spread.columns)).alias("_every")
+    return (
+        spread.groupBy("mmsi", "slice")
+        .agg(*(edge.alias(name) for name, edge in edges.items()), every)
+        .where("_every IS NOT NULL")
+        .drop("_every")
+    )
+
+
 def with_next(
     rows: DataFrame, order: list[str], value: Column, first: Column, alias: str
 ) -> DataFrame:
@@ -56,60 +71,24 @@ def with_next(
 
     ``value`` must not be NULL on rows that have a place on the track.
     """
-    heads = (
-        rows.groupBy("mmsi", "slice")
-        .agg(first.alias("_edge"))
-        .select("mmsi", "slice", F.lead("_edge").over(across_slices()).alias("_far"))
-    )
-    return (
-        spread_slices(rows)
-        .withColumn("_near", F.lead(value).over(inside_slice(order)))
-        .join(heads, ["mmsi", "slice"], "left")
-        .withColumn(alias, F.coalesce("_near", "_far"))
-        .drop("_near", "_far")
-    )
+    return _with_neighbour(rows, order, first, alias, F.lead, value)
 
 
 def with_previous(
     rows: DataFrame, order: list[str], value: Column, last: Column, alias: str
 ) -> DataFrame:
     """Add ``value`` of the vessel's previous row; ``last`` aggregates it for a slice."""
-    tails = (
-        rows.groupBy("mmsi", "slice")
-        .agg(last.alias("_edge"))
-        .select("mmsi", "slice", F.lag("_edge").over(across_slices()).alias("_far"))
-    )
-    return (
-        spread_slices(rows)
-        .withColumn("_near", F.lag(value).over(inside_slice(order)))
-        .join(tails, ["mmsi", "slice"], "left")
-        .withColumn(alias, F.coalesce("_near", "_far"))
-        .drop("_near", "_far")
-    )
+    return _with_neighbour(rows, order, last, alias, F.lag, value)
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Add ``position``, from zero in order of (slice, order) within each group.
-
-    Counts run slice by slice, so no task numbers a whole group.
-    """
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        rows.groupBy(*group, "slice")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            *group, "slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-        )
+def _with_neighbour(rows, order, edge, alias, neighbour, value) -> DataFrame:
+    spread = spread_slices(rows)
+    edges = slice_edges(spread, _edge=edge).select(
+        "mmsi", "slice", neighbour("_edge").over(across_slices()).alias("_far")
     )
-    rank = F.row_number().over(Window.partitionBy(*group, "slice").orderBy(*order))
     return (
-        rows.repartition(*group, "slice")
-        .withColumn("_rank", rank)
-        .join(offsets, [*group, "slice"])
-        .withColumn("position", F.col("_before") + F.col("_rank") - 1)
-        .drop("_before", "_rank")
+        spread.withColumn("_near", neighbour(value).over(inside_slice(order)))
+        .join(edges, ["mmsi", "slice"], "left")
+        .withColumn(alias, F.coalesce("_near", "_far"))
+        .drop("_near", "_far")
     )

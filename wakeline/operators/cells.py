@@ -1,10 +1,17 @@
 """Gridded traffic, routes and trajectories."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import Box, grid
-from wakeline.functions.tracks import SLICE_SECONDS, numbered, with_slice
+from wakeline.functions.tracks import (
+    SLICE_SECONDS,
+    across_slices,
+    inside_slice,
+    slice_edges,
+    spread_slices,
+    with_slice,
+)
 
 # The published map windows.
 TRAFFIC_WINDOW = Box(2.0, 50.0, 8.0, 55.0)
@@ -65,29 +72,54 @@ def vessel_trajectory(
     """Trajectories as ordered lines, cut by day and after ``points_per_part`` places.
 
     A vessel's line is the sequence of its parts; a single row for a whole vessel
-    would grow with its reports.
+    would grow with its reports. A part ends with the first place of the next one, so
+    no stretch of the track is lost at a cut; n_points and end_time count that place.
     """
     if part_seconds % slice_seconds:
         raise ValueError("part_seconds must be a multiple of slice_seconds")
-    sliced = with_slice(
-        track.where("on_track"), F.col("time"), ["lon", "lat"], slice_seconds
-    ).withColumn("part_start", F.col("slice") - F.pmod("slice", F.lit(part_seconds)))
-    places = numbered(sliced, ["mmsi", "part_start"], ["time", "lon", "lat"])
-    coordinates = F.array_join(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("time", "lon", "lat"))),
-            lambda p: F.format_string("%.4f %.4f", p["lon"], p["lat"]),
-        ),
-        ", ",
+    order = ["time", "lon", "lat"]
+    part_start = F.col("slice") - F.pmod("slice", F.lit(part_seconds))
+    sliced = with_slice(track.where("on_track"), F.col("time"), ["lon", "lat"], slice_seconds)
+    places = spread_slices(sliced.select("mmsi", "slice", *order))
+    earlier = (
+        Window.partitionBy("mmsi", "part_start")
+        .orderBy("slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    shape = F.when(F.count("*") == 1, F.lit("POINT (")).otherwise(F.lit("LINESTRING ("))
+    edges = (
+        slice_edges(places, n=F.count("*"), head=F.min(F.struct(*order)))
+        .withColumn("part_start", part_start)
+        .select(
+            "mmsi",
+            "slice",
+            "part_start",
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+            F.lead("head").over(across_slices()).alias("far"),
+        )
+    )
+    inside = inside_slice(order)
+    numbered = (
+        places.withColumn("rank", F.row_number().over(inside))
+        .withColumn("near", F.lead(F.struct(*order)).over(inside))
+        .join(edges, ["mmsi", "slice"], "left")
+        .withColumn("next", F.coalesce("near", "far"))
+        .withColumn("part", F.floor((F.col("before") + F.col("rank") - 1) / points_per_part))
+    )
+    point = F.struct(*order)
+    ends = F.max_by("next", point)
+    line = F.array_compact(F.concat(F.array_sort(F.collect_list(point)), F.array(ends)))
+    text = F.transform("line", lambda p: F.format_string("%.4f %.4f", p["lon"], p["lat"]))
+    shape = F.when(F.size("line") == 1, F.lit("POINT (")).otherwise(F.lit("LINESTRING ("))
     return (
-        places.withColumn("part", F.floor(F.col("position") / points_per_part))
-        .groupBy("mmsi", "part_start", "part")
-        .agg(
-            F.count("*").alias("n_points"),
-            F.min("time").alias("start_time"),
-            F.max("time").alias("end_time"),
-            F.concat(shape, coordinates, F.lit(")")).alias("wkt"),
+        numbered.groupBy("mmsi", "part_start", "part")
+        .agg(line.alias("line"))
+        .select(
+            "mmsi",
+            "part_start",
+            "part",
+            F.size("line").alias("n_points"),
+            F.get("line", F.lit(0))["time"].alias("start_time"),
+            F.element_at("line", -1)["time"].alias("end_time"),
+            F.concat(shape, F.array_join(text, ", "), F.lit(")")).alias("wkt"),
         )
     )

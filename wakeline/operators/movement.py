@@ -100,9 +100,9 @@ def track_endpoints(track: DataFrame) -> DataFrame:
 
 def track_steps(track: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Each place on the track with the one before it."""
-    places = with_slice(
-        track.where("on_track"), F.col("time"), ["lon", "lat"], slice_seconds
-    )
+    # Columns that no step needs would be read again for the edges of the slices.
+    places = track.where("on_track").select("mmsi", *_TRACK_ORDER)
+    places = with_slice(places, F.col("time"), ["lon", "lat"], slice_seconds)
     linked = with_previous(
         places,
         _TRACK_ORDER,
