@@ -1,13 +1,12 @@
 """The registered queries: each operator over the whole of the given tables."""
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import view
-from checks.parameters import COUNTRY, END, HOME_PORT, MAP, PORT, START, VESSEL, mid_text
+from checks.parameters import COUNTRY, END, HOME_PORT, MAP, PORT, START, VESSEL
 from wakeline.functions.text import is_match, lcs_length, ratio
 from wakeline.functions.values import (
     clipped_speed,
@@ -19,7 +18,7 @@ from wakeline.functions.values import (
 from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
 from wakeline.session import apply_settings, shared_folder
 from wakeline.sources import ais, register as registers
-from wakeline.sources.mid import mid_table
+from wakeline.sources.mid import scan_mid_table
 from wakeline.sources.sinks import write_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +79,7 @@ class Inputs:
 
     @property
     def mids(self) -> DataFrame:
-        return mid_table(self.spark, mid_text())
+        return scan_mid_table(self.spark)
 
     @property
     def page_links(self) -> DataFrame:
@@ -91,7 +90,9 @@ class Inputs:
         return enrich.vessel_links(self.page_links)
 
     def written(self, name: str) -> str:
-        return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        """One folder per query and scale, which the next run overwrites."""
+        scale = self.sf_dir.rstrip("/").rpartition("/")[2]
+        return f"{shared_folder(self.spark)}/wakeline-{scale}-{name}"
 
 
 def _epoch(reports: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def _scan_register(i: Inputs) -> DataFrame:
 
 def _scan_latin1(i: Inputs) -> DataFrame:
     path = i.written("latin1")
-    write_result(i.view("accented_register"), path, sep=";", encoding="ISO-8859-1")
+    write_result(i.view("latin1_register"), path, sep=";", encoding="ISO-8859-1")
     return registers.scan_register_text(i.spark, path)
 
 
@@ -182,8 +183,12 @@ def _name_similarity(i: Inputs) -> DataFrame:
     )
 
 
-def _fuzzy(i: Inputs) -> DataFrame:
-    return enrich.fuzzy_register_match(i.view("name_register"), i.vessel_links)
+def _matches(i: Inputs) -> DataFrame:
+    # The links are used twice; pages are read for them once.
+    path = i.written("links")
+    i.vessel_links.write.mode("overwrite").parquet(path)
+    links = i.spark.read.schema(i.vessel_links.schema).parquet(path)
+    return enrich.fuzzy_register_match(i.view("name_register"), links)
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -237,6 +242,10 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "draught_stats": lambda i: _rounded(
         movement.draught_stats(i.fleet_messages), "draught_avg_meters"
     ),
+    "draught_in_window": lambda i: _rounded(
+        movement.draught_stats(ais.observed_between(i.fleet_messages, START, END)),
+        "draught_avg_meters",
+    ),
     "dedup_reports": lambda i: _epoch(movement.dedup_reports(i.at_sea)),
     "speed_stats": lambda i: _rounded_mean(movement.speed_stats(i.track), "speed_avg"),
     "movement_extent": lambda i: movement.movement_extent(i.track),
@@ -265,8 +274,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "vessel_links": lambda i: i.vessel_links.select("page_id", "name", "imo", "mmsi"),
     "name_similarity": _name_similarity,
     "name_matches": lambda i: enrich.name_matches(i.view("name_register"), i.vessel_links),
-    "fuzzy_register_match": _fuzzy,
-    "register_update": lambda i: enrich.register_update(_fuzzy(i)),
+    "fuzzy_register_match": lambda i: _matches(i).drop("part", "pos"),
+    "register_update": lambda i: enrich.register_update(i.view("name_register"), _matches(i)),
 }
 
 

@@ -14,7 +14,7 @@ BASE_TABLES = {
     "vessel_pages": "part",
     "raw_numbers": "part",
     "all_pages": "pages",
-    "accented_register": "documents",
+    "latin1_register": "documents",
 }
 
 _MMSI = (
@@ -74,11 +74,13 @@ SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_acctbal < 0 THEN 1
 FROM customer
 """
 
-# Most ships have a name of their own; those of one brand share a few names.
+# Most ships have a name of their own; those of one brand share a few names, and those
+# of another share the words in front, as fleets do.
 _SHIP_LETTERS = (
     "translate(md5(CAST(p_partkey AS VARCHAR(20))), '0123456789abcdef', 'aeiourstnlmpdcgb')"
 )
-_SHIP = f"""CASE WHEN p_brand = 'Brand#1' THEN p_name ELSE
+_SHIP = f"""CASE WHEN p_brand = 'Brand#1' THEN p_name WHEN p_brand = 'Brand#2'
+  THEN concat('santa maria ', substr({_SHIP_LETTERS}, 1, 9)) ELSE
   concat(substr({_SHIP_LETTERS}, 1, 5), ' ', substr({_SHIP_LETTERS}, 6, 6)) END"""
 
 _NAME_REGISTER = f"""
@@ -89,7 +91,8 @@ SELECT CAST(p_partkey AS VARCHAR(20)) AS reg_id,
 FROM part
 """
 
-# A good link, one outside the container, one without the class and a broken one.
+# A good link, one outside the container, one without the class, a broken one, one in a
+# comment, and one with a bracket in a value and character references in its target.
 _VESSEL_PAGES = f"""
 SELECT p_partkey AS page_id, concat(
   '<html><body><a class="ship-link" href="/vessels/OUTSIDE-IMO-1-MMSI-2">x</a>',
@@ -100,16 +103,21 @@ SELECT p_partkey AS page_id, concat(
   '-IMO-', CAST(9000000 + p_partkey AS VARCHAR(20)),
   '-MMSI-', CAST(244000000 + p_partkey AS VARCHAR(20)),
   '">y</a><a href="/vessels/PLAIN-IMO-3-MMSI-4">z</a>',
-  '<a class="ship-link" href="/broken">w</a></td></tr></tbody></table></body></html>') AS html
+  '<a class="ship-link" href="/broken">w</a>',
+  '<!-- <a class="ship-link" href="/vessels/HIDDEN-IMO-5-MMSI-6">c</a> -->',
+  '<a title="a > b" class="ship-link" href="/ports/R&amp;D?a=1&#38;b=&lt;&#x33;&gt;">p</a>',
+  '</td></tr></tbody></table></body></html>') AS html
 FROM part
 """
 
-# Every accented word of a document, as text that fits Latin-1. A file has no empty
-# text apart from a missing one, so documents without such a word have none.
-_ACCENTED = """
-SELECT CAST(doc_id AS VARCHAR(20)) AS reg_id, lang AS port_code, nullif({words}, '') AS name
+# The whole text of a document; characters that Latin-1 lacks and line breaks are
+# replaced. A file has no empty text apart from a missing one, nor spaces around one.
+_LATIN1 = """
+SELECT CAST(doc_id AS VARCHAR(20)) AS reg_id, lang AS port_code,
+  nullif(trim(regexp_replace(text, {pattern}, '_'{every})), '') AS name
 FROM documents
 """
+_OUTSIDE_LATIN1 = "'[^ -~\u00a1-\u00ff]'"
 
 # Overlapping on purpose: a position may lie in two ports.
 _PORTS = """
@@ -139,20 +147,15 @@ VIEWS = {
     "raw_numbers": _RAW_NUMBERS,
 }
 
-_ACCENTS = r"[A-Za-z]*[À-ÖØ-öø-ÿ][A-Za-zÀ-ÖØ-öø-ÿ]*"
-SPARK_ACCENTED = _ACCENTED.format(
-    words=f"array_join(regexp_extract_all(text, r'({_ACCENTS})', 1), ' ')"
-)
-DUCKDB_ACCENTED = _ACCENTED.format(
-    words=f"array_to_string(regexp_extract_all(text, '{_ACCENTS}'), ' ')"
-)
+SPARK_LATIN1 = _LATIN1.format(pattern=_OUTSIDE_LATIN1, every="")
+DUCKDB_LATIN1 = _LATIN1.format(pattern=_OUTSIDE_LATIN1, every=", 'g'")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in BASE_TABLES:
         table = BASE_TABLES[name]
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(SPARK_ACCENTED if name == "accented_register" else VIEWS[name])
+    return spark.sql(SPARK_LATIN1 if name == "latin1_register" else VIEWS[name])
 
 
 def with_views(names: list[str], sql: str) -> str:
@@ -161,6 +164,6 @@ def with_views(names: list[str], sql: str) -> str:
     ``sql`` starts with SELECT or with further common table expressions.
     """
     views = ", ".join(
-        f"{n} AS ({DUCKDB_ACCENTED if n == 'accented_register' else VIEWS[n]})" for n in names
+        f"{n} AS ({DUCKDB_LATIN1 if n == 'latin1_register' else VIEWS[n]})" for n in names
     )
     return f"WITH RECURSIVE {views}{' ' if sql.startswith('SELECT') else ', '}{sql}"

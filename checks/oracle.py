@@ -82,11 +82,14 @@ def _cells(where: str, label: str = "") -> str:
 
 
 _LINKS = (
-    "boxes AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<tbody.*?</tbody>')) AS box "
-    "FROM vessel_pages), "
-    "tags AS (SELECT page_id, unnest(regexp_extract_all(box, '<a [^>]*>')) AS tag FROM boxes), "
-    "links AS (SELECT page_id, regexp_extract(tag, 'href=\"([^\"]*)\"', 1) AS href FROM tags "
-    "WHERE contains(tag, 'class=\"ship-link\"'))"
+    "boxes AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', "
+    "'', 'g'), '(?s)<tbody.*?</tbody>')) AS box FROM vessel_pages), "
+    "tags AS (SELECT page_id, unnest(regexp_extract_all(box, "
+    "'<a (?:[^>\"]|\"[^\"]*\")*>')) AS tag FROM boxes), "
+    "raw_links AS (SELECT page_id, regexp_extract(tag, 'href=\"([^\"]*)\"', 1) AS href FROM tags "
+    "WHERE contains(tag, 'class=\"ship-link\"')), "
+    "links AS (SELECT page_id, replace(replace(replace(replace(replace(href, '&#38;', '&'), "
+    "'&#x33;', '3'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS href FROM raw_links)"
 )
 _VESSEL_LINKS = (
     f"{_LINKS}, vessel_links AS (SELECT page_id, "
@@ -122,21 +125,14 @@ _MATCHES = (
     f"AND levenshtein(a, b) <= (len(a) + len(b)) // 5), {_lcs('pairs')}, "
     "matches AS (SELECT a, b FROM lcs WHERE 10 * n >= 4 * (len(a) + len(b)))"
 )
-_LISTS = (
-    f"{_MATCHES}, lists AS (SELECT a, count(*) AS n_matches, "
-    + ", ".join(
-        f"string_agg(l.{c}, ',' ORDER BY page_id) AS new_{c}" for c in ("name", "imo", "mmsi")
-    )
-    + " FROM matches JOIN vessel_links l ON lower(l.name) = b GROUP BY a), "
-    "matched AS (SELECT reg_id, r.mmsi, r.name, "
-    + ", ".join(
-        f"CASE WHEN r.name IS NULL OR trim(r.name) = '' THEN {c}_scrape "
-        f"ELSE coalesce(new_{c}, '---') END AS {c}_scrape"
-        for c in ("name", "imo", "mmsi")
-    )
-    + ", 0 AS list_part, CAST(coalesce(n_matches, 0) AS INT) AS n_matches "
-    "FROM name_register r LEFT JOIN lists ON lower(r.name) = a)"
+_FOUND = (
+    f"{_MATCHES}, found AS (SELECT a, page_id, l.name, l.imo, l.mmsi "
+    "FROM matches JOIN vessel_links l ON lower(l.name) = b), "
+    "firsts AS (SELECT a, count(*) AS n_matches, "
+    + ", ".join(f"arg_min({c}, page_id) AS first_{c}" for c in ("name", "imo", "mmsi"))
+    + " FROM found GROUP BY a)"
 )
+_NAMED = "trim(coalesce(r.name, '')) <> ''"
 
 
 def _sea(sql: str) -> str:
@@ -160,7 +156,7 @@ def statements() -> dict[str, str]:
         ),
         "scan_register_csv": with_views(reg, "SELECT * FROM register"),
         "scan_register_latin1": with_views(
-            ["accented_register"], "SELECT * FROM accented_register"
+            ["latin1_register"], "SELECT * FROM latin1_register"
         ),
         "observation_window": with_views(
             pos,
@@ -259,6 +255,14 @@ def statements() -> dict[str, str]:
             "min(coalesce(draught, 0.0)) / 10 AS draught_min_meters "
             "FROM messages WHERE mmsi IN (SELECT mmsi FROM fleet) GROUP BY mmsi",
         ),
+        "draught_in_window": with_views(
+            ["messages", "register"],
+            f"{_FLEET} SELECT mmsi, round(avg(coalesce(draught, 0.0)) / 10, 6) AS draught_avg_meters, "
+            "max(coalesce(draught, 0.0)) / 10 AS draught_max_meters, "
+            "min(coalesce(draught, 0.0)) / 10 AS draught_min_meters "
+            "FROM messages WHERE mmsi IN (SELECT mmsi FROM fleet) "
+            f"AND timestamp >= TIMESTAMP '{START}' AND timestamp < TIMESTAMP '{END}' GROUP BY mmsi",
+        ),
         "dedup_reports": _sea(
             f"{_TRACK_CTE} SELECT {_POSITION_COLUMNS}, time FROM kept"
         ),
@@ -328,11 +332,17 @@ def statements() -> dict[str, str]:
             pos, _cells(f"mmsi = {VESSEL} AND {_MAP}", ", CAST(mmsi AS VARCHAR) AS label")
         ),
         "vessel_trajectory": _sea(
-            f"{_STEPS_CTE} SELECT mmsi, CAST(time - time % 86400 AS BIGINT) AS part_start, "
+            # Every step of the uncut track is drawn in the part its start lies in.
+            f"{_STEPS_CTE}, places AS (SELECT mmsi, time - time % 86400 AS day, time, lon, lat, "
+            "lead(time) OVER w AS t2, lead(lon) OVER w AS lon2, lead(lat) OVER w AS lat2 "
+            "FROM steps WINDOW w AS (PARTITION BY mmsi ORDER BY time, lon, lat)), "
+            "drawn AS (SELECT mmsi, day, time, lon, lat FROM places UNION ALL "
+            "SELECT mmsi, day, t2, lon2, lat2 FROM places WHERE t2 - t2 % 86400 > day) "
+            "SELECT mmsi, CAST(day AS BIGINT) AS part_start, "
             "0 AS part, count(*) AS n_points, min(time) AS start_time, max(time) AS end_time, "
             "CASE WHEN count(*) = 1 THEN 'POINT (' ELSE 'LINESTRING (' END || "
             "string_agg(printf('%.4f %.4f', lon, lat), ', ' ORDER BY time, lon, lat) || ')' AS wkt "
-            "FROM steps GROUP BY mmsi, time - time % 86400"
+            "FROM drawn GROUP BY mmsi, day"
         ),
         # register completion
         "page_links": with_views(["vessel_pages"], f"{_LINKS} SELECT page_id, href FROM links"),
@@ -356,12 +366,21 @@ def statements() -> dict[str, str]:
             ["name_register", "vessel_pages"], f"{_MATCHES} SELECT a, b FROM matches"
         ),
         "fuzzy_register_match": with_views(
-            ["name_register", "vessel_pages"], f"{_LISTS} SELECT * FROM matched"
+            ["name_register", "vessel_pages"],
+            f"{_FOUND} SELECT DISTINCT lower(r.name) AS register_name, page_id, "
+            "coalesce(f.name, '---') AS name, coalesce(f.imo, '---') AS imo, "
+            "coalesce(f.mmsi, '---') AS mmsi FROM name_register r "
+            f"LEFT JOIN found f ON lower(r.name) = a WHERE {_NAMED}",
         ),
         "register_update": with_views(
             ["name_register", "vessel_pages"],
-            f"{_LISTS} SELECT reg_id, coalesce(mmsi, CASE WHEN n_matches = 1 "
-            "THEN TRY_CAST(mmsi_scrape AS INT) END) AS mmsi, name, name_scrape, imo_scrape, "
-            "mmsi_scrape, list_part, mmsi IS NULL AND n_matches > 1 AS ambiguous FROM matched",
+            f"{_FOUND} SELECT reg_id, coalesce(mmsi, CASE WHEN n_matches = 1 "
+            "THEN TRY_CAST(first_mmsi AS INT) END) AS mmsi, r.name, "
+            + ", ".join(
+                f"CASE WHEN {_NAMED} THEN coalesce(first_{c}, '---') ELSE {c}_scrape END AS {c}_scrape"
+                for c in ("name", "imo", "mmsi")
+            )
+            + ", coalesce(n_matches, 0) AS n_matches, mmsi IS NULL AND coalesce(n_matches, 0) > 1 "
+            "AS ambiguous FROM name_register r LEFT JOIN firsts ON lower(r.name) = a",
         ),
     }

@@ -1,16 +1,17 @@
 import glob
 import gzip
 
+import pyarrow.parquet as pq
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import Box
-from wakeline.functions.values import parse_double, parse_int
+from wakeline.functions.values import parse_amount, parse_double, parse_int
 from wakeline.operators import flags, registry
 from wakeline.plans import jobs
 from wakeline.plans.__main__ import run
 from wakeline.sources import ais, register
-from wakeline.sources.mid import bounded, mid_table, parse_mid_text
+from wakeline.sources.mid import bounded, scan_mid_table
 from wakeline.sources.sinks import write_result
 
 HEADER = "mmsi,lon,lat,accuracy,speed,course,rotation,status,timestamp\n"
@@ -86,11 +87,16 @@ def test_result_files(spark, tmp_path):
     assert [int(line.split(";")[0]) for line in lines] == list(range(99, -1, -1))
 
 
-def test_mid_table(spark):
-    text = "Denmark=219-220; Antarctica=501,618,635; Poland=261"
-    assert parse_mid_text(text)[:3] == [("219", "Denmark"), ("220", "Denmark"), ("501", "Antarctica")]
-    mids = mid_table(spark, text)
-    assert bounded(mids.union(mids)).count() == 6
+def test_own_mid_table_is_in_order_and_whole(spark):
+    rows = [tuple(r) for r in scan_mid_table(spark).collect()]
+    assert len(rows) == len({mid for mid, _ in rows}) == 289
+    assert rows == sorted(rows) and ("244", "Netherlands") in rows
+
+
+def test_mid_table(spark, tmp_path):
+    (tmp_path / "mid.csv").write_text("# digits\nmid,country\n219,Denmark\n220,Denmark\n261,Poland\n9,None\n")
+    mids = scan_mid_table(spark, f"{tmp_path}/mid.csv")
+    assert bounded(mids.union(mids)).count() == 3
     messages = spark.createDataFrame(
         [(219000001, 1, "A", "C", 30), (219000001, 1, "A", "C", 30), (261000001, 2, "B", "C", 70), (999, 3, "D", "C", 30)],
         "mmsi int, imo int, name string, callsign string, type_and_cargo int",
@@ -132,10 +138,100 @@ def test_fleet_statistics_job(spark, tmp_path):
     jobs.trip(spark, args[0], 10, Box(4.0, 51.0, 5.0, 52.0), f"{tmp_path}/trip")
     assert spark.read.csv(f"{tmp_path}/trip", header=True).count() == 2
     jobs.store_positions(spark, args[0], f"{tmp_path}/stored")
-    jobs.maps(spark, f"{tmp_path}/stored", f"{tmp_path}/maps", 10)
+    jobs.maps(spark, f"{tmp_path}/stored", f"{tmp_path}/maps", 10, fmt="parquet")
     assert spark.read.csv(f"{tmp_path}/maps/traffic_cells", header=True).count() == 3
 
 
+def test_observation_window_of_every_job(spark, tmp_path):
+    day = "10,{},51.5,1,1.0,0,0,0,2016-01-{} {}\n"
+    (tmp_path / "2016a").write_text(
+        HEADER + day.format(4.5, "01", "00:00:00") + day.format(4.5, "01", "12:00:00")
+        + day.format(6.0, "01", "13:00:00") + day.format(6.1, "01", "13:30:00")
+        + day.format(4.5, "02", "00:00:00") + day.format(6.3, "02", "01:00:00")
+    )
+    (tmp_path / "m2016").write_text(
+        "mmsi,imo,name,callsign,destination,draught,dim_a,dim_b,dim_c,dim_c,ship_type,timestamp\n"
+        "10,2,N,C,D,10,1,2,3,4,30,2016-01-01 00:00:00\n10,2,N,C,D,90,1,2,3,4,30,2016-09-01 00:00:00\n"
+    )
+    (tmp_path / "r.csv").write_text("mmsi;port_code;ton_gt;power_main\n10;YE;1;2\n")
+    (tmp_path / "ports.csv").write_text("port_code,west,south,east,north\nYE,4,51,5,52\n")
+    positions, messages, register, ports_file = (
+        f"{tmp_path}/{n}" for n in ("2016*", "m2016", "r.csv", "ports.csv")
+    )
+    box, window = Box(4.0, 51.0, 5.0, 52.0), jobs.Window("2016-01-01 00:00:00", "2016-01-02 00:00:00")
+    assert (window.hours, jobs.Window("2016-01-01", "2016-01-08 12:00:00").hours) == (24, 180)
+    jobs.store_positions(spark, positions, f"{tmp_path}/p")
+    jobs.store_messages(spark, messages, f"{tmp_path}/m")
+    read = lambda path: spark.read.csv(f"{tmp_path}/{path}", header=True)
+    for fmt, p, m in (("csv", positions, messages), ("parquet", f"{tmp_path}/p", f"{tmp_path}/m")):
+        out = f"{tmp_path}/{fmt}"
+        jobs.fleet_statistics(spark, p, m, register, out, box, "YE", window, fmt)
+        assert [tuple(r) for r in read(f"{fmt}/time_in_port").collect()] == [("10", "43200", "12.0", "12.0")]
+        assert read(f"{fmt}/movement_report").first().draught_avg_meters == "1.0"
+        jobs.trip(spark, p, 10, box, f"{out}/trip", window, fmt)
+        assert read(f"{fmt}/trip").count() == 2
+        jobs.maps(spark, p, f"{out}/maps", 10, window, fmt)
+        assert sum(int(r.n_reports) for r in read(f"{fmt}/maps/traffic_intensity").collect()) == 4
+        jobs.port_positions(spark, p, ports_file, f"{out}/ports", window, fmt)
+        assert spark.read.parquet(f"{out}/ports").count() == 2
+    week = jobs.Window("2016-01-01 00:00:00", "2016-01-08 00:00:00")
+    jobs.fleet_statistics(spark, positions, messages, register, f"{tmp_path}/week", box, "YE", week)
+    assert read("week/time_in_port").first().time_out_port_or_no_signal_h == "144.0"
+
+
+def test_store_keeps_other_days_and_is_in_order(spark, reports, tmp_path):
+    path = f"{tmp_path}/store"
+    day = 86400
+    first = [(m, s, 4.0, 51.0, 1.0) for s in range(0, 40000, 400) for m in range(9, 0, -1)]
+    ais.store_by_date(reports(first), path)
+    ais.store_by_date(reports([(1, day, 4.0, 51.0, 1.0)]), path)
+    assert spark.read.parquet(path).count() == len(first) + 1
+    # The same day again replaces that day only.
+    ais.store_by_date(reports([(1, day, 4.0, 51.0, 1.0), (2, day, 4.0, 51.0, 1.0)]), path)
+    assert spark.read.parquet(path).count() == len(first) + 2
+    for file in glob.glob(f"{path}/date=2024-01-01/*.parquet"):
+        rows = pq.read_table(file, columns=["mmsi", "timestamp"]).to_pylist()
+        order = [(r["mmsi"], r["timestamp"]) for r in rows]
+        assert order == sorted(order)
+
+
+def test_one_vessel_skips_row_groups(spark, reports, tmp_path):
+    path = f"{tmp_path}/store"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 * 1024))
+    hadoop.set("parquet.page.row.count.limit", "1000")
+    try:
+        rows = [(m, s, m + s / 7, 51 + s / 11, s / 13) for m in range(1, 21) for s in range(500)]
+        ais.store_by_date(reports(rows).coalesce(1), path)
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.row.count.limit")
+    one = ais.read_stored(spark, path).where("mmsi = 7")
+    assert one.count() == 500
+    frame = one.select("lon")
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    assert 500 <= scan.metrics().apply("numOutputRows").value() < len(rows) / 2
+
+
+def test_window_opens_its_own_days_only(spark, reports, tmp_path):
+    path = f"{tmp_path}/store"
+    ais.store_by_date(reports([(1, d * 86400, 4.0, 51.0, 1.0) for d in range(-1, 3)]), path)
+    day = ais.read_stored(spark, path, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    assert day.count() == 1
+    files = {f.rsplit("/", 2)[1] for f in day.select("mmsi", F.input_file_name().alias("f")).toPandas().f}
+    assert files == {"date=2024-01-01"}
+    plan = day._jdf.queryExecution().executedPlan()
+    assert plan.collectLeaves().head().metrics().apply("numFiles").value() <= 1
+
+
+def test_amounts_with_points_between_thousands(spark):
+    df = spark.createDataFrame([("1.234,5",), ("12.345.678,25",), ("1234,5",), ("1.234",), ("a,b",)], "t string")
+    got = [r[0] for r in df.select(parse_amount(F.col("t"))).collect()]
+    assert got == [1234.5, 12345678.25, 1234.5, 1.234, None]
+
+
 def test_jobs_from_the_command_line(spark, tmp_path):
     (tmp_path / "r.csv").write_text("mmsi;port_code;ton_gt;power_main\n10;YE;1;2\n11;YE;3;4\n")
     run(spark, "register_statistics", [f"{tmp_path}/r.csv", f"{tmp_path}/out"])
@@ -153,6 +249,7 @@ def test_complete_register_job(spark, tmp_path):
     jobs.complete_register(
         spark, f"{tmp_path}/r.csv", f"{tmp_path}/pages", "Vessel", f"{tmp_path}/out"
     )
-    got = {r.cfr: r for r in spark.read.csv(f"{tmp_path}/out", sep=";", header=True).collect()}
+    written = spark.read.csv(f"{tmp_path}/out", sep=";", header=True, encoding="ISO-8859-1")
+    got = {r.cfr: r for r in written.collect()}
     assert (got["1"].mmsi, got["1"].name_scrape) == ("244000001", "ZEEHOND é")
     assert got["2"].mmsi_scrape == "---"

@@ -36,5 +36,7 @@ def parse_int(text: Column) -> Column:
 
 
 def parse_amount(text: Column) -> Column:
-    """Register figures may carry a decimal comma."""
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    """Register figures may carry a decimal comma, and then points between thousands."""
+    grouped = text.rlike(r"^\s*[+-]?[0-9]{1,3}(\.[0-9]{3})+,[0-9]+\s*$")
+    plain = F.when(grouped, F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
+    return F.replace(plain, F.lit(","), F.lit(".")).try_cast("double")

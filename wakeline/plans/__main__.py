@@ -2,10 +2,10 @@
 
     spark-submit --py-files wakeline.zip wakeline/plans/__main__.py \
         fleet_statistics positions messages register.csv results \
-        4.05205,51.49605,4.05736,51.50257 YE "2016-01-01 00:00:00,2016-01-02 00:00:00"
+        4.2,51.2,4.6,51.6 YE "2016-01-01 00:00:00,2016-01-02 00:00:00" parquet
 
 The arguments are those of the job in ``jobs.py``, in order; a box is west, south,
-east, north and a window is start, end and, if it is not a day, hours.
+east, north, a window is start, end, and ``-`` stands for none.
 """
 
 import sys
@@ -22,19 +22,19 @@ def _box(text: str) -> Box:
 
 
 def _window(text: str) -> jobs.Window:
-    start, end, *hours = text.split(",")
-    return jobs.Window(start, end, *(float(h) for h in hours))
+    return jobs.Window(*text.split(","))
 
 
 # What each job's arguments are read as.
 JOBS = {
     "store_positions": (str, str),
-    "reference_frame": (str, str, str, str),
-    "fleet_statistics": (str, str, str, str, _box, str, _window),
+    "store_messages": (str, str),
+    "reference_frame": (str, str, str, str, _window, str),
+    "fleet_statistics": (str, str, str, str, _box, str, _window, str),
     "register_statistics": (str, str),
-    "trip": (str, int, _box, str),
-    "maps": (str, str, int),
-    "port_positions": (str, str, str),
+    "trip": (str, int, _box, str, _window, str),
+    "maps": (str, str, int, _window, str),
+    "port_positions": (str, str, str, _window, str),
     "complete_register": (str, str, str, str),
 }
 
@@ -43,7 +43,7 @@ def run(spark: SparkSession, name: str, arguments: list[str]) -> None:
     readers = JOBS[name]
     if len(arguments) > len(readers):
         raise SystemExit(f"{name} takes at most {len(readers)} arguments")
-    values = [read(text) for read, text in zip(readers, arguments)]
+    values = [None if text == "-" else read(text) for read, text in zip(readers, arguments)]
     getattr(jobs, name)(apply_settings(spark), *values)
 
 

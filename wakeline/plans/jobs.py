@@ -1,10 +1,14 @@
 """The published processes as jobs over files.
 
 Each job reads its inputs, runs the operators and writes one folder per result.
-Position inputs are CSV globs, or a folder written by ``store_positions``, which
-is the faster choice for more than one run.
+Positions and messages are CSV globs, or, with the format ``parquet``, folders
+written by ``store_positions`` and ``store_messages``, which is the faster choice for
+more than one run. A window narrows both to the time of observation.
 """
 
+import datetime as dt
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,40 +17,77 @@ from wakeline.functions.geo import Box
 from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
 from wakeline.sources import ais
 from wakeline.sources.mid import scan_mid_table
-from wakeline.sources.register import scan_register, scan_register_text
+from wakeline.session import shared_folder
+from wakeline.sources.register import REGISTER_ENCODING, scan_register, scan_register_text
 from wakeline.sources.sinks import write_result
 
 
+# Fixed value: the number of files of results of a fleet.
+FLEET_FILES = 5
+
+
 @dataclass(frozen=True)
 class Window:
     """The observation window, start included and end not, in UTC."""
 
     start: str
     end: str
-    hours: float = 24
+
+    @property
+    def hours(self) -> float:
+        length = dt.datetime.fromisoformat(self.end) - dt.datetime.fromisoformat(self.start)
+        return length / dt.timedelta(hours=1)
 
 
 def store_positions(spark: SparkSession, csv_path: str, out: str) -> None:
     ais.store_by_date(ais.scan_positions(spark, csv_path), out)
 
 
-def read_positions(spark: SparkSession, path: str, window: Window | None) -> DataFrame:
-    if not path.endswith((".csv", ".gz")):
-        stored = spark.read.parquet(path)
-        return ais.observed_between(stored, window.start, window.end).drop("date") if window else (
-            stored.drop("date")
-        )
-    positions = ais.scan_positions(spark, path)
-    return ais.observed_between(positions, window.start, window.end) if window else positions
+def store_messages(spark: SparkSession, csv_path: str, out: str) -> None:
+    ais.store_by_date(ais.scan_messages(spark, csv_path), out)
+
+
+def _read(
+    spark: SparkSession,
+    scan: Callable[[SparkSession, str], DataFrame],
+    path: str,
+    window: Window | None,
+    fmt: str,
+) -> DataFrame:
+    if fmt == "parquet":
+        bounds = (window.start, window.end) if window else ()
+        return ais.read_stored(spark, path, *bounds)
+    if fmt != "csv":
+        raise ValueError(f"format is csv or parquet, not {fmt}")
+    reports = scan(spark, path)
+    return ais.observed_between(reports, window.start, window.end) if window else reports
+
+
+def read_positions(
+    spark: SparkSession, path: str, window: Window | None = None, fmt: str = "csv"
+) -> DataFrame:
+    return _read(spark, ais.scan_positions, path, window, fmt)
+
+
+def read_messages(
+    spark: SparkSession, path: str, window: Window | None = None, fmt: str = "csv"
+) -> DataFrame:
+    return _read(spark, ais.scan_messages, path, window, fmt)
 
 
 def reference_frame(
-    spark: SparkSession, messages_path: str, mid_path: str, country: str, out: str
+    spark: SparkSession,
+    messages_path: str,
+    country: str,
+    out: str,
+    mid_path: str | None = None,
+    window: Window | None = None,
+    fmt: str = "csv",
 ) -> None:
     """Fishing vessels of one country from static messages."""
-    messages = ais.scan_messages(spark, messages_path)
+    messages = read_messages(spark, messages_path, window, fmt)
     frame = flags.reference_frame(messages, scan_mid_table(spark, mid_path), country)
-    write_result(frame, out)
+    write_result(frame, out, files=FLEET_FILES)
 
 
 def fleet_statistics(
@@ -58,34 +99,54 @@ def fleet_statistics(
     port: Box,
     home_port: str,
     window: Window | None = None,
+    fmt: str = "csv",
 ) -> None:
     """Time in port, fishing activity and movement of a fleet."""
     register = scan_register(spark, register_path)
     ids = fleet.fleet_ids(register)
-    positions = fleet.of_vessels(read_positions(spark, positions_path, window), ids)
-    messages = fleet.of_vessels(ais.scan_messages(spark, messages_path), ids)
+    positions = fleet.of_vessels(read_positions(spark, positions_path, window, fmt), ids)
+    messages = fleet.of_vessels(read_messages(spark, messages_path, window, fmt), ids)
     at_sea = dwell.reports_at_sea(positions, fleet.home_port_ids(register, home_port), port)
 
-    window_hours = window.hours if window else 24
-    write_result(dwell.time_in_port(positions, port, window_hours), f"{out}/time_in_port")
-    write_result(dwell.time_fishing_activity(at_sea), f"{out}/time_fishing_activity")
-    write_result(movement.movement_report(at_sea, messages), f"{out}/movement_report")
+    hours = window.hours if window else 24
+    results = {
+        "time_in_port": dwell.time_in_port(positions, port, hours),
+        "time_fishing_activity": dwell.time_fishing_activity(at_sea),
+        "movement_report": movement.movement_report(at_sea, messages),
+    }
+    # One row per vessel each.
+    for name, result in results.items():
+        write_result(result, f"{out}/{name}", files=FLEET_FILES)
 
 
 def register_statistics(spark: SparkSession, register_path: str, out: str) -> None:
-    by_port = registry.register_by_port(scan_register(spark, register_path))
-    write_result(by_port, out, files=None)
+    write_result(registry.register_by_port(scan_register(spark, register_path)), out)
 
 
-def trip(spark: SparkSession, positions_path: str, mmsi: int, port: Box, out: str) -> None:
+def trip(
+    spark: SparkSession,
+    positions_path: str,
+    mmsi: int,
+    port: Box,
+    out: str,
+    window: Window | None = None,
+    fmt: str = "csv",
+) -> None:
     """One vessel's reports at sea, in order of time over all files."""
-    positions = read_positions(spark, positions_path, None)
-    write_result(dwell.vessel_trip(positions, [mmsi], port), out, files=None)
+    positions = read_positions(spark, positions_path, window, fmt)
+    write_result(dwell.vessel_trip(positions, [mmsi], port), out)
 
 
-def maps(spark: SparkSession, positions_path: str, out: str, mmsi: int | None = None) -> None:
+def maps(
+    spark: SparkSession,
+    positions_path: str,
+    out: str,
+    mmsi: int | None = None,
+    window: Window | None = None,
+    fmt: str = "csv",
+) -> None:
     """Cells of the traffic map, and of one vessel's route."""
-    positions = read_positions(spark, positions_path, None)
+    positions = read_positions(spark, positions_path, window, fmt)
     write_result(cells.traffic_cells(positions), f"{out}/traffic_cells")
     write_result(cells.traffic_intensity(positions), f"{out}/traffic_intensity")
     if mmsi is not None:
@@ -93,7 +154,12 @@ def maps(spark: SparkSession, positions_path: str, out: str, mmsi: int | None =
 
 
 def port_positions(
-    spark: SparkSession, positions_path: str, ports_path: str, out: str
+    spark: SparkSession,
+    positions_path: str,
+    ports_path: str,
+    out: str,
+    window: Window | None = None,
+    fmt: str = "csv",
 ) -> None:
     """Positions inside the boxes of a ports table, as Parquet by port."""
     boxes = spark.read.csv(
@@ -101,7 +167,7 @@ def port_positions(
         header=True,
         schema="port_code string, west double, south double, east double, north double",
     )
-    found = ports.positions_by_port(read_positions(spark, positions_path, None), boxes)
+    found = ports.positions_by_port(read_positions(spark, positions_path, window, fmt), boxes)
     found.write.mode("overwrite").partitionBy("port_code").parquet(out)
 
 
@@ -110,10 +176,20 @@ def complete_register(
 ) -> None:
     """Add scraped identities to a Latin-1 register by similar names.
 
-    ``pages_path`` holds downloaded pages as Parquet with page_id and html.
+    ``pages_path`` holds downloaded pages as Parquet with page_id and html. The result
+    is written as the register is read, so it can be completed again; every match is
+    written beside it, as Parquet under ``out`` with ``-matches`` behind. ``out`` must
+    not be the register itself.
     """
     register = scan_register_text(spark, register_path).withColumnRenamed(name_column, "name")
     links = enrich.vessel_links(enrich.page_links(spark.read.parquet(pages_path)))
-    matched = enrich.fuzzy_register_match(enrich.with_scrape_columns(register), links)
-    result = enrich.register_update(matched).withColumnRenamed("name", name_column)
-    write_result(result, out, sep=";")
+    # Names and rows of the links are read apart; the pages are parsed once.
+    stored = f"{shared_folder(spark)}/wakeline-links-{uuid.uuid4().hex}"
+    links.write.parquet(stored)
+    links = spark.read.schema(links.schema).parquet(stored)
+    matches_path = f"{out.rstrip('/')}-matches"
+    matches = enrich.fuzzy_register_match(register, links)
+    matches.write.mode("overwrite").parquet(matches_path)
+    matches = spark.read.schema(matches.schema).parquet(matches_path)
+    result = enrich.register_update(register, matches).withColumnRenamed("name", name_column)
+    write_result(result, out, sep=";", encoding=REGISTER_ENCODING)

@@ -1,7 +1,5 @@
 """Session settings the operators rely on, and the folder for written tables."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,15 +22,6 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster.
-
-    A session on one machine that names none, as in tests, gets a temporary folder.
-    """
+    """The folder all executors can reach: spark.checkpoint.dir, else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="wakeline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

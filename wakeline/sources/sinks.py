@@ -4,12 +4,12 @@ from pyspark.sql import DataFrame
 
 
 def write_result(
-    result: DataFrame, path: str, fmt: str = "csv", files: int | None = 5, **options
+    result: DataFrame, path: str, fmt: str = "csv", files: int | None = None, **options
 ) -> None:
-    """Overwrite ``path`` with ``files`` files.
+    """Overwrite ``path`` with the result as it is partitioned, or with ``files`` files.
 
-    ``files=None`` writes the result as it is partitioned: the files of a sorted
-    result then follow each other in its order, which spreading it would lose.
+    The files of a sorted result follow each other in its order, which spreading it
+    would lose; and a fixed number is for results that do not grow with the reports.
     """
     if files is not None:
         result = result.repartition(files)
