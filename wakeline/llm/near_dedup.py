@@ -21,8 +21,9 @@ BAND_ROWS = 5
 # Hashes compared at a time, and the probability at which pruning may miss a link.
 BATCH = 30
 MISS = 1e-6
-# Members of a bucket that are compared in one block.
+# Documents of a cluster in one block, and of one that is not taken by its buckets.
 BLOCK = 512
+CLUSTER = 2048
 _SLICE_BYTES = 2 << 20
 _SHINGLES_AT_ONCE = 1 << 13
 
@@ -215,69 +216,88 @@ def _central_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(
-    members: DataFrame, labels: DataFrame, signed: DataFrame, percent: int
-) -> DataFrame:
-    """Likely pairs of one bucket that the links so far leave in different components.
-
-    Buckets whose members are all connected need no more work. The others are cut
-    into blocks; a task compares two blocks at a time on signatures and emits only
-    pairs that survive, each in the first bucket the two share.
-    """
-    labels = labels.select(F.col("node").alias("doc_id"), "component").hint("merge")
-    labelled = members.join(labels, "doc_id", "left").withColumn(
+def _cross_links(
+    members: DataFrame, met: DataFrame, labels: DataFrame, signed: DataFrame,
+    texts: DataFrame, percent: int,
+) -> DataFrame:
+    """Links between candidates that the links so far leave in different components.
+
+    Documents that met, directly or over others, form a cluster. A cluster that is
+    connected needs no more work. Members of another are cut into blocks, and a task
+    compares two blocks: pairs that share a bucket, that signatures do not prune and
+    that links found before do not connect are checked on their full sets. A cluster
+    of more than CLUSTER documents is compared bucket by bucket instead, each pair
+    in the first bucket it shares. Only links leave a task, at most one for each
+    member of its blocks.
+    """
+    labels = labels.withColumnRenamed("node", "doc_id").hint("merge")
+    clusters = components(met).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    nodes = clusters.join(labels, "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")
     )
-    open_keys = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
-        .hint("merge")
+    is_open = F.min("component") < F.max("component")
+    sizes = nodes.groupBy("cluster").agg(F.count("*").alias("size"), is_open.alias("open"))
+    nodes = written(nodes.join(sizes.where("open").hint("merge"), "cluster"), "clusters")
+    small = nodes.where(F.col("size") <= CLUSTER).select(
+        F.col("cluster").cast("long").alias("key"), F.lit(False).alias("by_key"),
+        "doc_id", "component", "size",
+    )
+    large = nodes.where(F.col("size") > CLUSTER).select("doc_id", "component")
+    in_keys = members.join(large.hint("merge"), "doc_id")
+    open_keys = in_keys.groupBy("key").agg(is_open.alias("open")).where("open")
+    rows = small.unionAll(
+        in_keys.join(open_keys.select("key").hint("merge"), "key", "left_semi").select(
+            "key", F.lit(True).alias("by_key"), "doc_id", "component", "size"
+        )
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    last_block = F.floor((F.col("size") - 1) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), last_block + 1).cast("int")
     rows = (
-        labelled.join(open_keys, "key", "left_semi")
-        .join(signed.select("doc_id", "n_shingles", "bands", "code").hint("merge"), "doc_id")
-        .withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last_block)))
+        .join(signed.select("doc_id", "bands", "code").hint("merge"), "doc_id")
+        .join(texts.hint("merge"), "doc_id")
         .select(
-            "key",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            "own", "doc_id", "component", "n_shingles", "bands", "code",
+            "key", "by_key", F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "bands",
+            "code", "text",
         )
     )
     pair_type = dict(members.dtypes)["doc_id"]
 
     def crossed(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id").combine_chunks()
-        ids, label, size, own = (
-            table.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "own")
-        )
-        key, i, j = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
+        key, by_key, i, j = (table.column(c)[0].as_py() for c in ("key", "by_key", "i", "j"))
+        ids, label, own = (table.column(c).to_numpy() for c in ("doc_id", "component", "own"))
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         codes = _codes(table.column("code").combine_chunks())
-        left, right = [], []
-        for row in range(len(ids)):
-            if i != j and own[row] != i:
-                continue
-            rest = np.arange(len(ids)) if i != j else np.arange(row + 1, len(ids))
-            rest = rest[(label[rest] != label[row]) & ((own[rest] == j) | (i == j))]
+        sets = shingle_sets(*utf8(table.column("text").combine_chunks()))
+        size = np.array([len(x) for x in sets])
+        label, links = label.copy(), []
+        for row in np.flatnonzero(own == i):
+            rest = np.flatnonzero((own == j) & (label != label[row]))
+            rest = rest[rest > row] if i == j else rest
             small, large = np.minimum(size[rest], size[row]), np.maximum(size[rest], size[row])
             rest = rest[100 * small >= percent * large]
             same = bands[rest] == bands[row]
-            rest = rest[bands[row][same.argmax(axis=1)] == key]
-            rest = rest[likely(np.broadcast_to(codes[row], (len(rest), _HASHES)), codes[rest], percent)]
-            left.append(np.full(len(rest), ids[row]))
-            right.append(ids[rest])
-        empty = np.zeros(0, np.int64)
-        a, b = np.concatenate([empty, *left]), np.concatenate([empty, *right])
+            if by_key:
+                rest = rest[bands[row][same.argmax(axis=1)] == key]
+            else:
+                rest = rest[same.any(axis=1)]
+            alike = np.broadcast_to(codes[row], (len(rest), _HASHES))
+            for other in rest[likely(alike, codes[rest], percent)]:
+                if label[row] == label[other]:
+                    continue
+                both = len(np.intersect1d(sets[row], sets[other], assume_unique=True))
+                if 100 * both >= percent * (size[row] + size[other] - both):
+                    label[label == label[other]] = label[row]
+                    links.append((ids[row], ids[other]))
+        a, b = np.array(links, ids.dtype).reshape(-1, 2).T
         return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
-    return rows.groupBy("key", "i", "j").applyInArrow(crossed, f"a {pair_type}, b {pair_type}")
+    return rows.groupBy("key", "by_key", "i", "j").applyInArrow(
+        crossed, f"a {pair_type}, b {pair_type}"
+    )
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -316,14 +336,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = written(_verified(_pruned(met, signed, percent), texts, percent), "links")
     labels = components(links)
 
-    ends = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = _cross_pairs(members, labels, signed, percent).join(
-        ends.hint("merge"), ["a", "b"], "left_anti"
-    )
-    more = written(more, "pairs")
-    wanted = more.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    few = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
-    more_links = _verified(more, few, percent)
+    more_links = written(_cross_links(members, met, labels, signed, texts, percent), "links")
     labels = components(links.unionAll(more_links))
 
     labels = labels.withColumnRenamed("node", "class_id").hint("merge")
