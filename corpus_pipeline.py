@@ -6,7 +6,7 @@ along whatever their names. Rows without doc_id cannot be referred to: the near-
 duplicate and the suffix stage let them pass as they are.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm.exact_dedup import exact_duplicates, text_digest
@@ -15,19 +15,31 @@ from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.queries import vocabulary
 from wakeline.llm.repeats import remove_repeats
-from wakeline.llm.tables import let_workers_import, written
+from wakeline.llm.tables import prepare, written
 
 # Word shingles of near duplicates: this percentage of similarity or more.
 NEAR_PERCENT = 80
 
 
+def _rows(docs: DataFrame, *also: str) -> DataFrame:
+    """The text, and all other columns as one, which clashes with no name of an operator."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row"), "text", *also)
+
+
+def _columns(docs: DataFrame, rows: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    from_row = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"}
+    values = from_row | {"text": F.col("text")} | changed
+    return rows.select(*(values[c].alias(c) for c in docs.columns))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and that the classifier takes for good ones."""
-    let_workers_import(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    kept = quality_rules(rows, train(docs, labels), carry=["row"]).where("kept")
-    return kept.select("row.*")
+    kept = quality_rules(_rows(docs), train(docs, labels), carry=["row", "text"]).where("kept")
+    return _columns(docs, kept, {})
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +61,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, and all without a partner."""
-    let_workers_import(spark)
+    prepare(spark)
     kept = near_duplicates(docs, NEAR_PERCENT).where("kept AND doc_id IS NOT NULL")
     # Neither side has a size bound.
     stay = docs.join(kept.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
@@ -59,24 +71,22 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without strings that start earlier; n_chars is counted anew.
 
-    A character that is cut apart goes, with any replacement character. A document
+    Of a text that loses bytes a character cut apart goes, and any replacement character.
+    A missing text becomes empty. A document
     that loses all its text stays with an empty one.
     """
-    let_workers_import(spark)
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    kept = F.make_valid_utf8(F.col("kept").cast("string"))
-    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(
-        F.replace(kept, F.lit("\ufffd"), F.lit(""))
-    )
-    changed = {"text": text, "n_chars": F.length(text).cast("long")}
-    return remove_repeats(rows, carry=["row"]).select(
-        *(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns)
+    prepare(spark)
+    kept = F.col("kept").cast("string")
+    text = F.when(F.col("n_removed") == 0, kept).otherwise(
+        F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))
     )
+    left = remove_repeats(_rows(docs, "doc_id"), carry=["row"]).withColumn("text", text)
+    return _columns(docs, left, {"n_chars": F.length("text").cast("long")})
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of the documents with its place in a sequence."""
-    let_workers_import(spark)
+    prepare(spark)
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"))
     return pack(
         pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))

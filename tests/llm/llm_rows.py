@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from wakeline.llm.tables import let_workers_import
+from wakeline.llm.tables import prepare
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +19,7 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, "
 
 @pytest.fixture
 def llm_spark(spark):
-    let_workers_import(spark)
+    prepare(spark)
     return spark
 
 

@@ -251,10 +251,10 @@ def quality_rules(
                 [*carry, *_COUNTS, "probability"],
             )
 
-    chosen = docs.select(*carry, F.col("text").alias("text"))
+    chosen = docs.select(*carry, *({"text"} - set(carry)))
     schema = T.StructType(
         [
-            *chosen.schema.fields[:-1],
+            *docs.select(*carry).schema.fields,
             *(T.StructField(c, T.LongType()) for c in _COUNTS),
             T.StructField("probability", T.DoubleType()),
         ]

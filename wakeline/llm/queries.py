@@ -14,7 +14,7 @@ from wakeline.llm.packing import pack, token_pieces
 from wakeline.llm.quality_rules import quality_rules, train
 from wakeline.llm.repeats import remove_repeats
 from wakeline.llm.resampling import importance_sample, quality_share, target_documents
-from wakeline.llm.tables import let_workers_import
+from wakeline.llm.tables import prepare
 from wakeline.llm.token_counts import token_counts
 
 
@@ -25,7 +25,7 @@ def vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -15,11 +15,18 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers on the driver's machine find the package wherever they start.
+# Text a task hands to Python at a time.
+_BATCH_BYTES = 4 << 20
 
-    A cluster gets it with --py-files, as any package.
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of the session that the operators rely on.
+
+    Batches for Python are cut by bytes, as texts differ much in length. Workers on
+    the driver's machine find the package wherever they start; a cluster gets it with
+    --py-files, as any package.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
     if spark.sparkContext.master.startswith("local"):
         root = str(Path(__file__).resolve().parents[2])
         spark.sparkContext.environment["PYTHONPATH"] = root
