@@ -275,10 +275,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             repeated |= (rank[row] == open_rank) & np.isin(key, remembered)
         last = rank[row] == rank[-1]
         spare = np.zeros(len(key), bool)
+        # Also in the slice where the rank ends and others follow.
+        if len(remembered) > COMPARED_STRINGS:
+            spare = (rank[row] == open_rank) & ~repeated
         if rank[-1] != open_rank:
             open_rank, remembered = rank[-1], np.zeros(0, np.uint64)
-        elif len(remembered) > COMPARED_STRINGS:
-            spare = last & ~repeated
         if len(remembered) <= COMPARED_STRINGS:
             remembered = np.concatenate([remembered, np.unique(key[last])])
         ids, places, sizes = _merged(
