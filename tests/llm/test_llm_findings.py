@@ -58,3 +58,26 @@ def test_strings_of_a_full_rank_before_another_rank(monkeypatch):
         found, single = compared([batch.slice(n, width) for n in range(0, 40, width)])
         assert found == compared_by_hand(rows)
         assert single > 0 or width > 9
+
+
+def test_rows_that_share_a_doc_id_across_slices():
+    """The same place is no earlier start, however the copies fall into batches."""
+    text = bytes(33 + n * n % 89 for n in range(240))
+    rows = [(0, 1, 0, text), (0, 1, 0, text), (0, 1, 30, text[10:150]), (0, 1, 5, text[60:200]),
+            (0, 2, 0, text[:180]), (4, 3, 0, text), (4, 3, 0, text)]
+    batch = contexts_of(rows)
+    for width in (1, 2, 3, 7):
+        found, single = compared([batch.slice(n, width) for n in range(0, 7, width)])
+        assert single == 0 and found == compared_by_hand(rows)
+
+
+def test_texts_of_a_shared_doc_id_may_be_shorter(llm_spark, make_docs):
+    """A run is read in every row of its doc_id, as far as the text goes."""
+    side = [bytes(65 + (n * 7 + k * k) % 26 for k in range(120)).decode() for n in range(4)]
+    shared = "The same thirty-two bytes again, and again."
+    long = side[0] + shared + side[1]
+    rows = [(1, long), (1, long), (1, long[:130]), (1, ""), (2, side[2] + shared + side[1])]
+    found = {(r.doc_id, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(make_docs(rows)).collect()}
+    assert {(i, n) for i, n, _ in found} == {(1, 283), (1, 130), (1, 0), (2, 283)}
+    assert all(n_removed == 0 for i, _, n_removed in found if i == 1)
+    assert next(r for i, _, r in found if i == 2) >= 163

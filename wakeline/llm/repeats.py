@@ -233,13 +233,17 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             text = unpacker.decompress(batch.column("packed")[row].as_py())
             runs = pa.RecordBatch.from_struct_array(batch.column("runs")[row].values)
-            first, size = runs.column("first").to_pylist(), runs.column("size").to_pylist()
+            # Another row of the doc_id may have a shorter text than the run's own.
+            room = len(text) - LENGTH + 1 - runs.column("first").to_numpy()
+            size = np.minimum(runs.column("size").to_numpy(), room)
+            runs, size = runs.filter(pa.array(size > 0)), size[size > 0].tolist()
+            first = runs.column("first").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
                     runs.column("rank"),
                     pa.repeat(batch.column("doc_id")[row], runs.num_rows),
                     runs.column("first"),
-                    runs.column("size"),
+                    pa.array(size, pa.int32()),
                     pa.array(
                         [text[f : f + s + LENGTH - 1] for f, s in zip(first, size, strict=True)],
                         pa.binary(),
@@ -252,11 +256,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Single strings of open runs, in the order of rank, doc_id and first: the repeated ones.
 
-    Strings of the rank at the end of a batch are remembered for the next one. Beyond
+    Strings of the rank at the end of a batch are remembered for the next one, with
+    their earliest place: rows that share a doc_id give the same place again. Beyond
     COMPARED_STRINGS of a rank, strings not among the remembered are passed on for a
     comparison that is spread by string.
     """
-    open_rank, remembered = None, np.zeros(0, np.uint64)
+    open_rank, full = None, False
+    # The keys of the open rank in order, and the earliest document and place of each.
+    none = np.zeros(0, np.int64)
+    known, known_doc, known_place = np.zeros(0, np.uint64), none, none
     for batch in slices(batches, "context", _SLICE_BYTES):
         ends, data = utf8(batch.column("context"))
         rank, doc_id, first = (
@@ -267,28 +275,46 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         hashes = window_hashes(byte_values(1)[data], LENGTH, 1)[ends[:-1][row] + step]
         key = mixed(hashes ^ mixed(rank.view(np.uint64))[row])
-        place = first[row] + step
-        _, head, group = np.unique(key, return_index=True, return_inverse=True)
-        head = head[group]
-        repeated = (doc_id[row] != doc_id[row[head]]) | (place != place[head])
-        if open_rank is not None and len(remembered):
-            repeated |= (rank[row] == open_rank) & np.isin(key, remembered)
-        last = rank[row] == rank[-1]
-        spare = np.zeros(len(key), bool)
+        ids, place = doc_id[row], first[row] + step
+        keys, head, group = np.unique(key, return_index=True, return_inverse=True)
+        # Rows that share a doc_id may come in any order of their places.
+        early_doc = ids[head]
+        early_place = place[head].copy()
+        same = ids == early_doc[group]
+        np.minimum.at(early_place, group[same], place[same])
+        of_open = rank[row[head]] == open_rank if open_rank is not None else np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+        met = of_open & (known[at] == keys) if len(known) else np.zeros(len(keys), bool)
+        at = at[met]
+        overtaken = (known_doc[at] == early_doc[met]) & (known_place[at] > early_place[met])
+        late_ids, late_places = known_doc[at[overtaken]], known_place[at[overtaken]]
+        known_place[at[overtaken]] = early_place[met][overtaken]
+        early_doc[met], early_place[met] = known_doc[at], known_place[at]
+        repeated = (ids != early_doc[group]) | (place != early_place[group])
         # Also in the slice where the rank ends and others follow.
-        if len(remembered) > COMPARED_STRINGS:
-            spare = (rank[row] == open_rank) & ~repeated
+        spare = (full & of_open & ~met)[group] & ~repeated
         if rank[-1] != open_rank:
-            open_rank, remembered = rank[-1], np.zeros(0, np.uint64)
-        if len(remembered) <= COMPARED_STRINGS:
-            remembered = np.concatenate([remembered, np.unique(key[last])])
+            open_rank, full = rank[-1], False
+            known, known_doc, known_place = np.zeros(0, np.uint64), none, none
+            met = np.zeros(len(keys), bool)
+        if not full:
+            new = (rank[row[head]] == open_rank) & ~met
+            known = np.concatenate([known, keys[new]])
+            order = np.argsort(known, kind="stable")
+            known = known[order]
+            known_doc = np.concatenate([known_doc, early_doc[new]])[order]
+            known_place = np.concatenate([known_place, early_place[new]])[order]
+            full = len(known) > COMPARED_STRINGS
+        spare_key, spare_ids, spare_places = key[spare], ids[spare], place[spare]
         ids, places, sizes = _merged(
-            doc_id[row][repeated], place[repeated], np.ones(repeated.sum(), np.int64)
+            np.concatenate([ids[repeated], late_ids]),
+            np.concatenate([place[repeated], late_places]),
+            np.ones(repeated.sum() + len(late_ids), np.int64),
         )
         yield _compared_batch(REPEATED, np.zeros(len(ids), np.int64), ids, places, sizes)
         yield _compared_batch(
-            SINGLE, key[spare].view(np.int64), doc_id[row][spare], place[spare],
-            np.ones(spare.sum(), np.int64),
+            SINGLE, spare_key.view(np.int64), spare_ids, spare_places,
+            np.ones(len(spare_key), np.int64),
         )
 
 
