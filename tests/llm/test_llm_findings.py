@@ -1,10 +1,16 @@
 """Cases of the review: full ranks, shared ids, real licences, page wrappers."""
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_rows import llm_spark, make_docs  # noqa: F401
 
 from wakeline.llm import repeats
+from wakeline.llm.licenses import TEMPLATES, Templates, license_scan, terms
 
 
 def contexts_of(rows):
@@ -81,3 +87,57 @@ def test_texts_of_a_shared_doc_id_may_be_shorter(llm_spark, make_docs):
     assert {(i, n) for i, n, _ in found} == {(1, 283), (1, 130), (1, 0), (2, 283)}
     assert all(n_removed == 0 for i, _, n_removed in found if i == 1)
     assert next(r for i, _, r in found if i == 2) >= 163
+
+
+def window_by_hand(words, template, df, count):
+    def weight(w):
+        return math.log((1 + count) / (1 + df.get(w, 0))) + 1
+
+    def norm(v):
+        return math.sqrt(sum((n * weight(w)) ** 2 for w, n in v.items()))
+
+    b, best = Counter(terms(template)), 0.0
+    size = min(len(terms(template)), len(words))
+    for n in range(len(words) - size + 1):
+        a = Counter(words[n : n + size])
+        best = max(best, sum(a[w] * b[w] * weight(w) ** 2 for w in b) / norm(a) / norm(b))
+    return best
+
+
+def test_windows_equal_all_runs():
+    rng = random.Random(3)
+    df = {"the": 90, "license": 5, "version": 7, "mit": 3, "x": 40, "of": 80}
+    templates = Templates(TEMPLATES, df, 100)
+    others = {w: templates.weight(n) for w, n in df.items()}
+    vocabulary = [*sorted(templates.place), "x", "of", "zebra", "the", "the", "license"]
+    for length in (1, 3, 8, 40, 200):
+        words = rng.choices(vocabulary, k=length)
+        for n, cosines in templates.windows(words, others, range(len(templates.names))):
+            by_hand = window_by_hand(words, TEMPLATES[templates.names[n]], df, 100)
+            assert cosines.max() == pytest.approx(by_hand, abs=1e-8)
+
+
+def test_notices_among_other_words_whatever_the_size_of_the_corpus(llm_spark):
+    """A notice counts by itself, and the other words by their frequency."""
+    notices = {
+        "Copyright 2020 Foo. Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "(c) 2021 Jane. Released under the MIT License.": "MIT",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file': "Apache-2.0",
+        "# Use of this source code is governed\n# by a BSD 3-Clause license of Foo.": "BSD-3-Clause",
+    }
+    for more in (5, 3000):
+        rows = [(f"a/{n}", f"quite other words {n} the of") for n in range(more)]
+        rows += [(f"b/{n}", f"Words zz{n} before.\n{x}\nAnd of after.") for n, x in enumerate(notices)]
+        files = llm_spark.createDataFrame(rows, "path string, text string")
+        found = {r.path: r.license for r in license_scan(files).collect() if r.found != "none"}
+        assert found == {f"b/{n}": x for n, x in enumerate(notices.values())}
+
+
+def test_weights_of_other_terms_come_from_the_corpus(llm_spark):
+    """Many of the files have the odd word, so it weighs little: the notice still counts."""
+    odd = "Released under qq the qq MIT qq terms"
+    for more, license in ((0, None), (60, "MIT")):
+        rows = [("a", odd), *((f"t{n}", "released under the terms") for n in range(40))]
+        rows += [(f"x{n}", "qq") for n in range(more)]
+        files = llm_spark.createDataFrame(rows, "path string, text string")
+        assert {r.path: r.license for r in license_scan(files).collect()}["a"] == license

@@ -1,18 +1,24 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance from directories."""
 
 import re
-from collections.abc import Iterator, Mapping
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping
+from types import MappingProxyType
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.tables import slices, written
 
-# A line or a whole file is a statement of the licence it is at least this similar to.
+# A run of terms or a whole file is a statement of the licence it is at least this similar to.
 THRESHOLD = 0.6
 _SLICE_BYTES = 4 << 20
+# Terms a task counts before it passes them on, and rows of a batch of them.
+_HELD_TERMS = 1 << 19
+_TERM_ROWS = 1 << 16
 _TERM = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
 # The short notices of common licences, by their identifiers.
@@ -42,109 +48,239 @@ class Templates:
 
     def __init__(self, texts: Mapping[str, str], df: Mapping[str, int], count: int):
         self.names = sorted(texts)
+        self.count = count
         words = sorted({w for t in texts.values() for w in terms(t)})
+        self.names_of = words
         self.place = {word: i for i, word in enumerate(words)}
-        self.idf = np.array([np.log((1 + count) / (1 + df.get(w, 0))) + 1 for w in words])
-        # A term of no template counts as one that no document holds.
-        self.other = float(np.log(1 + count) + 1)
+        self.idf = np.array([self.weight(df.get(w, 0)) for w in words])
         rows = np.zeros((len(self.names), len(words)))
         for row, name in enumerate(self.names):
             for word in terms(texts[name]):
                 rows[row, self.place[word]] += 1
+        self.lengths = rows.sum(axis=1).astype(np.int64)
         rows *= self.idf
         self.rows = rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
-    def best(self, words: list[str]) -> tuple[float, str | None]:
-        """The most similar template, the first name of equals, and the cosine."""
-        vector, rest = np.zeros(len(self.idf)), {}
-        for word in words:
-            if word in self.place:
-                vector[self.place[word]] += 1
-            else:
-                rest[word] = rest.get(word, 0) + 1
-        vector *= self.idf
-        others = self.other**2 * sum(n * n for n in rest.values())
-        norm = np.sqrt(vector @ vector + others)
+    def weight(self, files: int) -> float:
+        """The weight of a term that this many files hold."""
+        return float(np.log((1 + self.count) / (1 + files)) + 1)
+
+    def codes(self, words: list[str], others: Mapping[str, float] | None):
+        """A number for each word, and its weight.
+
+        Words of no template have the weight in ``others``, or that of a word that no
+        file holds. Without ``others`` they weigh the least, as in every file.
+        """
+        held: dict[str, int] = {}
+        at = np.array(
+            [
+                self.place[w] if w in self.place else len(self.idf) + held.setdefault(w, len(held))
+                for w in words
+            ],
+            np.int64,
+        )
+        if others is None:
+            rest = np.ones(len(held))
+        else:
+            none = self.weight(0)
+            rest = np.array([others.get(w, none) for w in held])
+        return at, np.concatenate([self.idf, rest])
+
+    def cosines(self, words: list[str], others: Mapping[str, float] | None) -> np.ndarray:
+        """The cosine of the words to each template."""
+        at, weights = self.codes(words, others)
+        vector = np.bincount(at, minlength=len(weights)) * weights
+        norm = np.linalg.norm(vector)
         if not norm:
+            return np.zeros(len(self.names))
+        return np.round(self.rows @ vector[: len(self.idf)] / norm, 9)
+
+    def best(
+        self, words: list[str], others: Mapping[str, float] = MappingProxyType({})
+    ) -> tuple[float, str | None]:
+        """The most similar template, the first name of equals, and the cosine."""
+        if not words:
             return 0.0, None
-        cosines = np.round(self.rows @ vector / norm, 9)
+        cosines = self.cosines(words, others)
         return float(cosines.max()), self.names[int(cosines.argmax())]
 
-    def telling(self, threshold: float) -> re.Pattern:
-        """Matches texts with a term without which no template reaches the threshold.
+    def telling(self, threshold: float) -> list[frozenset[int]]:
+        """For each template the terms of which a text needs one to reach the threshold.
 
-        A text of the other terms only has at most the norm of a template over them
+        A text of the other terms only has at most the norm of the template over them
         as its cosine. The most frequent terms are left out as long as that stays
         below the threshold.
         """
-        words = sorted(self.place, key=lambda w: (self.idf[self.place[w]], w))
-        left_out = 0
-        while left_out < len(words):
-            part = [self.place[w] for w in words[: left_out + 1]]
-            if np.linalg.norm(self.rows[:, part], axis=1).max() >= threshold:
-                break
-            left_out += 1
-        choice = "|".join(re.escape(w) for w in sorted(words[left_out:], reverse=True))
-        return re.compile(rf"(?<![^\W_])(?:{choice})(?![^\W_])")
+        order = np.argsort(self.idf, kind="stable")
+        found = []
+        for row in self.rows:
+            norms = np.sqrt(np.cumsum(row[order] ** 2))
+            needed = order[np.searchsorted(norms, threshold - 1e-9) :]
+            found.append(frozenset(needed[row[needed] > 0].tolist()))
+        return found
+
+    def windows(
+        self, words: list[str], others: Mapping[str, float] | None, chosen: Iterable[int]
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """For each chosen template the cosine of every run of as many words as it has.
+
+        A shorter text is one run.
+        """
+        at, weights = self.codes(words, others)
+        square = weights[at] ** 2
+        known = at < len(self.idf)
+        norms: dict[int, np.ndarray] = {}
+        for row in chosen:
+            size = min(int(self.lengths[row]), len(words))
+            if size not in norms:
+                norms[size] = _window_norms(at, square, size)
+            part = np.zeros(len(words))
+            part[known] = self.rows[row, at[known]] * self.idf[at[known]]
+            sums = np.concatenate([[0.0], np.cumsum(part)])
+            yield row, np.round((sums[size:] - sums[: len(sums) - size]) / norms[size], 9)
+
+
+def _window_norms(at: np.ndarray, square: np.ndarray, size: int) -> np.ndarray:
+    """The norm of each run of ``size`` words: the squared counts by the squared weights."""
+    count = len(at)
+    order = np.argsort(at, kind="stable")
+    spread = at[order] * (count + 1) + order
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    # Words equal to each among it and the size - 1 before or behind it.
+    before = place - np.searchsorted(spread, at * (count + 1) + np.arange(count) - size + 1) + 1
+    behind = np.searchsorted(spread, at * (count + 1) + np.arange(count) + size) - place
+    first = (np.bincount(at[:size]) ** 2 * _by_code(at[:size], square[:size])).sum()
+    starts = np.arange(1, count - size + 1)
+    change = square[starts + size - 1] * (2 * before[starts + size - 1] - 1)
+    change -= square[starts - 1] * (2 * behind[starts - 1] - 1)
+    return np.sqrt(np.maximum(np.concatenate([[first], first + np.cumsum(change)]), 1.0))
+
+
+def _by_code(at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    found = np.zeros(at.max() + 1)
+    found[at] = values
+    return found
 
 
-def term_counts(files: DataFrame, texts: Mapping[str, str]) -> tuple[dict[str, int], int]:
-    """In how many files each term of the templates occurs, and the number of files."""
-    wanted = frozenset(w for t in texts.values() for w in terms(t))
+def term_counts(files: DataFrame) -> DataFrame:
+    """term, files: in how many files each term occurs; the empty term counts the files."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = dict.fromkeys(sorted(wanted), 0)
-        rows = 0
+        found: Counter[str] = Counter()
         for batch in slices(batches, "text", _SLICE_BYTES):
-            rows += batch.num_rows
+            found[""] += batch.num_rows
             for text in batch.column("text").to_pylist():
-                for word in wanted.intersection(terms(text or "")):
-                    found[word] += 1
-        # The empty term counts the files.
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(["", *found]), pa.array([rows, *found.values()])], ["term", "files"]
-        )
+                found.update(set(terms(text or "")))
+                if len(found) > _HELD_TERMS:
+                    yield from as_batch(found)
+                    found.clear()
+        yield from as_batch(found)
 
-    # One row for each term of the templates reaches the driver.
-    sums = (
+    def as_batch(found: Counter[str]) -> Iterator[pa.RecordBatch]:
+        names = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+        whole = pa.RecordBatch.from_arrays(names, ["term", "files"])
+        for first in range(0, len(found), _TERM_ROWS):
+            yield whole.slice(first, _TERM_ROWS)
+
+    return (
         files.select("text")
         .mapInArrow(counted, "term string, files long")
         .groupBy("term")
-        .agg(F.sum("files"))
-        .collect()
+        .agg(F.sum("files").alias("files"))
     )
-    counts = {term: int(number) for term, number in sums}
-    return counts, counts.pop("", 0)
 
 
-def own_licenses(files: DataFrame, templates: Templates, threshold: float) -> DataFrame:
-    """path, license, score and is_file of the files that state a licence themselves.
+_CANDIDATE = "id long, path string, size long, whole array<string>, parts array<array<string>>"
 
-    The whole text is compared first: then the file is a licence file. Otherwise its
-    most similar line decides, the first of equals.
+
+def candidates(files: DataFrame, templates: Templates, threshold: float) -> DataFrame:
+    """The files that may state a licence, each with the terms to compare.
+
+    Terms of no template count with the least weight here, so nothing that reaches the
+    threshold with the true weights is left out. ``whole`` has all terms when the whole
+    text may be similar, ``parts`` the runs of terms in which a window may be.
     """
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         telling = templates.telling(threshold)
+        needed = {templates.names_of[i] for i in frozenset().union(*telling)}
+        number = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", _SLICE_BYTES):
-            rows, names, scores, is_file = [], [], [], []
-            paths = batch.column("path").to_pylist()
+            rows, sizes, wholes, parts = [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                lower = (text or "").lower()
-                if not telling.search(lower):
+                words = terms(text or "")
+                if needed.isdisjoint(words):
                     continue
-                score, name = templates.best(terms(lower))
+                held = {templates.place[w] for w in needed.intersection(words)}
+                chosen = [n for n, t in enumerate(telling) if not t.isdisjoint(held)]
+                whole = templates.cosines(words, None).max() >= threshold
+                near = np.zeros(len(words) + 1, np.int64)
+                for n, cosines in templates.windows(words, None, chosen):
+                    start = np.flatnonzero(cosines >= threshold)
+                    np.add.at(near, start, 1)
+                    np.add.at(near, start + min(int(templates.lengths[n]), len(words)), -1)
+                inside = np.diff((np.cumsum(near) > 0).astype(np.int8), prepend=0)
+                found = zip(np.flatnonzero(inside == 1), np.flatnonzero(inside == -1), strict=True)
+                runs = [words[a:b] for a, b in found]
+                if whole or runs:
+                    rows.append(row)
+                    sizes.append(len(words))
+                    wholes.append(words if whole else None)
+                    parts.append(runs)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(number, number + len(rows))),
+                    batch.column("path").take(pa.array(rows, pa.int64())),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(wholes, pa.list_(pa.string())),
+                    pa.array(parts, pa.list_(pa.list_(pa.string()))),
+                ],
+                ["id", "path", "size", "whole", "parts"],
+            )
+            number += len(rows)
+
+    return files.select("path", "text").mapInArrow(scanned, _CANDIDATE)
+
+
+def own_licenses(
+    found: DataFrame, counts: DataFrame, templates: Templates, threshold: float
+) -> DataFrame:
+    """path, license, score and is_file of the files that state a licence themselves.
+
+    The whole text is compared first: then the file is a licence file. Otherwise the
+    most similar run of as many terms as a template has decides, wherever its lines
+    break, the first name of equals.
+    """
+    words = F.array_union(F.coalesce("whole", F.array().cast("array<string>")), F.flatten("parts"))
+    weighed = (
+        found.select("id", F.explode(words).alias("term"))
+        .join(counts.hint("merge"), "term")
+        .groupBy("id")
+        .agg(F.collect_list(F.struct("term", "files")).alias("others"))
+    )
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, names, scores, is_file = [], [], [], []
+            for row, file in enumerate(batch.to_pylist()):
+                others = {x["term"]: templates.weight(x["files"]) for x in file["others"] or []}
+                score, name = templates.best(file["whole"] or [], others)
                 whole = score >= threshold
                 if not whole:
-                    lines = (x for x in lower.split("\n") if telling.search(x))
-                    score, name = max(
-                        (templates.best(terms(line)) for line in lines), key=lambda x: x[0]
-                    )
+                    score, name = 0.0, None
+                    for part in file["parts"]:
+                        # A part shorter than the run of a template has none that counts.
+                        sizes = np.minimum(templates.lengths, file["size"])
+                        chosen = np.flatnonzero(sizes <= len(part)).tolist()
+                        for n, cosines in templates.windows(part, others, chosen):
+                            if (-cosines.max(), templates.names[n]) < (-score, name or ""):
+                                score, name = float(cosines.max()), templates.names[n]
                 if score >= threshold:
                     rows.append(row)
                     names.append(name)
                     scores.append(score)
-                    is_file.append(whole or bool(FILE_NAMES.fullmatch(paths[row] or "")))
+                    is_file.append(whole or bool(FILE_NAMES.fullmatch(file["path"] or "")))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("path").take(pa.array(rows, pa.int64())),
@@ -155,8 +291,8 @@ def own_licenses(files: DataFrame, templates: Templates, threshold: float) -> Da
                 ["path", "license", "score", "is_file"],
             )
 
-    return files.select("path", "text").mapInArrow(
-        scanned, "path string, license string, score double, is_file boolean"
+    return found.join(weighed.hint("merge"), "id", "left").mapInArrow(
+        judged, "path string, license string, score double, is_file boolean"
     )
 
 
@@ -171,14 +307,19 @@ def license_scan(
 ) -> DataFrame:
     """path, license, score, found and licensed_by, one row per distinct path.
 
-    ``found`` says where the licence stands: header (a line of the file), file (the
+    ``found`` says where the licence stands: header (a part of the file), file (the
     file is a licence file), directory (the licence file licensed_by in the nearest
     directory above), or none. Of several statements of a path or licence files of a
     directory the most similar counts, then the first path. Missing texts are empty.
     A missing path is a path of its own, in no directory. Other columns are not read.
     """
-    counts, rows = term_counts(files, texts)
-    own = written(own_licenses(files, Templates(texts, counts, rows), threshold), "licences")
+    counts = written(term_counts(files), "terms")
+    wanted = ["", *sorted({w for t in texts.values() for w in terms(t)})]
+    # One row for each term of the templates reaches the driver.
+    df = {term: int(number) for term, number in counts.where(F.col("term").isin(wanted)).collect()}
+    templates = Templates(texts, df, df.pop("", 0))
+    found = written(candidates(files, templates, threshold), "statements")
+    own = written(own_licenses(found, counts, templates, threshold), "licences")
     best = own.groupBy("path").agg(
         F.max_by(
             F.struct("license", "score", "is_file"),
