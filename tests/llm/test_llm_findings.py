@@ -10,6 +10,7 @@ import pytest
 from llm_rows import llm_spark, make_docs  # noqa: F401
 
 from wakeline.llm import repeats
+from wakeline.llm.licence_forms import licence_texts
 from wakeline.llm.licenses import TEMPLATES, Templates, license_scan, terms
 
 
@@ -127,7 +128,7 @@ def test_notices_among_other_words_whatever_the_size_of_the_corpus(llm_spark):
     }
     for more in (5, 3000):
         rows = [(f"a/{n}", f"quite other words {n} the of") for n in range(more)]
-        rows += [(f"b/{n}", f"Words zz{n} before.\n{x}\nAnd of after.") for n, x in enumerate(notices)]
+        rows += [(f"b/{n}", f"Words zz{n} before {x} And of after, odd words.") for n, x in enumerate(notices)]
         files = llm_spark.createDataFrame(rows, "path string, text string")
         found = {r.path: r.license for r in license_scan(files).collect() if r.found != "none"}
         assert found == {f"b/{n}": x for n, x in enumerate(notices.values())}
@@ -141,3 +142,94 @@ def test_weights_of_other_terms_come_from_the_corpus(llm_spark):
         rows += [(f"x{n}", "qq") for n in range(more)]
         files = llm_spark.createDataFrame(rows, "path string, text string")
         assert {r.path: r.license for r in license_scan(files).collect()}["a"] == license
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2019 Some People and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute,
+sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or
+substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
+NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+BSD_FILE = """Copyright (c) 2009 The Example Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+OWNER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+BSD_THIRD = """   * Neither the name of Example nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+GNU_HEADER = """# This file is part of Example.
+#
+# {0} is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {1}General Public License as
+# published by the Free Software Foundation, either version {2} of the
+# License, or (at your option) any later version.
+#
+# {0} is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+
+
+def test_licence_files_and_headers(llm_spark):
+    code = "\nimport numpy as np\n\ndef run(values):\n    return np.sort(values)[::-1]\n" * 30
+    stated = {
+        "m/LICENSE": (MIT_FILE, "MIT", "file"),
+        "m/notes.txt": (code + MIT_FILE + code, "MIT", "header"),
+        "b/x.c": ("/*\n * " + BSD_FILE.format(third="").replace("\n", "\n * ") + code, "BSD-2-Clause", "header"),
+        "b3/COPYING": (BSD_FILE.format(third=BSD_THIRD), "BSD-3-Clause", "file"),
+        "g/a.py": (GNU_HEADER.format("Example", "", 3) + code, "GPL-3.0", "header"),
+        "g/b.py": (GNU_HEADER.format("Example", "", 2) + code, "GPL-2.0", "header"),
+        "g/c.py": (GNU_HEADER.format("Example", "Affero ", 3) + code, "AGPL-3.0", "header"),
+        "g/d.py": (GNU_HEADER.format("Example", "Lesser ", "2.1") + code, "LGPL-2.1", "header"),
+        "t/readme": (code + "\nMIT License\n" + code, "MIT", "header"),
+        "t/other": (code + "\nApache License\n" + code, "Apache-2.0", "header"),
+        "s/x.rs": ("// SPDX-License-Identifier: MIT\n" + code, "MIT", "header"),
+        "s/y.rs": ("/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */\n" + code,
+                   "(GPL-2.0-only OR BSD-3-Clause)", "header"),
+        "r/x": (code + "Copyright Foo. All rights reserved.\n" + code, "Proprietary", "header"),
+        "w/x": (code + "# This work is licensed under a Creative Commons\n# Attribution-NoDerivatives"
+                " 4.0 International License.\n" + code, "CC-BY-ND-4.0", "header"),
+        "n/x": (code + "\nLicense\n\nIt has a license.\n", None, "none"),
+        "n/y": ("SPDX-License-Identifier: <the id>\n" + code, None, "none"),
+    }
+    for name, text in licence_texts().items():
+        stated[f"whole-{name}/LICENSE"] = (" ".join(text.split()), name, "file")
+    rows = [(path, x[0]) for path, x in stated.items()]
+    files = llm_spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: (r.license, r.found) for r in license_scan(files).collect()}
+    assert found == {path: x[1:] for path, x in stated.items()}

@@ -11,10 +11,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.licence_forms import RESERVATION, all_forms, tagged
 from wakeline.llm.tables import slices, written
 
 # A run of terms or a whole file is a statement of the licence it is at least this similar to.
 THRESHOLD = 0.6
+# The same for the whole text of a licence, as licences share much of their wording.
+TEXT_THRESHOLD = 0.8
 _SLICE_BYTES = 4 << 20
 # Terms a task counts before it passes them on, and rows of a batch of them.
 _HELD_TERMS = 1 << 19
@@ -58,6 +61,9 @@ class Templates:
             for word in terms(texts[name]):
                 rows[row, self.place[word]] += 1
         self.lengths = rows.sum(axis=1).astype(np.int64)
+        titles = [n for n, name in enumerate(self.names) if name.endswith("/title")]
+        self.titles = {n: frozenset(terms(texts[self.names[n]])) for n in titles}
+        self.runs = [n for n in range(len(self.names)) if n not in self.titles]
         rows *= self.idf
         self.rows = rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
@@ -104,8 +110,13 @@ class Templates:
         cosines = self.cosines(words, others)
         return float(cosines.max()), self.names[int(cosines.argmax())]
 
+    def thresholds(self, threshold: float) -> np.ndarray:
+        """The least cosine of each template."""
+        least = [TEXT_THRESHOLD if name.endswith("/text") else threshold for name in self.names]
+        return np.maximum(threshold, least)
+
     def telling(self, threshold: float) -> list[frozenset[int]]:
-        """For each template the terms of which a text needs one to reach the threshold.
+        """For each template the terms of which a text needs one to reach its threshold.
 
         A text of the other terms only has at most the norm of the template over them
         as its cosine. The most frequent terms are left out as long as that stays
@@ -113,9 +124,9 @@ class Templates:
         """
         order = np.argsort(self.idf, kind="stable")
         found = []
-        for row in self.rows:
+        for row, least in zip(self.rows, self.thresholds(threshold), strict=True):
             norms = np.sqrt(np.cumsum(row[order] ** 2))
-            needed = order[np.searchsorted(norms, threshold - 1e-9) :]
+            needed = order[np.searchsorted(norms, least - 1e-9) :]
             found.append(frozenset(needed[row[needed] > 0].tolist()))
         return found
 
@@ -191,7 +202,10 @@ def term_counts(files: DataFrame) -> DataFrame:
     )
 
 
-_CANDIDATE = "id long, path string, size long, whole array<string>, parts array<array<string>>"
+_CANDIDATE = (
+    "id long, path string, size long, whole array<string>, parts array<array<string>>,"
+    " lines array<array<string>>, tag string"
+)
 
 
 def candidates(files: DataFrame, templates: Templates, threshold: float) -> DataFrame:
@@ -200,34 +214,42 @@ def candidates(files: DataFrame, templates: Templates, threshold: float) -> Data
     Terms of no template count with the least weight here, so nothing that reaches the
     threshold with the true weights is left out. ``whole`` has all terms when the whole
     text may be similar, ``parts`` the runs of terms in which a window may be.
+    ``size`` is the number of all terms, ``lines`` has those of lines with a title, and
+    ``tag`` is an SPDX expression.
     """
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         telling = templates.telling(threshold)
+        least = templates.thresholds(threshold)
+        runs_only = np.isin(np.arange(len(least)), templates.runs)
         needed = {templates.names_of[i] for i in frozenset().union(*telling)}
         number = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", _SLICE_BYTES):
-            rows, sizes, wholes, parts = [], [], [], []
+            rows, sizes, wholes, parts, titled, tags = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 words = terms(text or "")
-                if needed.isdisjoint(words):
+                tag = tagged(text or "") if "spdx" in words else None
+                if tag is None and needed.isdisjoint(words):
                     continue
                 held = {templates.place[w] for w in needed.intersection(words)}
-                chosen = [n for n, t in enumerate(telling) if not t.isdisjoint(held)]
-                whole = templates.cosines(words, None).max() >= threshold
+                chosen = [n for n in templates.runs if not telling[n].isdisjoint(held)]
+                whole = (templates.cosines(words, None) >= least)[runs_only].any()
                 near = np.zeros(len(words) + 1, np.int64)
                 for n, cosines in templates.windows(words, None, chosen):
-                    start = np.flatnonzero(cosines >= threshold)
+                    start = np.flatnonzero(cosines >= least[n])
                     np.add.at(near, start, 1)
                     np.add.at(near, start + min(int(templates.lengths[n]), len(words)), -1)
                 inside = np.diff((np.cumsum(near) > 0).astype(np.int8), prepend=0)
                 found = zip(np.flatnonzero(inside == 1), np.flatnonzero(inside == -1), strict=True)
                 runs = [words[a:b] for a, b in found]
-                if whole or runs:
+                lines = _titled(text or "", words, templates, threshold)
+                if whole or runs or lines or tag:
                     rows.append(row)
                     sizes.append(len(words))
                     wholes.append(words if whole else None)
                     parts.append(runs)
+                    titled.append(lines)
+                    tags.append(tag)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(number, number + len(rows))),
@@ -235,24 +257,81 @@ def candidates(files: DataFrame, templates: Templates, threshold: float) -> Data
                     pa.array(sizes, pa.int64()),
                     pa.array(wholes, pa.list_(pa.string())),
                     pa.array(parts, pa.list_(pa.list_(pa.string()))),
+                    pa.array(titled, pa.list_(pa.list_(pa.string()))),
+                    pa.array(tags, pa.string()),
                 ],
-                ["id", "path", "size", "whole", "parts"],
+                ["id", "path", "size", "whole", "parts", "lines", "tag"],
             )
             number += len(rows)
 
     return files.select("path", "text").mapInArrow(scanned, _CANDIDATE)
 
 
+def _titled(text: str, words: list[str], templates: Templates, threshold: float):
+    """The terms of the lines that have all terms of a title and may be similar to it."""
+    held = set(words)
+    wanted = [(n, title) for n, title in templates.titles.items() if title <= held]
+    found = []
+    for line in text.split("\n") if wanted else []:
+        line_words = terms(line)
+        if any(title.issubset(line_words) for _, title in wanted):
+            cosines = templates.cosines(line_words, None)
+            if any(cosines[n] >= threshold for n, title in wanted if title.issubset(line_words)):
+                found.append(line_words)
+    return found
+
+
+def _statement(file: dict, templates: Templates, threshold: float):
+    """The licence of a file, its score, and whether the whole text states it."""
+    others = {x["term"]: templates.weight(x["files"]) for x in file["others"] or []}
+    least = templates.thresholds(threshold)
+    # (whether only rights are reserved, whether not the whole text, less the score, name)
+    stated = []
+
+    def state(n: int, score: float, whole: bool) -> None:
+        if score >= least[n]:
+            name = templates.names[n].split("/")[0]
+            stated.append((name == RESERVATION, not whole, -score, name))
+
+    if file["whole"]:
+        cosines = templates.cosines(file["whole"], others)
+        for n in templates.runs:
+            state(n, float(cosines[n]), True)
+    for line in file["lines"]:
+        cosines = templates.cosines(line, others)
+        for n, title in templates.titles.items():
+            if title.issubset(line):
+                state(n, float(cosines[n]), False)
+    # A part shorter than the run of a template has none that counts.
+    sizes = np.minimum(templates.lengths, file["size"])
+    for part in file["parts"]:
+        chosen = [n for n in templates.runs if sizes[n] <= len(part)]
+        for n, cosines in templates.windows(part, others, chosen):
+            state(n, float(cosines.max()), False)
+    reserved, in_part, score, name = min(stated, default=(True, True, 0.0, None))
+    whole = any(not x[1] for x in stated)
+    if file["tag"]:
+        return file["tag"], 1.0, whole and not reserved
+    return name, -score, not in_part
+
+
 def own_licenses(
     found: DataFrame, counts: DataFrame, templates: Templates, threshold: float
 ) -> DataFrame:
     """path, license, score and is_file of the files that state a licence themselves.
 
-    The whole text is compared first: then the file is a licence file. Otherwise the
-    most similar run of as many terms as a template has decides, wherever its lines
-    break, the first name of equals.
+    An SPDX tag says the licence. Otherwise the whole text is compared first: then the
+    file is a licence file. Otherwise the most similar run of as many terms as a
+    template has, wherever its lines break, or line with a title decides, the first
+    name of equals. Reserved rights count where nothing else is stated.
     """
-    words = F.array_union(F.coalesce("whole", F.array().cast("array<string>")), F.flatten("parts"))
+    words = F.array_distinct(
+        F.concat(
+            F.coalesce("whole", F.array().cast("array<string>")),
+            F.flatten("parts"),
+            F.flatten("lines"),
+        )
+    )
     weighed = (
         found.select("id", F.explode(words).alias("term"))
         .join(counts.hint("merge"), "term")
@@ -264,19 +343,8 @@ def own_licenses(
         for batch in batches:
             rows, names, scores, is_file = [], [], [], []
             for row, file in enumerate(batch.to_pylist()):
-                others = {x["term"]: templates.weight(x["files"]) for x in file["others"] or []}
-                score, name = templates.best(file["whole"] or [], others)
-                whole = score >= threshold
-                if not whole:
-                    score, name = 0.0, None
-                    for part in file["parts"]:
-                        # A part shorter than the run of a template has none that counts.
-                        sizes = np.minimum(templates.lengths, file["size"])
-                        chosen = np.flatnonzero(sizes <= len(part)).tolist()
-                        for n, cosines in templates.windows(part, others, chosen):
-                            if (-cosines.max(), templates.names[n]) < (-score, name or ""):
-                                score, name = float(cosines.max()), templates.names[n]
-                if score >= threshold:
+                name, score, whole = _statement(file, templates, threshold)
+                if name is not None:
                     rows.append(row)
                     names.append(name)
                     scores.append(score)
@@ -302,7 +370,7 @@ def _directory(path: str):
 
 def license_scan(
     files: DataFrame,
-    texts: Mapping[str, str] = TEMPLATES,
+    texts: Mapping[str, str] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """path, license, score, found and licensed_by, one row per distinct path.
@@ -313,6 +381,7 @@ def license_scan(
     directory the most similar counts, then the first path. Missing texts are empty.
     A missing path is a path of its own, in no directory. Other columns are not read.
     """
+    texts = all_forms(TEMPLATES) if texts is None else texts
     counts = written(term_counts(files), "terms")
     wanted = ["", *sorted({w for t in texts.values() for w in terms(t)})]
     # One row for each term of the templates reaches the driver.
