@@ -10,6 +10,7 @@ import pytest
 from llm_rows import llm_spark, make_docs  # noqa: F401
 
 from wakeline.llm import repeats
+from wakeline.llm.extraction import main_text
 from wakeline.llm.licence_forms import licence_texts
 from wakeline.llm.licenses import TEMPLATES, Templates, license_scan, terms
 
@@ -233,3 +234,50 @@ def test_licence_files_and_headers(llm_spark):
     files = llm_spark.createDataFrame(rows, "path string, text string")
     found = {r.path: (r.license, r.found) for r in license_scan(files).collect()}
     assert found == {path: x[1:] for path, x in stated.items()}
+
+
+PROSE = "<p>The first part of the text is in this block, and it has the words of a sentence.</p>" * 3
+PLAIN = "\n".join(["The first part of the text is in this block, and it has the words of a sentence."] * 3)
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<div class='content has-sidebar'>{}</div>", "<div class='layout-with-sidebar'>{}</div>",
+        "<div class='page no-sidebar'>{}</div>", "<form action='/' id='aspnet'>{}</form>",
+        "<div class='sidebar-layout'>{}</div>", "<div role='form'>{}</div>",
+        "<div class='header-page'><form class='widget-form'>{}</form></div>",
+        "<div aria-hidden='true' id='root'>{}</div>", "<nav>Menu<p>{}",
+    ],
+)
+@pytest.mark.parametrize("inner", ["<main>{}</main>", "<article>{}</article>", "<div>{}</div>"])
+def test_wrappers_of_a_page_stay(wrap, inner):
+    if wrap.startswith("<nav") and "main" not in inner:
+        return
+    menu = "<nav><a href='/'>Home</a></nav><div class='sidebar'>More of the things to see.</div>"
+    page = f"<body>{menu}{wrap.format(inner.format(PROSE))}<div class='cookie-note'>{PROSE}</div></body>"
+    menu_of_nav = "Menu\n" if wrap.startswith("<nav") else ""
+    assert main_text(page).removeprefix(menu_of_nav) == PLAIN
+
+
+def test_named_elements_that_are_no_wrapper_go():
+    comments = f"<div id='comments'>{PROSE * 9}<article class='comment'>{PROSE}</article></div>"
+    related = "<div class='related-posts'><article><p>A story that is of the other kind.</p></article></div>"
+    page = f"<body><article>{PROSE}</article>{comments}{related}<form><p>Your name</p></form></body>"
+    assert main_text(page) == PLAIN
+    assert main_text(f"<div class='consent'>{PROSE}</div><p>x</p>") == ""
+
+
+def test_headings_and_links_of_an_article_stay():
+    page = (
+        "<article><h1 class='entry-header'>The title</h1><h2 class='header-two'><a href='#x'>"
+        "Its own permalink</a></h2><p>See <a href='/l'>a long reference to the work of an author"
+        f"</a> here.</p>{PROSE}<ul><li>One point of the text that has <a href='/y'>a link</a> in it"
+        "</li><li><a href='/z'>Second</a></li><li>And the third point of the text, without any."
+        "</li></ul><ul><li><a href='/a'>more</a></li><li><a href='/b'>links</a></li></ul></article>"
+    )
+    assert main_text(page).split("\n") == [
+        "The title", "Its own permalink", "See a long reference to the work of an author here.",
+        *PLAIN.split("\n"), "One point of the text that has a link in it", "Second",
+        "And the third point of the text, without any.",
+    ]

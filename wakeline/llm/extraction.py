@@ -1,5 +1,6 @@
 """Main text of pages: blocks judged by two passes of rules."""
 
+import heapq
 import html
 import re
 from collections.abc import Iterator
@@ -47,10 +48,10 @@ _OUTSIDE = frozenset(
 )
 _RAW = "script|style|textarea|noscript|template|svg|iframe|title"
 _NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|breadcrumbs?|comments?|consent|cookies?"
-    r"|disqus|footer|gdpr|header|masthead|menu|nav(?:bar|igation)?|newsletter|notice"
-    r"|notification|pagination|paywall|popup|promo(?:tion)?|related|replies|share|sharing"
-    r"|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?=$|[\s_-])",
+    r"(?:(?P<never>comments?|cookies?|consent|disqus|gdpr|replies)|ads?|advert\w*|adbox|banner|breadcrumbs?"
+    r"|footer|(?P<header>header)|masthead|menu|nav(?:bar|igation)?|newsletter|notice"
+    r"|notification|pagination|paywall|popup|promo(?:tion)?|related|share|sharing"
+    r"|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?=$|[_-])",
     re.I,
 )
 _ROLES = frozenset(
@@ -71,6 +72,14 @@ _ATTRIBUTE = re.compile(
     r"""(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
     re.I,
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_LISTS = frozenset("ul ol dl menu".split())
+# Elements without main text that hold the page's main or article may be its wrapper. So
+# may a LOOSE one that holds most of the good text; HELD ones are comments and the like.
+NOT, FIRM, HELD, LOOSE = 1, 2, 3, 4
+_KINDS = dict.fromkeys("nav footer aside menu dialog header".split(), FIRM) | dict.fromkeys(
+    ("form", "fieldset"), LOOSE
+)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -79,40 +88,70 @@ class Block:
     text: str
     link_chars: int
     in_article: bool
+    in_list: int = 0
+    dropped: int = -1
     good: bool | None = None
 
 
-def _is_outside(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element holds no main text, by its name, role, class or id."""
+@dataclass
+class Dropped:
+    """An element without main text: its number, kind, the one around it, what is in it."""
+
+    number: int
+    kind: int
+    around: int = -1
+    chars: int = 0
+    mains: int = 0
+    articles: int = 0
+
+
+def _outside(name: str, rest: str, in_article: bool, in_heading: bool) -> int:
+    """Whether an element holds no main text, by its name, role, class or id; its kind."""
     if name in ("article", "main", "body", "html"):
-        return False
+        return 0
     if name in _OUTSIDE and not (name == "header" and in_article):
-        return True
-    if not rest:
-        return False
-    for key, *values in _ATTRIBUTE.findall(rest):
+        return _KINDS.get(name, NOT)
+    kinds = []
+    for key, *values in _ATTRIBUTE.findall(rest or ""):
         key, value = key.lower(), "".join(values)
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+        if key == "hidden":
+            return NOT
+        if key == "aria-hidden" and value.lower() == "true":
+            kinds.append(LOOSE)
         if key == "role" and value.lower() in _ROLES:
-            return True
-        if key in ("class", "id") and _NAMED.search(value):
-            return True
-    return False
+            kinds.append(LOOSE if value.lower() == "form" else FIRM)
+        for token in value.split() if key in ("class", "id") else ():
+            found = _NAMED.match(token)
+            if found and not (in_heading and found["header"]):
+                kinds.append(HELD if found["never"] else LOOSE)
+    return min(kinds, default=0)
 
 
-def page_blocks(page: str) -> list[Block]:
-    """The blocks of text of a page outside elements that hold no main text."""
+def page_blocks(
+    page: str, wrappers: frozenset[int] = frozenset(), every: bool = False
+) -> tuple[list[Block], list[Dropped], int]:
+    """The blocks of text of a page outside elements that hold no main text.
+
+    Also these elements, and the number of articles and mains outside them. Elements
+    whose numbers are among the wrappers are like any other. With ``every``, the blocks
+    of elements that may be wrappers come too, with the innermost of them.
+    """
     blocks: list[Block] = []
-    open_elements: list[tuple[str, bool, bool]] = []  # name, outside, in article
+    dropped: list[Dropped] = []
+    articles = number = 0
+    # name, outside, in article, outermost list in the article, innermost dropped element
+    open_elements: list[tuple[str, bool, bool, int, int]] = []
     parts: list[str] = []
     state = {"links": 0}
     outside = in_article = False
+    in_list, inner = 0, -1
+
+    nothing = ("", False, False, 0, -1)
 
     def close_block() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append(Block(text, state["links"], in_article))
+            blocks.append(Block(text, state["links"], in_article, in_list, inner))
         parts.clear()
         state["links"] = 0
 
@@ -122,8 +161,10 @@ def page_blocks(page: str) -> list[Block]:
             if not outside:
                 text = html.unescape(token["text"])
                 parts.append(text)
-                if any(name == "a" for name, _, _ in open_elements):
+                if any(e[0] == "a" for e in open_elements):
                     state["links"] += len("".join(text.split()))
+            else:
+                dropped[inner].chars += len(token["text"])
             continue
         if kind == "end":
             name = token["end"].lower()
@@ -154,17 +195,35 @@ def page_blocks(page: str) -> list[Block]:
                 ends = "head" if name in ("body", "article", "main") else "p"
                 if ends in names and (ends == "head" or _direct(names)):
                     del open_elements[len(names) - 1 - names[::-1].index(ends) :]
-            was = open_elements[-1] if open_elements else ("", False, False)
+            was = open_elements[-1] if open_elements else nothing
             rest = token["rest"]
             if rest.endswith("/") and name in _INLINE:
                 continue
+            number += 1
+            is_outside, is_inner = was[1], was[4]
+            if name in ("article", "main"):
+                if is_inner >= 0:
+                    dropped[is_inner].mains += name == "main"
+                    dropped[is_inner].articles += name == "article"
+                else:
+                    articles += 1
+            if not is_outside and number not in wrappers:
+                in_heading = name in _HEADINGS or any(e[0] in _HEADINGS for e in open_elements)
+                kind = _outside(name, rest, was[2], in_heading)
+                is_outside = kind == NOT or (kind > 0 and not every)
+                if kind:
+                    dropped.append(Dropped(number, kind, is_inner))
+                    is_inner = len(dropped) - 1
             is_article = was[2] or name in ("article", "main")
-            open_elements.append((name, was[1] or _is_outside(name, rest, was[2]), is_article))
-        top = open_elements[-1] if open_elements else ("", False, False)
-        outside, in_article = top[1], top[2]
+            is_list = was[3] or (number if is_article and name in _LISTS else 0)
+            open_elements.append((name, is_outside, is_article, is_list, is_inner))
+        top = open_elements[-1] if open_elements else nothing
+        if every and top[4] != inner and not outside:
+            close_block()
+        outside, in_article, in_list, inner = top[1:]
     if not outside:
         close_block()
-    return blocks
+    return blocks, dropped, articles
 
 
 def _direct(names: list[str]) -> bool:
@@ -175,18 +234,24 @@ def _direct(names: list[str]) -> bool:
 def judge(blocks: list[Block]) -> None:
     """Decide the clear blocks, then let the others take the label of the nearest.
 
-    A block full of links is bad. One with many stop words is good when it is not
+    A block full of links is bad, in an article only in a list full of links. One with many stop words is good when it is not
     short. A long one with few is bad, in an article undecided. An undecided block
     takes the label of the nearest decided block before or behind it in the same
     part of the page, an article or the rest; between two equally near, or with
     none, blocks of an article are good and others bad. A block of links inside an
     article says nothing of its neighbours.
     """
+    lists: dict[int, list[int]] = {}
+    for block in blocks:
+        links, chars = lists.setdefault(block.in_list, [0, 0])
+        lists[block.in_list] = [links + block.link_chars, chars + _chars(block)]
     for block in blocks:
         words = [w.lower() for w in _WORD.findall(block.text)]
         density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
         size = len(block.text)
-        if block.link_chars > LINK_SHARE * len("".join(block.text.split())):
+        links, chars = lists[block.in_list]
+        of_links = links > LINK_SHARE * chars if block.in_list else not block.in_article
+        if of_links and block.link_chars > LINK_SHARE * _chars(block):
             block.good = False
         elif size >= SHORT and density >= HIGH_STOP_WORDS:
             block.good = True
@@ -206,6 +271,10 @@ def judge(blocks: list[Block]) -> None:
                 block.good = block.in_article
 
 
+def _chars(block: Block) -> int:
+    return len("".join(block.text.split()))
+
+
 def _nearest(blocks: list[Block], labels: list[bool | None], order: range):
     """For each block the distance to the last decided one met in order, and its label."""
     last: dict[bool, tuple[int, bool]] = {}
@@ -220,11 +289,65 @@ def _nearest(blocks: list[Block], labels: list[bool | None], order: range):
 
 
 def main_text(page: str) -> str:
-    blocks = page_blocks(page)
+    """The good blocks of a page, one a line.
+
+    An element that would be dropped is a wrapper of the page, and stays, when it holds
+    its main, its only articles, or, by its kind, more good text than all the rest.
+    """
+    blocks, dropped, _ = page_blocks(page)
     judge(blocks)
+    good = sum(len(block.text) for block in blocks if block.good)
+    if any(x.kind != NOT and (x.mains or x.articles or x.chars > good) for x in dropped):
+        found = _wrappers(page)
+        if found:
+            blocks = page_blocks(page, found)[0]
+            judge(blocks)
     return "\n".join(block.text for block in blocks if block.good)
 
 
+def _wrappers(page: str) -> frozenset[int]:
+    """The numbers of the elements that would be dropped and are wrappers of the page.
+
+    Sizes are good text as judged with the text of all of them; comments and the like
+    do not count for what is around them.
+    """
+    blocks, dropped, articles = page_blocks(page, every=True)
+    judge(blocks)
+    rest, own = 0, [0] * len(dropped)
+    for block in blocks:
+        if block.good and block.dropped < 0:
+            rest += len(block.text)
+        elif block.good:
+            own[block.dropped] += len(block.text)
+    direct = [(size, x.mains + x.articles) for size, x in zip(own, dropped, strict=True)]
+    inside: list[list[int]] = [[] for _ in dropped]
+    for n in range(len(dropped) - 1, -1, -1):
+        x = dropped[n]
+        if x.around >= 0:
+            inside[x.around].append(n)
+            dropped[x.around].mains += x.mains
+            if x.kind != HELD:
+                dropped[x.around].articles += x.articles
+                own[x.around] += own[n] if x.kind == LOOSE else 0
+    found = set()
+    # What the rest holds only grows: an element that is none stays none.
+    queue = [(not x.mains, -own[n], n) for n, x in enumerate(dropped) if x.around < 0]
+    heapq.heapify(queue)
+    while queue:
+        _, _, n = heapq.heappop(queue)
+        x = dropped[n]
+        only = x.articles > 0 and not articles
+        loose = x.kind == LOOSE
+        larger = own[n] > rest and (loose or (only and x.kind == HELD))
+        if x.kind != NOT and (x.mains or (only and loose) or larger):
+            found.add(x.number)
+            rest += direct[n][0]
+            articles += direct[n][1]
+            for m in inside[n]:
+                heapq.heappush(queue, (not dropped[m].mains, -own[m], m))
+    return frozenset(found)
+
+
 def extract_main_text(pages: DataFrame, id_type: str = "long") -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
