@@ -1,10 +1,10 @@
-"""Long repeated strings across all documents, found on a cover sample of their suffixes.
+"""Long repeated strings across all documents, found by hashes at a cover of their positions.
 
 Every string of LENGTH bytes holds at least one sampled position, and equal strings
 hold it at the same place: the position whose KEY_WIDTH bytes have the smallest hash.
-Consecutive strings with the same sampled position form a run. Runs are sorted by the
-rank of the sample (its hash), one bucket of ranks at a time; ties are resolved by a
-hash of the whole run. Only where runs of one rank differ are single strings compared.
+Consecutive strings with the same sampled position form a run. Runs are grouped by the
+rank of the sample, which is its hash and no order of suffixes, and by a hash of the
+whole run. Only where runs of one rank differ are single strings compared.
 """
 
 from collections.abc import Iterator, Sequence
