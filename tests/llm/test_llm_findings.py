@@ -281,3 +281,29 @@ def test_headings_and_links_of_an_article_stay():
         *PLAIN.split("\n"), "One point of the text that has a link in it", "Second",
         "And the third point of the text, without any.",
     ]
+
+
+def test_texts_come_only_to_members_with_a_pair_left(llm_spark, make_docs, monkeypatch):
+    """Copies of a template that are near, but not near enough, move no texts between blocks."""
+    from wakeline.llm import near_dedup
+
+    moved = []
+
+    def kept(df, name, whole=near_dedup.written):
+        out = whole(df, name)
+        if name == "blocks":
+            moved.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+    monkeypatch.setattr(near_dedup, "CLUSTER", 10)
+    monkeypatch.setattr(near_dedup, "written", kept)
+    template = [f"w{n}" for n in range(600)]
+    rows = [(n, " ".join([*template, *(f"x{n}y{m}" for m in range(330))])) for n in range(60)]
+    rows += [(100, rows[0][1]), (101, rows[7][1] + " z")]
+    found = near_dedup.near_duplicates(make_docs(rows), 85).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {
+        *((n, n) for n in range(60)), (100, 0), (101, 7),
+    }
+    (columns, count), = moved
+    assert "text" not in columns and count < 60

@@ -227,8 +227,9 @@ def _cross_links(
     compares two blocks: pairs that share a bucket, that signatures do not prune and
     that links found before do not connect are checked on their full sets. A cluster
     of more than CLUSTER documents is compared bucket by bucket instead, each pair
-    in the first bucket it shares. Only links leave a task, at most one for each
-    member of its blocks.
+    in the first bucket it shares. Blocks meet with their signatures first; texts
+    come to the members that have a pair left. Only links leave a task, at most one
+    for each member of its blocks.
     """
     labels = labels.withColumnRenamed("node", "doc_id").hint("merge")
     clusters = components(met).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
@@ -255,25 +256,21 @@ def _cross_links(
     rows = (
         rows.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), last_block)))
-        .join(signed.select("doc_id", "bands", "code").hint("merge"), "doc_id")
-        .join(texts.hint("merge"), "doc_id")
+        .join(signed.select("doc_id", "bands", "code", "n_shingles").hint("merge"), "doc_id")
         .select(
             "key", "by_key", F.least("own", "other").alias("i"),
             F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "bands",
-            "code", "text",
+            "code", F.col("n_shingles").cast("long").alias("n_shingles"),
         )
     )
     pair_type = dict(members.dtypes)["doc_id"]
 
-    def crossed(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id").combine_chunks()
+    def left(table: pa.Table, size: np.ndarray, label: np.ndarray):
+        """Each row of the first block with those of the second that may be linked to it."""
         key, by_key, i, j = (table.column(c)[0].as_py() for c in ("key", "by_key", "i", "j"))
-        ids, label, own = (table.column(c).to_numpy() for c in ("doc_id", "component", "own"))
+        own = table.column("own").to_numpy()
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         codes = _codes(table.column("code").combine_chunks())
-        sets = shingle_sets(*utf8(table.column("text").combine_chunks()))
-        size = np.array([len(x) for x in sets])
-        label, links = label.copy(), []
         for row in np.flatnonzero(own == i):
             rest = np.flatnonzero((own == j) & (label != label[row]))
             rest = rest[rest > row] if i == j else rest
@@ -285,7 +282,25 @@ def _cross_links(
             else:
                 rest = rest[same.any(axis=1)]
             alike = np.broadcast_to(codes[row], (len(rest), _HASHES))
-            for other in rest[likely(alike, codes[rest], percent)]:
+            yield row, rest[likely(alike, codes[rest], percent)]
+
+    def unpruned(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id").combine_chunks()
+        size, label = (table.column(c).to_numpy() for c in ("n_shingles", "component"))
+        stays = np.zeros(len(size), bool)
+        for row, rest in left(table, size, label):
+            stays[rest] = True
+            stays[row] |= len(rest) > 0
+        return table.filter(pa.array(stays))
+
+    def crossed(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id").combine_chunks()
+        ids, label = (table.column(c).to_numpy() for c in ("doc_id", "component"))
+        sets = shingle_sets(*utf8(table.column("text").combine_chunks()))
+        size = np.array([len(x) for x in sets])
+        label, links = label.copy(), []
+        for row, rest in left(table, size, label):
+            for other in rest:
                 if label[row] == label[other]:
                     continue
                 both = len(np.intersect1d(sets[row], sets[other], assume_unique=True))
@@ -295,8 +310,12 @@ def _cross_links(
         a, b = np.array(links, ids.dtype).reshape(-1, 2).T
         return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
-    return rows.groupBy("key", "by_key", "i", "j").applyInArrow(
-        crossed, f"a {pair_type}, b {pair_type}"
+    blocks = ["key", "by_key", "i", "j"]
+    kept = written(rows.groupBy(*blocks).applyInArrow(unpruned, rows.schema), "blocks")
+    return (
+        kept.join(texts.hint("merge"), "doc_id")
+        .groupBy(*blocks)
+        .applyInArrow(crossed, f"a {pair_type}, b {pair_type}")
     )
 
 
