@@ -66,3 +66,14 @@ def per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def text_numbers(bounds: np.ndarray) -> np.ndarray:
     """The number of the text for each of its words."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+
+def covered(first: np.ndarray, end: np.ndarray, size: int, depth: type) -> np.ndarray:
+    """Which of ``size`` places lie in a stretch, as far as it reaches into them.
+
+    ``depth`` is a type that can count the stretches over one place.
+    """
+    change = np.zeros(size + 1, depth)
+    np.add.at(change, np.minimum(first, size), 1)
+    np.add.at(change, np.minimum(end, size), -1)
+    return np.cumsum(change[:-1], dtype=depth) > 0
