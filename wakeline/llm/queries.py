@@ -33,14 +33,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files of a tree: source, language, a thousand ids, doc_id."""
+    """The documents as files of a tree: source, language, a thousand ids, doc_id.
+
+    Rows without doc_id are files without a name, one for each source and language.
+    """
     docs = _table(spark, sf_dir, "documents")
     thousand = F.floor(F.col("doc_id") / 1000)
-    files = docs.select(
-        F.concat_ws("/", "source", "lang", thousand, "doc_id").alias("path"), "text"
-    )
-    doc_id = F.element_at(F.split("path", "/"), -1).cast("long")
-    licensed_by = F.element_at(F.split("licensed_by", "/"), -1).cast("long")
+    numbers = [F.coalesce(c.cast("string"), F.lit("")) for c in (thousand, F.col("doc_id"))]
+    files = docs.select(F.concat_ws("/", "source", "lang", *numbers).alias("path"), "text")
+    doc_id = F.element_at(F.split("path", "/"), -1).try_cast("long")
+    licensed_by = F.element_at(F.split("licensed_by", "/"), -1).try_cast("long")
     return license_scan(files).select(
         doc_id.alias("doc_id"), "path", "license", "score", "found",
         licensed_by.alias("licensed_by"),
