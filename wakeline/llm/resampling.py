@@ -94,7 +94,9 @@ def _weighed(docs: DataFrame, ratio: np.ndarray, seed: int, id_type: str) -> Dat
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE_BYTES):
             buckets, numbers = ngrams(*utf8(batch.column("text")))
+            # Counts of nothing are whole numbers, weights or not.
             weight = np.bincount(numbers, weights=ratio[buckets], minlength=batch.num_rows)
+            weight = weight.astype(np.float64)
             uniform = batch.column("uniform").to_numpy()
             key = weight - np.log(-np.log(uniform))
             # Whole numbers in the order of the keys.
