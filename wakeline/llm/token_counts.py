@@ -12,8 +12,9 @@ from wakeline.llm.tables import slices
 # The sign for a space, and what an unknown character costs below the least score.
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-# Segments a worker remembers.
-REMEMBERED_SEGMENTS = 1_000_000
+# Bytes of segments a worker remembers, and what an entry takes beside its characters.
+REMEMBERED_BYTES = 160 << 20
+_ENTRY_BYTES = 160
 _SLICE_BYTES = 2 << 20
 _SEGMENT = re.compile(" +[^ ]*")
 
@@ -37,6 +38,7 @@ class SegmentCounter:
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
         self.known: dict[str, int] = {}
+        self.size = 0
 
     def cut(self, segment: str) -> int:
         """Pieces of the best segmentation of a segment.
@@ -75,8 +77,11 @@ class SegmentCounter:
         for segment in _SEGMENT.findall(" " + text.replace(SPACE, " ")):
             size = known.get(segment)
             if size is None:
-                if len(known) >= REMEMBERED_SEGMENTS:
+                # Characters outside Latin-1 take two bytes or four.
+                self.size += 4 * len(segment) + _ENTRY_BYTES
+                if self.size > REMEMBERED_BYTES:
                     known.clear()
+                    self.size = 4 * len(segment) + _ENTRY_BYTES
                 size = known[segment] = self.cut(segment.replace(" ", SPACE))
             total += size
         return total
