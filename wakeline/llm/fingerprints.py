@@ -85,7 +85,7 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
         for batch in slices(batches, "text", _SLICE_BYTES):
             starts, data = utf8(batch.column("text"))
             classes = entropy_classes(data)
-            inside = covered(starts[:-1], starts[:-1] + _windows(starts), len(classes), np.int8)
+            inside = covered(starts[:-1], starts[:-1] + _windows(starts), len(classes))
             total += np.bincount(classes[inside], minlength=CLASSES)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -111,7 +111,7 @@ def _popularity(keys: np.ndarray, first: np.ndarray, windows: np.ndarray, row: i
     padded = np.concatenate([keys, np.full(row, ~np.uint64(0))])
     lowest = (sliding_minimum(padded, row)[: len(keys)] & _LOW).astype(np.int64)
     rows = np.where(windows > 0, np.maximum(windows - row, 0) + 1, 0)
-    return np.bincount(lowest[covered(first, first + rows, len(keys), np.int8)], minlength=len(keys))
+    return np.bincount(lowest[covered(first, first + rows, len(keys))], minlength=len(keys))
 
 
 def selected_features(
@@ -130,7 +130,7 @@ def selected_features(
     if len(few):
         hashes = mixed(window_hashes(byte_values(1)[data], NARROW))
         ends = starts[1:][few] - NARROW + 1
-        place = np.flatnonzero(covered(first[few], ends, len(hashes), np.int8))
+        place = np.flatnonzero(covered(first[few], ends, len(hashes)))
         texts.append(np.searchsorted(starts, place, "right") - 1)
         features.append(hashes[place])
     classes = entropy_classes(data)
@@ -140,7 +140,7 @@ def selected_features(
         keys = ranks[classes].astype(np.uint64) << np.uint64(54)
         keys |= hashes >> np.uint64(42) << np.uint64(32)
         keys |= np.arange(len(keys), dtype=np.uint64)
-        keys[~covered(first, first + windows, len(keys), np.int8)] |= ~_LOW
+        keys[~covered(first, first + windows, len(keys))] |= ~_LOW
         short = windows < SHORT
         popularity = np.zeros(len(keys), np.int64)
         needed = np.zeros(len(windows), np.int64)

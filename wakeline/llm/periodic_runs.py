@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wakeline.llm.tables import slices, utf8
-from wakeline.llm.words import Words, covered, split_words, text_numbers
+from wakeline.llm.words import Words, covered, distinct_words, split_words, text_numbers
 
 MIN_LENGTH, MIN_EXPONENT = 24, 3
 _SLICE_BYTES = 4 << 20
@@ -25,16 +25,6 @@ _SLICE_BYTES = 4 << 20
 _TESTED = 1 << 21
 
 
-def word_codes(words: Words, data: np.ndarray) -> np.ndarray:
-    """A number for each word, equal for equal words only."""
-    letters = data[covered(words.first, words.end, len(data), np.int8)]
-    ends = np.concatenate([[0], np.cumsum(words.end - words.first)])
-    column = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(letters)]
-    )
-    return column.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def suffix_order(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """The suffixes in order of text and words, and ranks by their first 1, 2, 4, ... words.
 
@@ -200,10 +190,18 @@ def find_runs(
     return place_of[start], place_of[end - 1] + 1, period
 
 
+def _repeating(first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which words lie in a stretch; stretches may overlap."""
+    change = np.zeros(size + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, end, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
 def _joined(words: Words, dropped: np.ndarray, data: np.ndarray, starts: np.ndarray):
     """Byte bounds and bytes of the words that stay, joined by one space in each text."""
     first, end = words.first[~dropped], words.end[~dropped]
-    kept = covered(first, end, len(data), np.int8)
+    kept = covered(first, end, len(data))
     text = text_numbers(words.bounds)[~dropped]
     # The byte behind a word that another one follows is white space of its text.
     space = end[:-1][text[1:] == text[:-1]]
@@ -238,9 +236,9 @@ def periodic_runs(
         for batch in slices(batches, "text", _SLICE_BYTES):
             starts, data = utf8(batch.column("text"))
             words = split_words(starts, data)
-            codes = word_codes(words, data)
+            codes, _ = distinct_words(words, data)
             start, end, period = find_runs(codes, words.bounds, min_length, min_exponent)
-            dropped = covered(start + period, end, len(codes), np.int32)
+            dropped = _repeating(start + period, end, len(codes))
             text = np.searchsorted(words.bounds, start, "right") - 1
             run = pa.StructArray.from_arrays(
                 [pa.array(start - words.bounds[text]), pa.array(end - start), pa.array(period)],

@@ -3,10 +3,15 @@
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 from wakeline.llm.rolling import byte_values, mixed
 
 _POWER = np.uint64(0xD6E8FEB86659FD93)
+# Segments over so many bytes are hashed apart: different words of 1,024 letters can have
+# one polynomial modulo 2**64, whatever its base.
+_LONG = 256
 
 
 @dataclass
@@ -46,14 +51,22 @@ def segment_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.n
     if not len(first):
         return np.zeros(0, np.uint64)
     lengths = end - first
-    inside = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-    places = inside + np.arange(lengths.sum())
-    offset = places - np.repeat(first, lengths)
-    powers = np.concatenate(
-        [[np.uint64(1)], np.cumprod(np.full(int(lengths.max()) - 1, _POWER, np.uint64))]
-    )
-    values = byte_values(1)[data[places]] * powers[offset]
-    sums = np.add.reduceat(values, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+    hashes = np.empty(len(first), np.uint64)
+    short = lengths <= _LONG
+    hashes[short] = _short_hashes(data, first[short], lengths[short])
+    for place in np.flatnonzero(~short).tolist():
+        hashes[place] = xxhash.xxh3_64_intdigest(data[first[place] : end[place]].tobytes())
+    return hashes
+
+
+def _short_hashes(data: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    head = np.cumsum(lengths) - lengths
+    offset = np.arange(lengths.sum()) - np.repeat(head, lengths)
+    places = np.repeat(first, lengths) + offset
+    powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_LONG - 1, _POWER, np.uint64))])
+    sums = np.add.reduceat(byte_values(1)[data[places]] * powers[offset], head)
     return mixed(sums + lengths.astype(np.uint64))
 
 
@@ -68,12 +81,25 @@ def text_numbers(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def covered(first: np.ndarray, end: np.ndarray, size: int, depth: type) -> np.ndarray:
+def covered(first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
     """Which of ``size`` places lie in a stretch, as far as it reaches into them.
 
-    ``depth`` is a type that can count the stretches over one place.
+    The stretches are apart; they may touch or be empty.
     """
-    change = np.zeros(size + 1, depth)
-    np.add.at(change, np.minimum(first, size), 1)
-    np.add.at(change, np.minimum(end, size), -1)
-    return np.cumsum(change[:-1], dtype=depth) > 0
+    first, end = np.minimum(first, size), np.minimum(end, size)
+    held = end > first
+    change = np.zeros(size + 1, np.int8)
+    change[first[held]] = 1
+    change[end[held]] -= 1
+    return np.cumsum(change[:-1], dtype=np.int8).view(bool)
+
+
+def distinct_words(words: Words, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word, equal for equal words only, and the word of each number."""
+    letters = data[covered(words.first, words.end, len(data))]
+    ends = np.concatenate([[0], np.cumsum(words.end - words.first)])
+    column = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(letters)]
+    )
+    found = column.dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
