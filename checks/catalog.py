@@ -1,5 +1,6 @@
 """The registered queries: each operator over the whole of the given tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from wakeline.functions.values import (
     parse_int,
 )
 from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
+from wakeline.schemas import POSITIONS
 from wakeline.session import apply_settings, shared_folder
-from wakeline.sources import ais, register as registers
+from wakeline.sources import ais, register as registers, store
 from wakeline.sources.mid import scan_mid_table
 from wakeline.sources.sinks import write_result
 
@@ -113,13 +115,13 @@ def _rounded_mean(result: DataFrame, column: str) -> DataFrame:
 
 def _scan_positions(i: Inputs) -> DataFrame:
     path = i.written("positions")
-    i.positions.write.csv(path, header=True, compression="gzip")
+    i.positions.write.mode("overwrite").csv(path, header=True, compression="gzip")
     return _epoch(ais.scan_positions(i.spark, path))
 
 
 def _scan_messages(i: Inputs) -> DataFrame:
     path = i.written("messages")
-    i.messages.write.csv(path, header=True, compression="gzip")
+    i.messages.write.mode("overwrite").csv(path, header=True, compression="gzip")
     return _epoch(ais.scan_messages(i.spark, path))
 
 
@@ -136,9 +138,14 @@ def _scan_latin1(i: Inputs) -> DataFrame:
 
 
 def _observation_window(i: Inputs) -> DataFrame:
-    path = i.written("by-date")
-    ais.store_by_date(i.positions, path)
-    return _epoch(ais.read_stored(i.spark, path, START, END))
+    """Files of two accuracies come one after the other, and with them all days late."""
+    files, stored = i.written("files"), f"{i.written('by-date')}-{uuid.uuid4().hex}"
+    for accuracy in (0, 1):
+        part = i.positions.where(F.col("accuracy") == accuracy)
+        part.write.mode("overwrite").csv(f"{files}/{accuracy}", header=True, compression="gzip")
+        paths = [f"{files}/{n}" for n in range(accuracy + 1)]
+        store.ingest(i.spark, ais.scan_positions, paths, stored)
+    return _epoch(store.read_stored(i.spark, stored, POSITIONS, START, END))
 
 
 def _sink_roundtrip(i: Inputs) -> DataFrame:

@@ -10,9 +10,19 @@ from wakeline.functions.values import parse_amount, parse_double, parse_int
 from wakeline.operators import flags, registry
 from wakeline.plans import jobs
 from wakeline.plans.__main__ import run
-from wakeline.sources import ais, register
+from wakeline.schemas import POSITIONS
+from wakeline.sources import ais, register, store
 from wakeline.sources.mid import bounded, scan_mid_table
 from wakeline.sources.sinks import write_result
+from wakeline.sources.store import read_stored
+
+
+
+def ingest(spark, tmp_path, frame, path):
+    files = f"{tmp_path}/csv-of-{path.rpartition('/')[2]}"
+    frame.write.mode("append").csv(files, header=True)
+    return store.ingest(spark, ais.scan_positions, files, path)
+
 
 HEADER = "mmsi,lon,lat,accuracy,speed,course,rotation,status,timestamp\n"
 
@@ -68,8 +78,8 @@ def test_safe_numbers(spark):
 def test_days_outside_the_window_are_not_read(spark, reports, tmp_path):
     rows = [(1, day * 86400 + k, 4.0, 51.0, 1.0) for day in range(5) for k in (0, 10)]
     path = f"{tmp_path}/stored"
-    ais.store_by_date(reports(rows), path)
-    window = ais.read_stored(spark, path, "2024-01-02 12:00:00", "2024-01-03 12:00:05")
+    ingest(spark, tmp_path, reports(rows), path)
+    window = read_stored(spark, path, POSITIONS, "2024-01-02 12:00:00", "2024-01-03 12:00:05")
     assert window.count() == 3
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
@@ -179,53 +189,6 @@ def test_observation_window_of_every_job(spark, tmp_path):
     assert read("week/time_in_port").first().time_out_port_or_no_signal_h == "144.0"
 
 
-def test_store_keeps_other_days_and_is_in_order(spark, reports, tmp_path):
-    path = f"{tmp_path}/store"
-    day = 86400
-    first = [(m, s, 4.0, 51.0, 1.0) for s in range(0, 40000, 400) for m in range(9, 0, -1)]
-    ais.store_by_date(reports(first), path)
-    ais.store_by_date(reports([(1, day, 4.0, 51.0, 1.0)]), path)
-    assert spark.read.parquet(path).count() == len(first) + 1
-    # The same day again replaces that day only.
-    ais.store_by_date(reports([(1, day, 4.0, 51.0, 1.0), (2, day, 4.0, 51.0, 1.0)]), path)
-    assert spark.read.parquet(path).count() == len(first) + 2
-    for file in glob.glob(f"{path}/date=2024-01-01/*.parquet"):
-        rows = pq.read_table(file, columns=["mmsi", "timestamp"]).to_pylist()
-        order = [(r["mmsi"], r["timestamp"]) for r in rows]
-        assert order == sorted(order)
-
-
-def test_one_vessel_skips_row_groups(spark, reports, tmp_path):
-    path = f"{tmp_path}/store"
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop.set("parquet.block.size", str(64 * 1024))
-    hadoop.set("parquet.page.row.count.limit", "1000")
-    try:
-        rows = [(m, s, m + s / 7, 51 + s / 11, s / 13) for m in range(1, 21) for s in range(500)]
-        ais.store_by_date(reports(rows).coalesce(1), path)
-    finally:
-        hadoop.unset("parquet.block.size")
-        hadoop.unset("parquet.page.row.count.limit")
-    one = ais.read_stored(spark, path).where("mmsi = 7")
-    assert one.count() == 500
-    frame = one.select("lon")
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan()
-    scan = plan.collectLeaves().head()
-    assert 500 <= scan.metrics().apply("numOutputRows").value() < len(rows) / 2
-
-
-def test_window_opens_its_own_days_only(spark, reports, tmp_path):
-    path = f"{tmp_path}/store"
-    ais.store_by_date(reports([(1, d * 86400, 4.0, 51.0, 1.0) for d in range(-1, 3)]), path)
-    day = ais.read_stored(spark, path, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
-    assert day.count() == 1
-    files = {f.rsplit("/", 2)[1] for f in day.select("mmsi", F.input_file_name().alias("f")).toPandas().f}
-    assert files == {"date=2024-01-01"}
-    plan = day._jdf.queryExecution().executedPlan()
-    assert plan.collectLeaves().head().metrics().apply("numFiles").value() <= 1
-
-
 def test_amounts_with_points_between_thousands(spark):
     df = spark.createDataFrame([("1.234,5",), ("12.345.678,25",), ("1234,5",), ("1.234",), ("a,b",)], "t string")
     got = [r[0] for r in df.select(parse_amount(F.col("t"))).collect()]

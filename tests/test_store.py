@@ -1,0 +1,194 @@
+"""The store by day and file: late reports, repeated loads, changed files, copies."""
+
+import datetime as dt
+import glob
+import os
+import re
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from wakeline.plans import jobs
+from wakeline.schemas import POSITIONS
+from wakeline.sources import ais, store
+
+HEADER = "mmsi,lon,lat,accuracy,speed,course,rotation,status,timestamp\n"
+DAY = 86400
+
+
+def line(mmsi, second, lon="4.5", speed="1.0"):
+    """A report by the seconds since the first of January 2016; None has no time."""
+    time = "" if second is None else dt.datetime(2016, 1, 1) + dt.timedelta(seconds=second)
+    return f"{mmsi},{lon},51.5,1,{speed},0,0,0,{time}\n"
+
+
+@pytest.fixture
+def load(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def run(**files):
+        for name, lines in files.items():
+            (tmp_path / "in" / f"{name}.csv").write_text(HEADER + "".join(lines))
+        return store.ingest(spark, ais.scan_positions, f"{tmp_path}/in/*.csv", f"{tmp_path}/store")
+
+    return run
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    def read(*window):
+        found = store.read_stored(spark, f"{tmp_path}/store", POSITIONS, *window)
+        return rows_of(found.select("mmsi", F.unix_seconds("timestamp") - 1451606400, "lon"))
+
+    return read
+
+
+def data_files(tmp_path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/store/reports/*/*/*.parquet")}
+
+
+def test_a_late_report_stays_beside_its_day(load, stored, tmp_path):
+    day = [line(1, 3600 * h) for h in range(24)]
+    assert load(a=day) == 1
+    before = data_files(tmp_path)
+    assert load(b=[line(1, DAY - 1), *(line(1, DAY + 3600 * h) for h in range(24))]) == 1
+    assert before.items() <= data_files(tmp_path).items()
+    first = stored("2016-01-01 00:00:00", "2016-01-02 00:00:00")
+    assert [s for _, s, _ in first] == [*(3600 * h for h in range(24)), DAY - 1]
+    assert len(stored()) == 49
+    assert len(stored("2016-01-01 23:30:00", "2016-01-02 00:00:01")) == 2
+
+
+def test_loading_again_changes_nothing_and_a_larger_glob_reads_new_files(load, stored, tmp_path):
+    assert load(a=[line(1, 0)], b=[line(2, DAY)]) == 2
+    before, files = stored(), data_files(tmp_path)
+    assert load() == 0
+    assert stored() == before and data_files(tmp_path) == files
+    assert load(c=[line(3, 2 * DAY)]) == 1
+    assert files.items() <= data_files(tmp_path).items()
+    assert len(stored()) == 3
+
+
+def test_a_changed_file_replaces_itself_only(load, stored):
+    load(a=[line(1, 0), line(1, DAY)], b=[line(2, 0), line(2, DAY)])
+    load(a=[line(1, 60, lon="9.5"), line(1, 120), line(1, 180)])
+    assert stored() == [
+        (1, 60, 9.5), (1, 120, 4.5), (1, 180, 4.5), (2, 0, 4.5), (2, DAY, 4.5),
+    ]
+    # And to no reports at all.
+    load(a=[])
+    assert [m for m, _, _ in stored()] == [2, 2]
+
+
+def test_copies_across_files_fold_and_those_within_one_stay(load, stored):
+    twice, late = line(1, DAY - 1), line(2, DAY - 5, lon="")
+    load(a=[*(line(9, s) for s in range(0, 1000, 10)), twice, twice, late])
+    load(b=[*(line(9, DAY + s) for s in range(0, 1000, 10)), twice, late, late, late, line(3, 5)])
+    load(c=[late, late, line(3, 5), line(4, None)])
+    load(d=[line(4, None), line(4, None)])
+    found = [r for r in stored() if r[0] != 9]
+    assert found == [
+        *[(1, DAY - 1, 4.5)] * 2, *[(2, DAY - 5, None)] * 3, (3, 5, 4.5), *[(4, None, 4.5)] * 2,
+    ]
+    assert len(stored()) == 200 + len(found)
+
+
+def test_a_load_that_broke_off_shows_nothing_and_can_be_repeated(load, stored, monkeypatch):
+    load(a=[line(1, 0)])
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_reports", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            load(b=[line(2, 0), line(2, DAY)])
+    assert [m for m, _, _ in stored()] == [1]
+    assert load() == 1
+    assert [m for m, _, _ in stored()] == [1, 2, 2]
+
+
+def test_files_without_reports(spark, load, stored, tmp_path):
+    assert load(a=[], b=[]) == 2
+    assert load() == 0
+    held = store.manifest(spark, f"{tmp_path}/store")
+    assert rows_of(held.select("date", "rows")) == [(None, 0)] * 2
+    assert load(c=[line(1, 0)]) == 1
+    assert len(stored()) == 1
+
+
+def test_rows_lie_in_order_of_vessel_and_time(load, tmp_path):
+    load(a=[line(m, s) for s in range(0, 40000, 400) for m in range(9, 0, -1)])
+    for file in data_files(tmp_path):
+        rows = pq.read_table(file, columns=["mmsi", "timestamp"]).to_pylist()
+        order = [(r["mmsi"], r["timestamp"]) for r in rows]
+        assert order == sorted(order) and len(order) == 900
+
+
+def scanned(frame):
+    """Rows that the scans of the reports gave, after running the plan."""
+    frame.collect()
+    result = frame._jdf.queryExecution().executedPlan().executedPlan().collectLeaves().head()
+    leaves = result.plan().collectLeaves()
+    scans = [leaves.apply(n) for n in range(leaves.size())]
+    (reports,) = (s for s in scans if re.match(r"FileScan parquet .*\bbatch#", s.toString()))
+    return reports.metrics()
+
+
+def small_row_groups(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 * 1024))
+    hadoop.set("parquet.page.row.count.limit", "1000")
+    return hadoop
+
+
+def test_one_vessel_opens_its_row_groups_only(spark, reports, tmp_path):
+    hadoop = small_row_groups(spark)
+    try:
+        # Only even numbers, so a vessel in between lies inside the bounds of a row group.
+        rows = [(2 * m, s, m + s / 7, 51 + s / 11, s / 13) for m in range(1, 21) for s in range(500)]
+        reports(rows).coalesce(1).write.csv(f"{tmp_path}/files", header=True)
+        store.ingest(spark, ais.scan_positions, f"{tmp_path}/files", f"{tmp_path}/store")
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.row.count.limit")
+    files = glob.glob(f"{tmp_path}/store/reports/*/*/*.parquet")
+    assert sum(pq.ParquetFile(f).metadata.num_row_groups for f in files) > 2
+    read = store.read_stored(spark, f"{tmp_path}/store", POSITIONS)
+    one = read.where("mmsi = 14").select("lon")
+    assert one.count() == 500
+    assert 500 <= scanned(one).apply("numOutputRows").value() < len(rows) / 2
+    # A vessel without reports opens no row group, though the bounds hold it.
+    assert scanned(read.where("mmsi = 15").select("lon")).apply("numOutputRows").value() == 0
+
+
+def test_a_window_opens_its_own_days_only(spark, load, tmp_path):
+    load(a=[line(1, d * DAY) for d in range(4)], b=[line(1, 2 * DAY + 5)])
+    day = store.read_stored(
+        spark, f"{tmp_path}/store", POSITIONS, "2016-01-02 00:00:00", "2016-01-03 00:00:00"
+    )
+    assert day.count() == 1
+    assert scanned(day).apply("numFiles").value() == 1
+
+
+def test_days_of_one_file_are_read_once_without_a_shuffle(spark, load, tmp_path):
+    load(a=[line(1, 0)], b=[line(2, DAY)])
+    plan = store.read_stored(spark, f"{tmp_path}/store", POSITIONS)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("FileScan parquet [mmsi") == 1
+
+
+def test_late_rows_move_and_large_files_do_not(spark, load, tmp_path):
+    load(a=[line(1, s) for s in range(500)], b=[line(1, 5), line(2, 7)])
+    found = store.read_stored(spark, f"{tmp_path}/store", POSITIONS)
+    assert found.count() == 501
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Every join of the reports with the late rows broadcasts the late rows.
+    assert "SortMergeJoin" not in plan
+
+
+def test_jobs_tell_how_many_files_they_added(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text(HEADER + line(1, 0))
+    out = f"{tmp_path}/positions"
+    assert jobs.store_positions(spark, f"{tmp_path}/p*.csv", out) == 1
+    (tmp_path / "p2.csv").write_text(HEADER + line(1, 30))
+    assert jobs.store_positions(spark, f"{tmp_path}/p*.csv", out) == 1
+    assert jobs.read_positions(spark, out, fmt="parquet").count() == 2

@@ -12,10 +12,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from wakeline.functions.geo import Box
 from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
-from wakeline.sources import ais
+from wakeline.schemas import MESSAGES, POSITIONS
+from wakeline.sources import ais, store
 from wakeline.sources.mid import scan_mid_table
 from wakeline.session import shared_folder
 from wakeline.sources.register import REGISTER_ENCODING, scan_register, scan_register_text
@@ -39,24 +41,26 @@ class Window:
         return length / dt.timedelta(hours=1)
 
 
-def store_positions(spark: SparkSession, csv_path: str, out: str) -> None:
-    ais.store_by_date(ais.scan_positions(spark, csv_path), out)
+def store_positions(spark: SparkSession, csv_path: str, out: str) -> int:
+    """Add the files of the glob that the store lacks; tells how many."""
+    return store.ingest(spark, ais.scan_positions, csv_path, out)
 
 
-def store_messages(spark: SparkSession, csv_path: str, out: str) -> None:
-    ais.store_by_date(ais.scan_messages(spark, csv_path), out)
+def store_messages(spark: SparkSession, csv_path: str, out: str) -> int:
+    return store.ingest(spark, ais.scan_messages, csv_path, out)
 
 
 def _read(
     spark: SparkSession,
     scan: Callable[[SparkSession, str], DataFrame],
+    schema: StructType,
     path: str,
     window: Window | None,
     fmt: str,
 ) -> DataFrame:
     if fmt == "parquet":
         bounds = (window.start, window.end) if window else ()
-        return ais.read_stored(spark, path, *bounds)
+        return store.read_stored(spark, path, schema, *bounds)
     if fmt != "csv":
         raise ValueError(f"format is csv or parquet, not {fmt}")
     reports = scan(spark, path)
@@ -66,13 +70,13 @@ def _read(
 def read_positions(
     spark: SparkSession, path: str, window: Window | None = None, fmt: str = "csv"
 ) -> DataFrame:
-    return _read(spark, ais.scan_positions, path, window, fmt)
+    return _read(spark, ais.scan_positions, POSITIONS, path, window, fmt)
 
 
 def read_messages(
     spark: SparkSession, path: str, window: Window | None = None, fmt: str = "csv"
 ) -> DataFrame:
-    return _read(spark, ais.scan_messages, path, window, fmt)
+    return _read(spark, ais.scan_messages, MESSAGES, path, window, fmt)
 
 
 def reference_frame(

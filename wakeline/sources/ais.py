@@ -20,25 +20,6 @@ def scan_messages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(MESSAGES).csv(path, header=True, enforceSchema=True)
 
 
-def store_by_date(reports: DataFrame, path: str) -> None:
-    """Keep reports as Parquet by day, once, instead of rescanning gzip files.
-
-    Days that are written replace the same days of an earlier call, the others stay;
-    reports without a time are a day of their own. The rebalance gives large days many
-    writers and small days one, and files are in order of vessel and time, so reading
-    one vessel skips most of a day.
-    """
-    (
-        reports.withColumn("date", F.to_date("timestamp"))
-        .hint("rebalance", "date")
-        .sortWithinPartitions("date", "mmsi", "timestamp")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
-
-
 def observed_between(reports: DataFrame, start: str, end: str) -> DataFrame:
     """Reports with start <= timestamp < end; skips whole days of a stored table."""
     first, after = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
@@ -46,13 +27,3 @@ def observed_between(reports: DataFrame, start: str, end: str) -> DataFrame:
         last = after - F.expr("INTERVAL 1 MICROSECOND")
         reports = reports.where(F.col("date").between(F.to_date(first), F.to_date(last)))
     return reports.where((F.col("timestamp") >= first) & (F.col("timestamp") < after))
-
-
-def read_stored(
-    spark: SparkSession, path: str, start: str | None = None, end: str | None = None
-) -> DataFrame:
-    """Stored reports, all or those of a window."""
-    stored = spark.read.parquet(path)
-    if start is not None:
-        stored = observed_between(stored, start, end)
-    return stored.drop("date")
