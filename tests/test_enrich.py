@@ -211,3 +211,47 @@ def test_names_are_tested_in_several_tasks_and_once(spark):
     assert "Aggregate [a#" not in plan.split("Join")[0]
 
 
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefg"])
+def test_frequent_segments_find_the_same_matches(spark, monkeypatch, letters):
+    """All segments count as frequent, and classes meet on grids of many cells."""
+    monkeypatch.setattr(enrich, "FREQUENT", 2)
+    monkeypatch.setattr(enrich, "FREQUENT_SHARE", 0.0)
+    monkeypatch.setattr(enrich, "CELL_PAIRS", 2)
+    rng = random.Random(letters)
+    left = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 16))) for _ in range(70)}
+    left |= {f"maria {a}" for a in left if len(a) < 9}
+    right = {edited(rng, rng.choice(sorted(left)), letters) for _ in range(120)} | set(list(left)[:20])
+    names = lambda values: spark.createDataFrame([(v,) for v in sorted(values)], "name string")
+    got = [tuple(r) for r in enrich.name_matches(names(left), names(right)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for a in left for b in right if b and similar(a, b)}
+
+
+def test_names_with_shared_words_meet_about_once(spark):
+    rng = random.Random(2)
+    sides = [[f"santa maria {n:05d}" for n in rng.sample(range(100_000), 400)] for _ in range(2)]
+    left, right = (spark.createDataFrame([(n,) for n in side], "name string") for side in sides)
+    candidates = enrich.name_candidates(left, right)
+    matches = {tuple(r) for r in enrich.name_matches(left, right).collect()}
+    assert candidates.count() <= 3 * len(matches)
+    pairs = candidates.select("a", "b").distinct().count()
+    assert len(matches) <= pairs <= 400 * 400
+    for a, b in rng.sample([(a, b) for a in sides[0] for b in sides[1]], 2000):
+        assert ((a, b) in matches) == similar(a, b)
+
+
+def test_the_name_join_runs_once(spark):
+    register = spark.createDataFrame([("Ann", 1), ("Zzz", 2)], "name string, mmsi int")
+    links = spark.createDataFrame(
+        [(1, 0, 0, "ann", "i", "m")],
+        "page_id long, part int, pos int, name string, imo string, mmsi string",
+    )
+    found = enrich.fuzzy_register_match(register, links)
+    assert [tuple(r) for r in found.orderBy("register_name").collect()] == [
+        ("ann", 1, 0, 0, "ann", "i", "m"), ("zzz", None, None, None, "---", "---", "---"),
+    ]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    # Once over rare segments and once over frequent ones; no second run for the rest.
+    assert plan.count("levenshtein(") == 2

@@ -15,6 +15,14 @@ _OWN_COLUMNS = ("n_matches", "ambiguous")
 
 _LINK_ORDER = ["page_id", "part", "pos"]
 
+# What a segment must share with another name's: itself, its number and both lengths.
+_KEY = ["key", "number", "len_a", "len_b"]
+
+# A segment is frequent that so many names hold, and this share of those of a length.
+FREQUENT, FREQUENT_SHARE = 100, 0.02
+# Pairs of names in a cell of the grid on which two large classes meet.
+CELL_PAIRS = 20_000
+
 
 def _inside_container(html: Column, container: str) -> Column:
     """The pieces of the page between the container's tags, nested or not.
@@ -154,10 +162,15 @@ def _segment_of_row():
     return _window(*(F.col(c) for c in ("number", "len_a", "len_b", "k")))
 
 
-def _segment_keys(names: DataFrame) -> DataFrame:
+def _at_lengths(names: DataFrame, own: str, other: str, lengths: DataFrame | None) -> DataFrame:
+    """Each name with every length a match can have, or with those of ``lengths`` only."""
+    rows = names.withColumn(other, F.explode(_compatible_lengths(F.col(own))))
+    return rows if lengths is None else rows.join(lengths, ["len_a", "len_b"], "left_semi")
+
+
+def _segment_keys(names: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
     """Each left name under its segments, for every length a match can have."""
-    lengths = F.explode(_compatible_lengths(F.col("len_a")))
-    rows = _with_segments(names.withColumn("len_b", lengths))
+    rows = _with_segments(_at_lengths(names, "len_a", "len_b", lengths))
     start, size, _, _ = _segment_of_row()
     return rows.select(
         "a", "bits_a", "len_a", "len_b", "number",
@@ -165,10 +178,9 @@ def _segment_keys(names: DataFrame) -> DataFrame:
     )
 
 
-def _substring_keys(names: DataFrame) -> DataFrame:
+def _substring_keys(names: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
     """Each right name once under each substring that can be an untouched segment."""
-    lengths = F.explode(_compatible_lengths(F.col("len_b")))
-    rows = _with_segments(names.withColumn("len_a", lengths))
+    rows = _with_segments(_at_lengths(names, "len_b", "len_a", lengths))
     _, size, first, last = _segment_of_row()
     keys = F.transform(
         F.sequence("first", "last"), lambda at: F.substring(F.col("b"), at + 1, F.col("size"))
@@ -194,6 +206,89 @@ def _met_before() -> Column:
     return F.when(F.col("number") == 0, F.lit(False)).otherwise(F.exists(lower, shared))
 
 
+def _frequent_keys(a: DataFrame, names: DataFrame) -> DataFrame:
+    """Segments that many left names of a length share, by counting them all.
+
+    At most 1 / FREQUENT_SHARE of them for each place and pair of lengths.
+    """
+    names = names.groupBy("len_a").agg(F.count("*").alias("names")).where(f"names >= {FREQUENT}")
+    held = a.join(names.select("len_a"), "len_a", "left_semi").groupBy(*_KEY).agg(F.count("*").alias("held"))
+    frequent = (F.col("held") >= FREQUENT) & (F.col("held") >= FREQUENT_SHARE * F.col("names"))
+    return held.join(names, "len_a").where(frequent).select(*_KEY)
+
+
+def _by_held(keys: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
+    """Each name with all frequent segments it holds, in the order of their numbers."""
+    return (
+        keys.join(frequent, _KEY, "left_semi")
+        .groupBy(name, f"bits_{name}", "len_a", "len_b")
+        .agg(F.sort_array(F.collect_list(F.struct("number", "key"))).alias(f"held_{name}"))
+    )
+
+
+def _met_by_frequent(a: DataFrame, b: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Pairs that share frequent segments, each once, at the lowest number they share.
+
+    Names that hold the same frequent segments are one class. Classes meet on their
+    segments, and only then the names of two classes that share one: on a grid, whose
+    cells are tasks of bounded size however many names a class has.
+    """
+    lengths = ["len_a", "len_b"]
+    # Few lengths have such segments; names of others are not even cut.
+    some = frequent.select(*lengths).distinct()
+    a = _by_held(_segment_keys(a, some), frequent, "a")
+    b = _by_held(_substring_keys(b, some), frequent, "b")
+
+    def classes(names: DataFrame, held: str) -> DataFrame:
+        sizes = names.groupBy(*lengths, held).agg(F.count("*").alias(f"n_{held}"))
+        return sizes.select("*", F.inline(held))
+
+    common = F.element_at(F.array_intersect("held_a", "held_b"), 1)
+    side = F.ceil(F.sqrt(F.col("n_held_a") * F.col("n_held_b") / CELL_PAIRS))
+    met = (
+        classes(a, "held_a")
+        .join(classes(b, "held_b").hint("merge"), _KEY)
+        .where(common == F.struct("number", "key"))
+        .select(*lengths, "held_a", "held_b", "number", side.cast("int").alias("side"))
+    )
+    every, last = F.explode(F.sequence(F.lit(0), F.col("side") - 1)), F.col("side")
+    left = (
+        a.join(met.hint("merge"), [*lengths, "held_a"])
+        .withColumn("cell_a", F.pmod(F.xxhash64("a"), last).cast("int"))
+        .withColumn("cell_b", every)
+        .drop("side")
+    )
+    right = (
+        b.join(met.drop("number").hint("merge"), [*lengths, "held_b"])
+        .withColumn("cell_b", F.pmod(F.xxhash64("b"), last).cast("int"))
+        .withColumn("cell_a", every)
+        .drop("side")
+    )
+    # Cells are few bytes and much work, so their number of tasks is given: a shuffle
+    # that goes by bytes would put them together.
+    cell = [*lengths, "held_a", "held_b", "cell_a", "cell_b"]
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(tasks, *cell) for side in (left, right))
+    return left.join(right.hint("merge"), cell)
+
+
+def name_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of distinct lower-case names that share a segment, with its number.
+
+    A pair is there once for each rare segment it shares and once for its frequent ones
+    together, at the lowest number of those.
+    """
+    names_a, names_b = _distinct_names(left, "a"), _distinct_names(right, "b")
+    a, b = _segment_keys(names_a), _substring_keys(names_b)
+    frequent = _frequent_keys(a, names_a)
+    columns = ["a", "bits_a", "b", "bits_b", "len_a", "len_b", "number"]
+    # Neither side has a size bound and the segments multiply both, which size
+    # estimates miss: merge, never broadcast. The segment stands first in the key: it
+    # tells rows apart best, which sorting is quicker with.
+    rare = a.join(frequent, _KEY, "left_anti").hint("merge").join(b, _KEY)
+    return rare.select(columns).unionAll(_met_by_frequent(names_a, names_b, frequent).select(columns))
+
+
 def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of similar lower-case names from two frames with a column ``name``.
 
@@ -206,10 +301,6 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     in the tasks of the join: letter counts and then edit distance reject
     candidates, the ratio decides.
     """
-    # Neither side has a size bound and the segments multiply both, which size
-    # estimates miss: merge, never broadcast.
-    a = _segment_keys(_distinct_names(left, "a")).hint("merge")
-    b = _substring_keys(_distinct_names(right, "b"))
     only_a = F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b")))
     only_b = F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a")))
     longer = F.col("len_b") - F.col("len_a")
@@ -223,8 +314,7 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     cheap = F.when(few_letters, few_edits).otherwise(no)
     verdict = F.when(_met_before(), no).otherwise(similar)
     return (
-        # The segment first: it tells rows apart best, which sorting is quicker with.
-        a.join(b, ["key", "number", "len_a", "len_b"])
+        name_candidates(left, right)
         .withColumn("k", max_edits(F.col("len_a"), F.col("len_b")))
         .where(cheap)
         .select("a", "b", F.explode_outer(F.array(verdict)).alias("similar"))
@@ -233,14 +323,6 @@ def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def matched_links(names: DataFrame, links: DataFrame) -> DataFrame:
-    """Every link whose name is similar, per distinct lower-case register name."""
-    pairs = name_matches(names, links)
-    return links.join(pairs, F.lower(links["name"]) == pairs["b"]).select(
-        F.col("a").alias("register_name"), *_LINK_ORDER, *_SCRAPED
-    )
-
-
 def _has_name() -> Column:
     return F.trim(F.coalesce(F.col("name"), F.lit(""))) != ""
 
@@ -253,13 +335,15 @@ def fuzzy_register_match(register: DataFrame, links: DataFrame) -> DataFrame:
     where making it is dear, pass a written table.
     """
     names = register.where(_has_name()).select("name")
-    found = matched_links(names, links)
     every = names.select(F.lower("name").alias("register_name")).distinct()
-    missing = every.join(found.select("register_name").distinct(), "register_name", "left_anti")
-    types = dict(found.dtypes)
-    empty = {c: F.lit(None).cast(types[c]) for c in _LINK_ORDER}
-    empty |= {c: F.lit(NO_MATCH) for c in _SCRAPED}
-    return found.unionAll(missing.select("register_name", *(v.alias(c) for c, v in empty.items())))
+    # The names without a match come out of the same joins, which run once.
+    pairs = name_matches(names, links)
+    scraped = (F.when(F.col("b").isNull(), NO_MATCH).otherwise(F.col(c)).alias(c) for c in _SCRAPED)
+    return (
+        every.join(pairs, F.col("register_name") == F.col("a"), "left")
+        .join(links, F.lower(links["name"]) == F.col("b"), "left")
+        .select("register_name", *_LINK_ORDER, *scraped)
+    )
 
 
 def register_update(register: DataFrame, matches: DataFrame) -> DataFrame:
