@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,3 +256,51 @@ def test_the_name_join_runs_once(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     # Once over rare segments and once over frequent ones; no second run for the rest.
     assert plan.count("levenshtein(") == 2
+
+
+def hrefs(spark, page, **options):
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    found = enrich.page_links(pages, container="body", css_class=None, **options)
+    return [r.href for r in found.orderBy("part", "pos").collect()]
+
+
+def test_links_of_raw_text_and_values_are_none(spark):
+    page = """<TITLE><a href="/title"></TITLE><body><script>if (a<b) x = '<a href="/js">';</script >
+    <style><a href="/css"></style><textarea><a href=/area></textarea><div title="<a href='/value'>">
+    <!-- <script> --><a href="/one">1</a><script src=x></script><a title=" href=/no" href="/two">
+    <a class=href data-href="/no" HREF = '/three'><a href><abbr href=/no><a/ href="/no"><a href="">
+    <scripts><a href=/four></scripts><script><a href="/open">"""
+    assert hrefs(spark, page) == ["/one", "/two", "/three", "/four"]
+
+
+def test_references_are_replaced_once_and_from_the_whole_table(spark):
+    given = {
+        "/&#38;lt;": "/&lt;", "/&amp;lt;": "/&lt;", "/&eacute;&nbsp;&apos;": "/é\xa0'",
+        "/a?x=1&copy=2&reg": "/a?x=1&copy=2®", "/&NotEqualTilde;&bogus;&": "/≂̸&bogus;&",
+        "/&#233;&#xE9;&#XE9;&#233": "/éééé", "/&#146;&#x80;&#129;": "/’€\x81", "/&&amp;&": "/&&&",
+        "/&#99999999999;&#x110000;": "/&#99999999999;&#x110000;", "/plain": "/plain",
+        "/&euro;&euro": "/€&euro", "/&amp": "/&", "/&ampx;&ampx": "/&ampx;&ampx",
+    }
+    page = "<body>" + "".join(f'<a href="{h}">' for h in given)
+    assert hrefs(spark, page) == list(given.values())
+
+
+def test_links_of_large_and_broken_pages_take_linear_time(spark):
+    hrefs(spark, "<body><a href=x>")
+    start = time.perf_counter()
+    many = "<body>" + "".join(f"<b><body><a href='/{n}'></body></b>" for n in range(25_000))
+    assert len(hrefs(spark, many)) == 25_000
+    deep = "<body>" * 50_000 + "<a href=/deep>" + "</body>" * 50_000 + "<a href=/out>"
+    assert hrefs(spark, deep) == ["/deep"]
+    for broken in ("<script ", "<a ", "<!--", "<a href=\"", "<a x='", "<body ", "</body", "&#", "<title>"):
+        assert hrefs(spark, "<body><a href=/first>" + broken * 50_000)[:1] == ["/first"]
+    assert hrefs(spark, "<body><a href='" + "&" * 200_000 + "'>") == ["&" * 200_000]
+    assert hrefs(spark, "<body><a " + "x='' " * 50_000 + "href=/last>") == ["/last"]
+    assert time.perf_counter() - start < 60
+
+
+def test_repeated_pages_and_stray_closing_tags(spark):
+    page = "</tbody></tbody><tbody><a class='ship-link x' href=/a></tbody></tbody><a class=ship-link href=/b>"
+    pages = spark.createDataFrame([(1, page), (1, page), (None, page)], "page_id long, html string")
+    found = [(r.page_id, r.href) for r in enrich.page_links(pages).collect()]
+    assert sorted(found, key=str) == [(1, "/a"), (1, "/a"), (None, "/a")]

@@ -1,9 +1,12 @@
 """Completion of a register by approximate names from links in web pages."""
 
-from pyspark.sql import Column, DataFrame
+import json
+from html.entities import html5
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.functions.text import bound, is_match, lcs_length, letter_bits, max_edits
+from wakeline.functions.text import is_match, lcs_length, letter_bits, max_edits
 
 # Fixed value: stands for a name without a match.
 NO_MATCH = "---"
@@ -24,55 +27,74 @@ FREQUENT, FREQUENT_SHARE = 100, 0.02
 CELL_PAIRS = 20_000
 
 
-def _inside_container(html: Column, container: str) -> Column:
-    """The pieces of the page between the container's tags, nested or not.
+# The rest of a tag: quoted values may hold any character, a tag with unbalanced quotes
+# ends at the first bracket, and one without a bracket lasts to the end of the page.
+_TAG_END = r"""(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>?)"""
 
-    The page is cut before each opening and closing tag, and the depth is counted
-    from piece to piece.
-    """
-    opening, closing = f"<{container}", f"</{container}"
-
-    def next_depth(depths: Column, piece: Column) -> Column:
-        start = F.lower(F.substring(piece, 1, len(closing)))
-        depth = F.element_at(depths, -1)
-        change = (
-            F.when(start.startswith(opening), depth + 1)
-            .when(start == closing, F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-        )
-        return F.concat(depths, F.array(change))
+# Elements whose content is text whatever it looks like.
+_RAW_TEXT = "script|style|textarea|title|xmp|iframe|noembed|noframes"
 
-    def inside(pieces: Column) -> Column:
-        # The depth before the first piece is zero, so places are one off.
-        depths = F.aggregate(pieces, F.array(F.lit(0)), next_depth)
-        return bound(depths, lambda d: F.filter(pieces, lambda _, n: F.get(d, n + 1) > 0))
 
-    return bound(F.split(html, rf"(?i)(?=</?{container}[\s>])"), inside)
+def _tokens(html: Column, container: str) -> Column:
+    """Links and the container's tags in their order, from one pass over the page.
+
+    Comments, raw text and other tags are passed over as a whole and leave empty texts.
+    What is not closed lasts to the end, so no part is read again and again.
+    """
+    wanted = rf"<a\s{_TAG_END}|</?{container}(?=[\s/>]){_TAG_END}"
+    raw = rf"<({_RAW_TEXT})(?=[\s/>]){_TAG_END}(?:.*?</\2(?=[\s/>])|.*)"
+    pattern = rf"(?is)({wanted})|<!--(?:.*?-->|.*)|{raw}|</?[a-z]{_TAG_END}"
+    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, quoted or not; empty where there is none."""
-    pattern = rf"""(?is)\s{name}\s*=\s*(?:(["'])(.*?)\1|([^\s"'>]+))"""
-    return F.concat(F.regexp_extract(tag, pattern, 2), F.regexp_extract(tag, pattern, 3))
+    """Value of a link's first attribute of a name, quoted or not; empty where there is none."""
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++)"""
+    others = rf"""(?:[\s/]++(?!{name}[\s=])[^\s=>/"']++(?:\s*+=\s*+{value})?+)*+"""
+    pattern = rf"""(?is)^<a{others}[\s/]++{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))"""
+    return F.concat(*(F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)))
+
+
+def _named_references() -> Column:
+    """What each named reference stands for, with and without the sign at its end."""
+    return F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items()})), "map<string,string>")
+
+
+def _windows_characters() -> str:
+    """What numbers 128 to 159 stand for, as pages use them: code page 1252."""
+    return "".join(
+        bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)
+    )
 
 
 def _decoded(text: Column) -> Column:
-    """The text with its character references replaced, the ampersand's last."""
+    """The text with its character references replaced, each once, as in an attribute.
+
+    A name without the sign at its end is left alone before an equals sign. Numbers that
+    stand for no character stay as they are.
+    """
+    pieces = F.regexp_extract_all(
+        text,
+        F.lit(r"&#[0-9]++;?|&#[xX][0-9a-fA-F]++;?|&[A-Za-z][A-Za-z0-9]*+;?(?:(?<!;)=)?|[^&]++|&"),
+        F.lit(0),
+    )
 
-    def replaced(done: Column, reference: Column) -> Column:
-        hexadecimal = F.regexp_extract(reference, "(?i)^&#x([0-9a-f]+);", 1)
-        decimal = F.regexp_extract(reference, "^&#([0-9]+);", 1)
-        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(decimal)
-        code = code.cast("int")
+    def replaced(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, "^&#[xX]?([0-9a-fA-F]+)", 1)
+        base = F.when(F.lower(F.substring(piece, 3, 1)) == "x", 16).otherwise(10)
+        code = F.when(F.length(digits) <= 9, F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits))
+        code = code.try_cast("int")
         is_character = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(is_character, F.replace(done, reference, character)).otherwise(done)
+        windows = F.substr(F.lit(_windows_characters()), code - 127, F.lit(1))
+        number = F.when(code.between(128, 159), windows).when(is_character, character)
+        return (
+            F.when(~piece.startswith("&"), piece)
+            .when(piece.startswith("&#"), F.coalesce(number, piece))
+            .otherwise(F.coalesce(F.element_at(_named_references(), piece), piece))
+        )
 
-    numeric = F.regexp_extract_all(text, F.lit("(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), F.lit(0))
-    result = F.aggregate(F.array_distinct(numeric), text, replaced)
-    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
-        result = F.replace(result, F.lit(f"&{name};"), F.lit(character))
-    return F.when(text.contains("&"), result).otherwise(text)
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, replaced), "")).otherwise(text)
 
 
 def page_links(
@@ -80,28 +102,32 @@ def page_links(
 ) -> DataFrame:
     """Targets of the links of a class inside a container, with their place on the page.
 
-    ``part`` and ``pos`` order the links of a page. Comments are no part of it, a
-    quoted value may hold any character, and character references are replaced.
+    ``part`` and ``pos`` order the links of a page. Links in comments, scripts and values
+    are none, and character references are replaced as a parser does. Depth inside the
+    containers is a running sum over the tags of a page, which takes time in proportion
+    to them; closing tags too many count for nothing.
     """
-
-    def wanted(tag: Column) -> Column:
-        classes = F.split(_attribute(tag, "class"), r"\s+")
-        return F.lit(True) if css_class is None else F.array_contains(classes, css_class)
-
-    # A tag with unbalanced quotes ends at the first bracket.
-    tag = r"""(?i)<a\s(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
-    tags = F.filter(F.regexp_extract_all("piece", F.lit(tag), F.lit(0)), wanted)
-    targets = F.transform(tags, lambda tag: _decoded(_attribute(tag, "href")))
-    html = F.regexp_replace("html", "(?s)<!--.*?-->", "")
-    # The outer forms, as for the others Spark tests the array before it unfolds it and
-    # would compute it several times.
+    token = F.col("token")
+    start = F.lower(F.substring("token", 1, 2 + len(container)))
+    change = (
+        F.when(start.startswith(f"<{container}"), 1).when(start == f"</{container}", -1).otherwise(0)
+    )
+    classes = F.split(_attribute(token, "class"), r"\s+")
+    of_class = F.lit(True) if css_class is None else F.array_contains(classes, css_class)
+    in_order = Window.partitionBy("page").orderBy("pos")
+    floor = F.least(F.min("total").over(in_order), F.lit(0))
     return (
-        pages.select(
-            "page_id",
-            F.posexplode_outer(_inside_container(html, container)).alias("part", "piece"),
-        )
-        .select("page_id", "part", F.posexplode_outer(targets).alias("pos", "href"))
-        .where(F.col("href") != "")
+        pages.withColumn("page", F.monotonically_increasing_id())
+        .select("page_id", "page", F.posexplode(_tokens(F.col("html"), container)).alias("pos", "token"))
+        .where(token.endswith(">"))
+        .withColumn("change", change)
+        .where((F.col("change") != 0) | of_class)
+        .withColumn("total", F.sum("change").over(in_order))
+        .withColumn("part", F.sum(F.abs("change")).over(in_order).cast("int"))
+        .withColumn("floor", floor)
+        .where("change = 0 AND total > floor")
+        .select("page_id", "part", "pos", _decoded(_attribute(token, "href")).alias("href"))
+        .where("href != ''")
     )
 
 
