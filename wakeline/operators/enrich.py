@@ -51,13 +51,20 @@ def _attribute(tag: Column, name: str) -> Column:
     """Value of a link's first attribute of a name, quoted or not; empty where there is none."""
     value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++)"""
     others = rf"""(?:[\s/]++(?!{name}[\s=])[^\s=>/"']++(?:\s*+=\s*+{value})?+)*+"""
-    pattern = rf"""(?is)^<a{others}[\s/]++{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))"""
-    return F.concat(*(F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)))
+    found = F.regexp_extract(tag, rf"(?is)^<a{others}[\s/]++{name}\s*+=\s*+({value})", 1)
+    quoted = found.startswith('"') | found.startswith("'")
+    return F.when(quoted, F.substr(found, F.lit(2), F.length(found) - 2)).otherwise(found)
 
 
 def _named_references() -> Column:
-    """What each named reference stands for, with and without the sign at its end."""
-    return F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items()})), "map<string,string>")
+    """What each named reference stands for, with and without the sign at its end.
+
+    By first letter, as Spark looks a key up by going through them.
+    """
+    table: dict[str, dict[str, str]] = {}
+    for name, characters in html5.items():
+        table.setdefault(name[0], {})[f"&{name}"] = characters
+    return F.from_json(F.lit(json.dumps(table)), "map<string,map<string,string>>")
 
 
 def _windows_characters() -> str:
@@ -88,10 +95,12 @@ def _decoded(text: Column) -> Column:
         character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         windows = F.substr(F.lit(_windows_characters()), code - 127, F.lit(1))
         number = F.when(code.between(128, 159), windows).when(is_character, character)
+        named = F.element_at(F.element_at(_named_references(), F.substring(piece, 2, 1)), piece)
         return (
             F.when(~piece.startswith("&"), piece)
+            .when(piece == "&amp;", "&")
             .when(piece.startswith("&#"), F.coalesce(number, piece))
-            .otherwise(F.coalesce(F.element_at(_named_references(), piece), piece))
+            .otherwise(F.coalesce(named, piece))
         )
 
     return F.when(text.contains("&"), F.array_join(F.transform(pieces, replaced), "")).otherwise(text)
