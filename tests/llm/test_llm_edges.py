@@ -1,0 +1,132 @@
+"""Registered queries on tables with missing ids, repeated rows and texts without words."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_rows import llm_spark, make_docs, tricky_rows  # noqa: F401
+
+from wakeline.llm import packing, queries, token_counts
+from wakeline.llm.near_dedup import near_duplicates
+from wakeline.llm.quality_rules import quality_rules
+from wakeline.llm.resampling import importance_sample
+from wakeline.llm.words import segment_hashes
+
+
+def test_every_query_on_a_table_of_edge_cases(make_docs, llm_spark, tmp_path):
+    rows = [(i, t) for i, t in tricky_rows() if t is None or len(t) < 50_000]
+    rows += [(None, "Licensed under the MIT License"), (None, None), (None, "")]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, i % 2, 0) for i in range(1, 18)] + [(None, 1, 1), (3, None, None)]
+    schema = "doc_id long, quality int, toxic int, text string"
+    llm_spark.createDataFrame([(*r, "x") for r in labels], schema).write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    pages = [(1, "u", "<p>One.</p>"), (1, "u", None), (None, None, ""), (2, "v", "<script ")]
+    llm_spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet"
+    )
+    for name, query in queries.registered().items():
+        found = query(llm_spark, str(tmp_path)).collect()
+        wanted = len(pages) if name.startswith("op10") else len(rows)
+        if name.startswith("op1_"):
+            # One row for each path; repeated rows and those without doc_id share one.
+            wanted = len({i for i, _ in rows if i is not None}) + 1
+        if name.startswith("op3_"):
+            # Repeated rows of equal text share one.
+            wanted = len({(i, t or "") for i, t in rows})
+        if not name.startswith("op2_"):
+            assert len(found) == wanted, name
+
+
+def test_weights_of_a_partition_without_words(make_docs):
+    blank = make_docs([(1, ""), (2, None), (3, " \n"), (4, ""), (5, None)]).coalesce(1)
+    found = importance_sample(blank, blank.select("doc_id", "text"), 0.5).collect()
+    assert [r.log_weight for r in found] == [0.0] * 5
+
+
+def thue_morse(size):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+
+
+def test_long_words_of_one_polynomial_differ(make_docs):
+    one = thue_morse(4096)
+    other = one.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer((one + other + one).encode(), np.uint8)
+    edges = np.array([0, 4096, 8192, 12288])
+    hashes = segment_hashes(data, edges[:-1], edges[1:])
+    assert hashes[0] == hashes[2] != hashes[1]
+    docs = make_docs([(1, f"{one}\n{other}"), (2, f"{one}\n{one}")])
+    found = {r.doc_id: r.n_dup_lines for r in quality_rules(docs, None).collect()}
+    assert found == {1: 0, 2: 1}
+    links = make_docs([(1, one), (2, other), (3, one)])
+    found = {r.doc_id: r.component_id for r in near_duplicates(links, percent=85).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_hash_of_a_segment_depends_on_its_bytes_only():
+    rng = random.Random(4)
+    parts = [rng.randbytes(rng.choice([1, 7, 255, 256, 257, 900])) for _ in range(60)] * 2
+    rng.shuffle(parts)
+    ends = np.cumsum([len(p) for p in parts])
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    hashes = segment_hashes(data, np.concatenate([[0], ends[:-1]]), ends).tolist()
+    assert len(set(zip(parts, hashes, strict=True))) == len(set(parts)) == len(set(hashes))
+
+
+def word_bpe():
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+@pytest.mark.parametrize("limit", [0, 4000, 1 << 30])
+def test_words_are_encoded_as_the_library_does(monkeypatch, limit):
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", limit)
+    rng = random.Random(6)
+    letters = "abcdeABZéÉßÿØ÷×ªº.,'’!-日Σς́İı0ﬁ"
+    words = {"".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(4000)}
+    words |= {"a.", "a,", ".", ",", "É.", "don't", "a..", "a.b", "é.", "<|endoftext|>", "x" * 5000}
+    words = [w.encode() for w in sorted(words)]
+    encoder, library = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")), word_bpe()
+    assert encoder.ends is not None
+    for part in (words[::2], words[1::2], words[::3], words):
+        found = encoder.word_ids(part)
+        for word, ids in zip(part, found, strict=True):
+            expected = library.encode(word.decode(), add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == expected, word
+    assert encoder.size <= max(limit, sum(map(len, words)) * 40 + 400 * len(words))
+
+
+def test_caches_are_bounded_in_bytes_on_texts_without_spaces(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 50_000)
+    monkeypatch.setattr(token_counts, "REMEMBERED_BYTES", 50_000)
+    rng = random.Random(8)
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    counter = token_counts.SegmentCounter([("a", -1.0), ("b", -2.0), ("ab", -2.5), ("▁", -3.0)])
+    for _ in range(60):
+        word = "".join(rng.choices("ab", k=3000))
+        encoder.word_ids([word.encode()])
+        counter.count(word)
+        held = sum(len(w) + len(ids) for w, ids in encoder.known.items())
+        assert held <= 50_000 and 0 < sum(map(len, counter.known)) <= 12_500
+
+
+def test_pieces_of_texts(make_docs):
+    rows = tricky_rows()
+    library = word_bpe()
+    found = packing.token_pieces(
+        make_docs(rows), public_tokenizers.path("word_bpe_49k.json"), capacity=50
+    )
+    expected = Counter()
+    for i, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        for start in range(0, len(ids), 50):
+            part = np.array(ids[start : start + 50], "<u4")
+            expected[(i, start // 50, start, len(part), part.tobytes())] += 1
+    assert Counter((*tuple(r)[:4], bytes(r.ids)) for r in found.collect()) == expected

@@ -1,6 +1,8 @@
 """Tokenised pieces of documents, and their packing into sequences by best fit."""
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,15 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeline.llm.tables import slices, utf8, written
+from wakeline.llm.words import distinct_words, split_words
 
 CAPACITY = 4096
 # Items packed together in one task at most, on average.
 GROUP_ITEMS = 1 << 15
-# Encoded words a worker remembers.
-REMEMBERED_WORDS = 1_000_000
+# Bytes of encoded words a worker remembers, and what an entry takes beside its bytes.
+REMEMBERED_BYTES = 160 << 20
+_ENTRY_BYTES = 180
 END_ID = 1
 _SLICE_BYTES = 2 << 20
 
+# Letters of Latin-1, as their bytes in UTF-8, and a full stop or a comma behind them.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([.,]?)")
+
 
 class WordEncoder:
     """Encodes texts word by word; a word met before is not encoded again.
@@ -37,24 +44,76 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        missing = [word for word in words if word not in self.known]
-        if len(self.known) + len(missing) > REMEMBERED_WORDS:
-            self.known.clear()
-            missing = list(words)
+        self.size = 0
+        self.ends = self._word_ends()
+
+    def _word_ends(self) -> np.ndarray | None:
+        """Which ids end a run of letters, where the tokenizer marks such ends and splits
+        a full stop or a comma off; else None."""
+        model = json.loads(self.tokenizer.to_str())["model"]
+        split = self.tokenizer.pre_tokenizer
+        if not model.get("end_of_word_suffix") or split is None:
+            return None
+        if [piece for piece, _ in split.pre_tokenize_str("ab. c,")] != ["ab", ".", "c", ","]:
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for piece, number in model["vocab"].items():
+            ends[number] = piece.endswith(model["end_of_word_suffix"])
+        return ends
+
+    def _one_by_one(self, words: list[bytes]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(
-            [word.decode("utf-8") for word in missing], add_special_tokens=False
+            [word.decode("utf-8") for word in words], add_special_tokens=False
         )
-        for word, found in zip(missing, encoded, strict=True):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.split() for text in texts]
-        self.learn(set().union(*split))
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        return [np.array(found.ids, "<u4").tobytes() for found in encoded]
+
+    def _runs_of_letters(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each run, encoded as one text and cut behind the ids that end a run."""
+        text = b" ".join(runs).decode("utf-8")
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(runs):
+            return self._one_by_one(runs)
+        whole, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [whole[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _learned(self, words: list[bytes]) -> list[bytes]:
+        split = _LETTERS.fullmatch if self.ends is not None else lambda word: None
+        matches = list(map(split, words))
+        runs = list({match[1] for match in matches if match})
+        ids = dict(zip(runs, self._runs_of_letters(runs), strict=True)) if runs else {}
+        marks = [b"", b".", b","]
+        ids |= zip(marks, self._one_by_one(marks), strict=True)
+        other = iter(self._one_by_one([w for w, match in zip(words, matches) if not match]))
+        found = [ids[match[1]] + ids[match[2]] if match else next(other) for match in matches]
+        size = sum(map(len, words)) + sum(map(len, found)) + _ENTRY_BYTES * len(words)
+        if self.size + size > REMEMBERED_BYTES:
+            self.known.clear()
+            self.size = 0
+        self.size += size
+        self.known.update(zip(words, found, strict=True))
+        return found
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words as little-endian unsigned 32-bit numbers."""
+        found = list(map(self.known.get, words))
+        missing = [place for place, ids in enumerate(found) if ids is None]
+        for place, ids in zip(missing, self._learned([words[p] for p in missing]), strict=True):
+            found[place] = ids
+        return found
+
+    def encode(self, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie one behind the other, and their bounds by text."""
+        words = split_words(starts, data)
+        codes, dictionary = distinct_words(words, data)
+        found = self.word_ids(dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = (np.cumsum(sizes) - sizes)[codes]
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        places = np.repeat(first - ends[:-1], sizes[codes]) + np.arange(ends[-1])
+        return ids[places], ends[words.bounds]
 
 
 @lru_cache(maxsize=2)
@@ -72,31 +131,29 @@ def token_pieces(
     missing or empty text is one piece of END_ID. Repeated rows and rows without
     doc_id give pieces of their own. Other columns are not read.
     """
-    end = np.array([END_ID], "<u4").tobytes()
-    size = 4 * capacity
-
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_file)
         for batch in slices(batches, "text", _SLICE_BYTES):
-            starts, data = utf8(batch.column("text"))
-            whole, places = data.tobytes(), starts.tolist()
-            texts = [whole[a:b] for a, b in zip(places, places[1:], strict=False)]
-            rows, starts, ids = [], [], []
-            for row, found in enumerate(encoder.encode(texts)):
-                found += end
-                for start in range(0, len(found), size):
-                    rows.append(row)
-                    starts.append(start // 4)
-                    ids.append(found[start : start + size])
-            start = np.array(starts, np.int64)
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
+            ids, bounds = encoder.encode(*utf8(batch.column("text")))
+            ids = np.insert(ids, bounds[1:], END_ID)
+            sizes = np.diff(bounds) + 1
+            count = -(-sizes // capacity)
+            row = np.repeat(np.arange(batch.num_rows), count)
+            piece = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+            start = piece * capacity
+            lengths = np.minimum(sizes[row] - start, capacity)
+            # Pieces follow each other as the ids do.
+            edges = np.concatenate([[0], 4 * np.cumsum(lengths)])
+            binary = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                    pa.array((start // capacity).astype(np.int32)),
+                    batch.column("doc_id").take(pa.array(row)),
+                    pa.array(piece.astype(np.int32)),
                     pa.array(start),
                     pa.array(lengths),
-                    pa.array(ids, pa.binary()),
+                    binary.cast(pa.binary()),
                 ],
                 ["doc_id", "piece", "start", "length", "ids"],
             )
