@@ -283,6 +283,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "name_matches": lambda i: enrich.name_matches(i.view("name_register"), i.vessel_links),
     "fuzzy_register_match": lambda i: _matches(i).drop("part", "pos"),
     "register_update": lambda i: enrich.register_update(i.view("name_register"), _matches(i)),
+    "match_lists": lambda i: enrich.match_lists(_matches(i)),
 }
 
 

@@ -383,4 +383,14 @@ def statements() -> dict[str, str]:
             + ", coalesce(n_matches, 0) AS n_matches, mmsi IS NULL AND coalesce(n_matches, 0) > 1 "
             "AS ambiguous FROM name_register r LEFT JOIN firsts ON lower(r.name) = a",
         ),
+        "match_lists": with_views(
+            ["name_register", "vessel_pages"],
+            f"{_FOUND}, numbered AS (SELECT *, CAST((row_number() OVER "
+            "(PARTITION BY a ORDER BY page_id) - 1) // 1000 AS INT) AS list_part FROM found) "
+            "SELECT a AS register_name, list_part, count(*) AS n, "
+            + ", ".join(
+                f"string_agg({c}, ',' ORDER BY page_id) AS {c}" for c in ("name", "imo", "mmsi")
+            )
+            + " FROM numbered GROUP BY ALL",
+        ),
     }

@@ -83,6 +83,16 @@ def test_positions_by_port_equal_all_comparisons(spark, reports, monkeypatch, li
     assert rows_of(got) == expected
 
 
+def test_a_box_over_180_degrees_is_two_parts(spark, reports):
+    boxes = spark.createDataFrame(
+        [("fiji", 179.75, -18.0, -179.5, -17.0), ("none", 1.0, 5.0, 2.0, 4.0), ("gap", None, 1.0, 2.0, 3.0)],
+        "port_code string, west double, south double, east double, north double",
+    )
+    places = [179.7, 179.75, 180.0, -180.0, -179.5, -179.4, 0.0, None]
+    found = ports.positions_by_port(reports([(i, i, x, -17.5, 1.0) for i, x in enumerate(places)]), boxes)
+    assert rows_of(found.select("port_code", "mmsi")) == [("fiji", i) for i in (1, 2, 3, 4)]
+
+
 def test_box_parts_meet_nowhere(reports):
     box = Box(4.0, 51.0, 4.1, 51.1)
     rng = random.Random(2)

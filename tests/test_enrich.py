@@ -304,3 +304,40 @@ def test_repeated_pages_and_stray_closing_tags(spark):
     pages = spark.createDataFrame([(1, page), (1, page), (None, page)], "page_id long, html string")
     found = [(r.page_id, r.href) for r in enrich.page_links(pages).collect()]
     assert sorted(found, key=str) == [(1, "/a"), (1, "/a"), (None, "/a")]
+
+
+def test_match_lists_hold_every_match_in_order(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "LIST_PART", 7)
+    monkeypatch.setattr(enrich, "PAGE_BLOCK", 3)
+    links = links_frame(spark, ["MARIA"] * 40 + ["Anna", "ANNE", "MARIA"])
+    rows = [("a", None, "maria", None, None, None), ("b", 7, "anna", None, None, None),
+            ("c", 1, "nothing", "x", "x", "x"), ("d", 1, None, "x", "x", "x")]
+    register = register_frame(spark, rows + [("e", None, "Maria", None, None, None)])
+    matches = enrich.fuzzy_register_match(register, links)
+    lists = enrich.match_lists(matches)
+    parts = lists.where("register_name = 'maria'").orderBy("list_part").collect()
+    assert [r.n for r in parts] == [7] * 5 + [6]
+    wanted = [f"i{n}" for n in [*range(40), 42]]
+    assert ",".join(r.imo for r in parts).split(",") == wanted
+    updated = enrich.with_match_lists(enrich.register_update(register, matches), lists)
+    assert updated.columns == enrich.register_update(register, matches).columns
+    found = {r.reg_id: (r.name_scrape, r.imo_scrape, r.n_matches) for r in updated.collect()}
+    assert found["a"] == found["e"] == (",".join(["MARIA"] * 7), ",".join(wanted[:7]), 41)
+    assert found["b"] == ("Anna", "i40", 1)
+    assert found["c"] == ("---", "---", 0) and found["d"] == ("x", "x", 0)
+
+
+def test_names_that_latin_1_lacks_are_written_as_utf_8(spark, tmp_path):
+    register, pages, out = (f"{tmp_path}/{n}" for n in ("register.csv", "pages", "out"))
+    with open(register, "wb") as f:
+        f.write("id;naam;mmsi\n1;Gdansk Lodz;\n2;Zeeëend;5\n".encode("latin-1"))
+    link = '<tbody><a class="ship-link" href="/vessels/Gdańsk Łodz-IMO-1-MMSI-244000001">x</a>'
+    spark.createDataFrame([(1, link)], "page_id long, html string").write.parquet(pages)
+    assert jobs.complete_register(spark, register, pages, "naam", out) == "UTF-8"
+    rows = {r.id: r for r in scan_register_text(spark, out, "UTF-8").collect()}
+    assert (rows["1"].name_scrape, rows["1"].mmsi) == ("Gdańsk Łodz", "244000001")
+    assert rows["2"].naam == "Zeeëend"
+    # Read in its encoding, it can be completed again.
+    assert jobs.complete_register(spark, out, pages, "naam", f"{out}2", "UTF-8") == "UTF-8"
+    again = {r.id: r for r in scan_register_text(spark, f"{out}2", "UTF-8").collect()}
+    assert again["1"].name_scrape == "Gdańsk Łodz" and again["2"].naam == "Zeeëend"

@@ -18,6 +18,7 @@ WRITING = {
     "sink_csv_roundtrip",
     "fuzzy_register_match",
     "register_update",
+    "match_lists",
 }
 
 

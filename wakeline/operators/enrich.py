@@ -18,6 +18,9 @@ _OWN_COLUMNS = ("n_matches", "ambiguous")
 
 _LINK_ORDER = ["page_id", "part", "pos"]
 
+# Matches in a part of a name's lists, and pages that are counted together.
+LIST_PART, PAGE_BLOCK = 1000, 1000
+
 # What a segment must share with another name's: itself, its number and both lengths.
 _KEY = ["key", "number", "len_a", "len_b"]
 
@@ -381,6 +384,57 @@ def fuzzy_register_match(register: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def match_lists(matches: DataFrame) -> DataFrame:
+    """The matches of each name as comma lists, in parts of LIST_PART of them.
+
+    register_name, list_part, n, and name, imo and mmsi in the order of the pages. A part
+    ends after LIST_PART matches, so no group and no value grows with a name's matches:
+    they are counted by blocks of pages first, and numbered inside a block after that.
+    """
+    found = matches.where("page_id IS NOT NULL").withColumn(
+        "block", F.floor(F.col("page_id") / PAGE_BLOCK)
+    )
+    blocks = found.groupBy("register_name", "block").agg(F.count("*").alias("in_block"))
+    through = F.sum("in_block").over(Window.partitionBy("register_name").orderBy("block"))
+    before = blocks.select("register_name", "block", (through - F.col("in_block")).alias("before"))
+    in_order = [*_LINK_ORDER, *_SCRAPED]
+    number = F.row_number().over(Window.partitionBy("register_name", "block").orderBy(*in_order))
+    numbered = found.withColumn("number", number).join(before, ["register_name", "block"])
+    part = F.floor((F.col("before") + F.col("number") - 1) / LIST_PART).cast("int")
+    held = F.sort_array(F.collect_list(F.struct(*in_order)))
+    return (
+        numbered.groupBy("register_name", part.alias("list_part"))
+        .agg(F.count("*").alias("n"), held.alias("held"))
+        .select("register_name", "list_part", "n", *(_list(f"held.{c}", ",", c) for c in _SCRAPED))
+    )
+
+
+def _list(column: str, between: str, alias: str) -> Column:
+    # A missing value keeps its place between the commas.
+    every = F.transform(F.col(column), lambda value: F.coalesce(value, F.lit("")))
+    return F.array_join(every, between).alias(alias)
+
+
+def with_match_lists(updated: DataFrame, lists: DataFrame) -> DataFrame:
+    """An updated register whose three columns hold all matches of a name as comma lists.
+
+    Names with more than LIST_PART matches have the first of them there, and the rest in
+    the other parts of ``lists``; n_matches counts them all. No row multiplies.
+    """
+    first = lists.where("list_part = 0").select(
+        "register_name", *(F.col(c).alias(f"_{c}") for c in _SCRAPED)
+    )
+    key = F.when(_has_name(), F.lower("name"))
+    return updated.join(first, key == F.col("register_name"), "left").select(
+        *(
+            F.coalesce(f"_{c.removesuffix('_scrape')}", c).alias(c)
+            if c in [f"{s}_scrape" for s in _SCRAPED]
+            else F.col(c)
+            for c in updated.columns
+        )
+    )
+
+
 def register_update(register: DataFrame, matches: DataFrame) -> DataFrame:
     """One row per register row, completed from the matches of its name.
 

@@ -14,11 +14,22 @@ def _cell(coordinate: str, cell_degrees: float):
 
 
 def port_cells(ports: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """Each port once for every grid cell its box touches."""
+    """Each port once for every grid cell its box touches.
+
+    A box whose west lies east of its east reaches over 180 degrees: it has two parts.
+    """
+    west, east = F.col("west"), F.col("east")
+    part = lambda low, high: F.struct(low.alias("west"), high.alias("east"))
+    over = F.array(part(west, F.lit(180.0)), part(F.lit(-180.0), east))
+    parts = F.when(west <= east, F.array(part(west, east))).otherwise(over)
     columns = F.sequence(_cell("west", cell_degrees), _cell("east", cell_degrees))
     rows = F.sequence(_cell("south", cell_degrees), _cell("north", cell_degrees))
     return (
-        ports.where("west <= east and south <= north")
+        ports.where("west IS NOT NULL AND east IS NOT NULL AND south <= north")
+        .withColumn("part", F.explode(parts))
+        .withColumns({"west": F.col("part.west"), "east": F.col("part.east")})
+        .where("west <= east")
+        .drop("part")
         .withColumn("cell_x", F.explode(columns))
         .withColumn("cell_y", F.explode(rows))
     )

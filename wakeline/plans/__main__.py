@@ -35,7 +35,7 @@ JOBS = {
     "trip": (str, int, _box, str, _window, str),
     "maps": (str, str, int, _window, str),
     "port_positions": (str, str, str, _window, str),
-    "complete_register": (str, str, str, str),
+    "complete_register": (str, str, str, str, str),
 }
 
 

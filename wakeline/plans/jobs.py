@@ -10,8 +10,10 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wakeline.functions.geo import Box
@@ -176,24 +178,42 @@ def port_positions(
 
 
 def complete_register(
-    spark: SparkSession, register_path: str, pages_path: str, name_column: str, out: str
-) -> None:
-    """Add scraped identities to a Latin-1 register by similar names.
+    spark: SparkSession,
+    register_path: str,
+    pages_path: str,
+    name_column: str,
+    out: str,
+    encoding: str = REGISTER_ENCODING,
+) -> str:
+    """Add scraped identities to a register by similar names; tells the result's encoding.
 
     ``pages_path`` holds downloaded pages as Parquet with page_id and html. The result
-    is written as the register is read, so it can be completed again; every match is
-    written beside it, as Parquet under ``out`` with ``-matches`` behind. ``out`` must
-    not be the register itself.
+    has all matches of a name as comma lists and is written as the register is read, so it
+    can be completed again; only where a value does not fit the encoding it is UTF-8. Every
+    match is written beside it, as Parquet under ``out`` with ``-matches`` behind, and the
+    lists in parts with ``-lists`` behind. ``out`` must not be the register itself.
     """
-    register = scan_register_text(spark, register_path).withColumnRenamed(name_column, "name")
+    register = scan_register_text(spark, register_path, encoding)
+    register = register.withColumnRenamed(name_column, "name")
     links = enrich.vessel_links(enrich.page_links(spark.read.parquet(pages_path)))
     # Names and rows of the links are read apart; the pages are parsed once.
     stored = f"{shared_folder(spark)}/wakeline-links-{uuid.uuid4().hex}"
     links.write.parquet(stored)
     links = spark.read.schema(links.schema).parquet(stored)
-    matches_path = f"{out.rstrip('/')}-matches"
-    matches = enrich.fuzzy_register_match(register, links)
-    matches.write.mode("overwrite").parquet(matches_path)
-    matches = spark.read.schema(matches.schema).parquet(matches_path)
-    result = enrich.register_update(register, matches).withColumnRenamed("name", name_column)
-    write_result(result, out, sep=";", encoding=REGISTER_ENCODING)
+    base = out.rstrip("/")
+    matches = _kept(enrich.fuzzy_register_match(register, links), f"{base}-matches")
+    lists = _kept(enrich.match_lists(matches), f"{base}-lists")
+    result = enrich.with_match_lists(enrich.register_update(register, matches), lists)
+    if encoding.upper() == REGISTER_ENCODING:
+        texts = [c for c, kind in result.dtypes if kind == "string"]
+        outside = reduce(lambda a, b: a | b, (F.col(c).rlike(r"[^\x00-\xFF]") for c in texts))
+        if not result.where(outside).isEmpty():
+            encoding = "UTF-8"
+    result = result.withColumnRenamed("name", name_column)
+    write_result(result, out, sep=";", encoding=encoding)
+    return encoding
+
+
+def _kept(result: DataFrame, path: str) -> DataFrame:
+    result.write.mode("overwrite").parquet(path)
+    return result.sparkSession.read.schema(result.schema).parquet(path)
