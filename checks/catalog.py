@@ -16,7 +16,17 @@ from wakeline.functions.values import (
     parse_double,
     parse_int,
 )
-from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
+from wakeline.operators import (
+    cells,
+    dwell,
+    enrich,
+    figures,
+    flags,
+    fleet,
+    movement,
+    ports,
+    registry,
+)
 from wakeline.schemas import POSITIONS
 from wakeline.session import apply_settings, shared_folder
 from wakeline.sources import ais, register as registers, store
@@ -171,6 +181,17 @@ def _movement_report(i: Inputs) -> DataFrame:
     return _rounded_mean(_rounded(report, "draught_avg_meters", "distance_km"), "speed_avg")
 
 
+def _figures(i: Inputs) -> DataFrame:
+    """The three results of a fleet side by side, out of one pass."""
+    of_home = figures.fleet_with_home(i.register, HOME_PORT)
+    found = figures.fleet_figures(i.positions, of_home, PORT)
+    in_port = figures.time_in_port_of(found).select("mmsi", "time_in_port_s")
+    at_sea = figures.fishing_activity_of(found).select("mmsi", "time_fishing_activity_s")
+    moved = figures.movement_report_of(found, i.fleet_messages)
+    moved = moved.select("mmsi", "n_records", "speed_max", "distance_km")
+    return _rounded(in_port.join(at_sea, "mmsi", "full").join(moved, "mmsi", "full"), "distance_km")
+
+
 def _trajectory(i: Inputs) -> DataFrame:
     parts = cells.vessel_trajectory(i.track)
     return parts.withColumn("part", F.col("part").cast("int"))
@@ -266,6 +287,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         movement.distance_travelled(i.track), "distance_km"
     ),
     "movement_report": _movement_report,
+    "fleet_figures": _figures,
     # register statistics
     "register_by_port": _register_by_port,
     # cells and trajectories

@@ -311,6 +311,18 @@ def statements() -> dict[str, str]:
             "round(CASE WHEN coalesce(speed_max, 0) > 1 THEN coalesce(km, 0.0) ELSE 0.0 END, 6) "
             "AS distance_km FROM figures LEFT JOIN draughts USING (mmsi) LEFT JOIN km USING (mmsi)",
         ),
+        "fleet_figures": _sea(
+            f"port_time AS (WITH {_PORT_TIME}), "
+            f"sea_time AS (WITH {_AT_SEA_CTE}, {_gaps('sea')} SELECT mmsi, "
+            "CAST(sum(gap) AS BIGINT) AS time_fishing_activity_s FROM gaps "
+            "WHERE speed > 0.5 AND speed < 20 GROUP BY mmsi), "
+            f"moved AS (WITH {_STEPS_CTE}, km AS (SELECT mmsi, sum({_STEP_KM}) AS km FROM steps "
+            "GROUP BY mmsi) SELECT mmsi, count(*) AS n_records, max(speed) AS speed_max, "
+            "round(CASE WHEN coalesce(max(speed), 0) > 1 THEN coalesce(max(km), 0.0) ELSE 0.0 END, 6) "
+            "AS distance_km FROM track LEFT JOIN km USING (mmsi) GROUP BY mmsi) "
+            "SELECT mmsi, time_in_port_s, time_fishing_activity_s, n_records, speed_max, distance_km "
+            "FROM port_time FULL JOIN sea_time USING (mmsi) FULL JOIN moved USING (mmsi)"
+        ),
         # register statistics
         "register_by_port": with_views(
             reg,

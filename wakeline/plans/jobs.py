@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wakeline.functions.geo import Box
-from wakeline.operators import cells, dwell, enrich, flags, fleet, movement, ports, registry
+from wakeline.operators import cells, dwell, enrich, figures, flags, fleet, ports, registry
 from wakeline.schemas import MESSAGES, POSITIONS
 from wakeline.sources import ais, store
 from wakeline.sources.mid import scan_mid_table
@@ -109,18 +109,21 @@ def fleet_statistics(
 ) -> None:
     """Time in port, fishing activity and movement of a fleet."""
     register = scan_register(spark, register_path)
-    ids = fleet.fleet_ids(register)
-    positions = fleet.of_vessels(read_positions(spark, positions_path, window, fmt), ids)
-    messages = fleet.of_vessels(read_messages(spark, messages_path, window, fmt), ids)
-    at_sea = dwell.reports_at_sea(positions, fleet.home_port_ids(register, home_port), port)
-
+    positions = read_positions(spark, positions_path, window, fmt)
+    messages = read_messages(spark, messages_path, window, fmt)
+    messages = fleet.of_vessels(messages, fleet.fleet_ids(register))
+    # One row per vessel in port and one at sea: the positions are read once for all.
+    of_home = figures.fleet_with_home(register, home_port)
+    found = _kept(
+        figures.fleet_figures(positions, of_home, port),
+        f"{shared_folder(spark)}/wakeline-figures-{uuid.uuid4().hex}",
+    )
     hours = window.hours if window else 24
     results = {
-        "time_in_port": dwell.time_in_port(positions, port, hours),
-        "time_fishing_activity": dwell.time_fishing_activity(at_sea),
-        "movement_report": movement.movement_report(at_sea, messages),
+        "time_in_port": figures.time_in_port_of(found, hours),
+        "time_fishing_activity": figures.fishing_activity_of(found),
+        "movement_report": figures.movement_report_of(found, messages),
     }
-    # One row per vessel each.
     for name, result in results.items():
         write_result(result, f"{out}/{name}", files=FLEET_FILES)
 
