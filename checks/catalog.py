@@ -211,12 +211,15 @@ def _name_similarity(i: Inputs) -> DataFrame:
     )
 
 
-def _matches(i: Inputs) -> DataFrame:
-    # The links are used twice; pages are read for them once.
+def _links(i: Inputs) -> DataFrame:
+    """The links as a table: they are used several times, and pages are read for them once."""
     path = i.written("links")
     i.vessel_links.write.mode("overwrite").parquet(path)
-    links = i.spark.read.schema(i.vessel_links.schema).parquet(path)
-    return enrich.fuzzy_register_match(i.view("name_register"), links)
+    return i.spark.read.schema(i.vessel_links.schema).parquet(path)
+
+
+def _matches(i: Inputs) -> DataFrame:
+    return enrich.fuzzy_register_match(i.view("name_register"), _links(i))
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -302,7 +305,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ).select("page_id", "href"),
     "vessel_links": lambda i: i.vessel_links.select("page_id", "name", "imo", "mmsi"),
     "name_similarity": _name_similarity,
-    "name_matches": lambda i: enrich.name_matches(i.view("name_register"), i.vessel_links),
+    "name_matches": lambda i: enrich.name_matches(i.view("name_register"), _links(i)),
     "fuzzy_register_match": lambda i: _matches(i).drop("part", "pos"),
     "register_update": lambda i: enrich.register_update(i.view("name_register"), _matches(i)),
     "match_lists": lambda i: enrich.match_lists(_matches(i)),

@@ -1,12 +1,14 @@
 """Completion of a register by approximate names from links in web pages."""
 
 import json
+import uuid
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.text import is_match, lcs_length, letter_bits, max_edits
+from wakeline.session import shared_folder
 
 # Fixed value: stands for a name without a match.
 NO_MATCH = "---"
@@ -255,6 +257,14 @@ def _frequent_keys(a: DataFrame, names: DataFrame) -> DataFrame:
     return held.join(names, "len_a").where(frequent).select(*_KEY)
 
 
+def _stored(keys: DataFrame) -> DataFrame:
+    """The few keys as a table, as five parts of the plan use them."""
+    spark = keys.sparkSession
+    path = f"{shared_folder(spark)}/wakeline-segments-{uuid.uuid4().hex}"
+    keys.write.parquet(path)
+    return spark.read.schema(keys.schema).parquet(path)
+
+
 def _by_held(keys: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
     """Each name with all frequent segments it holds, in the order of their numbers."""
     return (
@@ -318,11 +328,13 @@ def name_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     names_a, names_b = _distinct_names(left, "a"), _distinct_names(right, "b")
     a, b = _segment_keys(names_a), _substring_keys(names_b)
-    frequent = _frequent_keys(a, names_a)
+    frequent = _stored(_frequent_keys(a, names_a))
     columns = ["a", "bits_a", "b", "bits_b", "len_a", "len_b", "number"]
     # Neither side has a size bound and the segments multiply both, which size
     # estimates miss: merge, never broadcast. The segment stands first in the key: it
     # tells rows apart best, which sorting is quicker with.
+    if frequent.isEmpty():
+        return a.hint("merge").join(b, _KEY).select(columns)
     rare = a.join(frequent, _KEY, "left_anti").hint("merge").join(b, _KEY)
     return rare.select(columns).unionAll(_met_by_frequent(names_a, names_b, frequent).select(columns))
 
@@ -330,7 +342,8 @@ def name_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
 def name_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of similar lower-case names from two frames with a column ``name``.
 
-    Each distinct name takes part once, however many rows carry it. Two matching
+    Each distinct name takes part once, however many rows carry it. The frames are read
+    for several steps; where making them is dear, pass written tables. Two matching
     names are at most ``k`` edits apart. Cut into k + 1 segments, the left name has
     one that no edit touched, with no more than ``number`` edits before it and
     ``k - number`` behind it: the right name holds it, shifted by no more than
