@@ -184,7 +184,20 @@ def _movement_report(i: Inputs) -> DataFrame:
 def _figures(i: Inputs) -> DataFrame:
     """The three results of a fleet side by side, out of one pass."""
     of_home = figures.fleet_with_home(i.register, HOME_PORT)
-    found = figures.fleet_figures(i.positions, of_home, PORT)
+    return _three(i, figures.fleet_figures(i.positions, of_home, PORT))
+
+
+def _figures_by_day(i: Inputs) -> DataFrame:
+    """The same out of summaries by day, which are written first."""
+    path = i.written("days")
+    summaries = figures.day_summaries(i.positions, PORT)
+    summaries.write.mode("overwrite").partitionBy("date").parquet(path)
+    days = i.spark.read.schema(summaries.schema).parquet(path)
+    of_home = figures.fleet_with_home(i.register, HOME_PORT)
+    return _three(i, figures.fleet_figures_of_days(days, of_home))
+
+
+def _three(i: Inputs, found: DataFrame) -> DataFrame:
     in_port = figures.time_in_port_of(found).select("mmsi", "time_in_port_s")
     at_sea = figures.fishing_activity_of(found).select("mmsi", "time_fishing_activity_s")
     moved = figures.movement_report_of(found, i.fleet_messages)
@@ -291,6 +304,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "movement_report": _movement_report,
     "fleet_figures": _figures,
+    "fleet_figures_by_day": _figures_by_day,
     # register statistics
     "register_by_port": _register_by_port,
     # cells and trajectories

@@ -147,7 +147,7 @@ def statements() -> dict[str, str]:
         "LEFT JOIN mids ON substr(CAST(mmsi AS VARCHAR), 1, 3) = mid)"
     )
     pos, reg, msg = ["positions"], ["register"], ["messages"]
-    return {
+    statements = {
         # sources and sinks
         "scan_positions_csv": with_views(pos, f"SELECT {_POSITION_COLUMNS} FROM positions"),
         "scan_messages_csv": with_views(
@@ -406,3 +406,6 @@ def statements() -> dict[str, str]:
             + " FROM numbered GROUP BY ALL",
         ),
     }
+    # The same figures, whichever way they are put together.
+    statements["fleet_figures_by_day"] = statements["fleet_figures"]
+    return statements

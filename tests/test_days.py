@@ -1,0 +1,174 @@
+"""Figures of a window out of summaries by day, and the store that keeps them."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_store import DAY, HEADER, line
+
+from wakeline.functions.geo import Box
+from wakeline.operators import figures, movement
+from wakeline.plans import jobs
+from wakeline.schemas import POSITIONS
+from wakeline.sources import ais, days, store
+
+PORT = Box(4.1, 51.2, 4.6, 51.6)
+FIRST = dt.date(2016, 1, 1)
+
+
+def fleet_of(spark, *homes):
+    return spark.createDataFrame(list(homes), "mmsi int, home boolean")
+
+
+def sorted_rows(df):
+    return sorted((r.asDict(True) for r in df.collect()), key=lambda r: (r["mmsi"], r["at_sea"]))
+
+
+def month(reports):
+    """Thirty days of slow and fast vessels, with gaps over midnight, ties, and no time at all."""
+    rng = random.Random(9)
+    rows = []
+    for mmsi in (2, 3, 4, 7):
+        # The vessel with one report a day or so has gaps over several midnights.
+        every = 40_000 if mmsi == 4 else 9_000
+        second = -43_200
+        while second < 29 * DAY:
+            second += rng.randrange(0, every)
+            place = (round(4.0 + rng.random() * 0.8, 3), round(51.1 + rng.random() * 0.6, 3))
+            speed = rng.choice([None, 0.1, 0.7, 3.9, 4.0, 11.3, 19.9, 25.0])
+            rows.append((mmsi, rng.choice([second, second, second, None]), *place, speed))
+            if rng.random() < 0.2:
+                rows.append((mmsi, second, *place, rng.choice([speed, 0.3])))
+            if rng.random() < 0.1:
+                rows.append((mmsi, second, None, place[1], 2.0))
+    return reports(rows)
+
+
+def test_a_month_from_days_equals_the_month_from_reports(spark, reports):
+    """To the last digit, whatever the way the days are put together."""
+    rows = month(reports)
+    fleet = fleet_of(spark, (2, True), (3, False), (4, True), (9, True))
+    expected = sorted_rows(figures.fleet_figures(rows, fleet, PORT))
+    assert {(r["mmsi"], r["at_sea"]) for r in expected} == {(2, False), (2, True), (3, False), (4, False), (4, True)}
+    assert all(r["km"] > 0 for r in expected)
+    summaries = figures.day_summaries(rows, PORT)
+    assert summaries.where("date IS NULL").count() > 0
+    assert summaries.select("date").distinct().count() > 28
+    assert sorted_rows(figures.fleet_figures_of_days(summaries, fleet)) == expected
+    # Days make weeks, and weeks the month.
+    weeks = figures.combined(
+        summaries.withColumn("week", F.date_trunc("week", "date")), ["mmsi", "at_sea", "week"], "date"
+    )
+    weeks = weeks.withColumnRenamed("week", "date")
+    assert sorted_rows(figures.fleet_figures_of_days(weeks, fleet)) == expected
+
+
+def test_a_window_of_days_equals_its_reports(spark, reports):
+    rows = month(reports).where("timestamp IS NOT NULL")
+    fleet = fleet_of(spark, (2, True), (4, True))
+    summaries = figures.day_summaries(rows, PORT)
+    for first, last in (("2024-01-03", "2024-01-03"), ("2024-01-05", "2024-01-19")):
+        window = rows.where(F.to_date("timestamp").between(first, last))
+        chosen = summaries.where(F.col("date").between(first, last))
+        got = sorted_rows(figures.fleet_figures_of_days(chosen, fleet))
+        assert got == sorted_rows(figures.fleet_figures(window, fleet, PORT)) != []
+    with pytest.raises(ValueError):
+        figures.day_summaries(rows, PORT, slice_seconds=7)
+
+
+def test_sums_do_not_depend_on_partitions(spark, reports):
+    rng = random.Random(4)
+    rows = [
+        (2, i * 7, 4.0 + rng.random() * 0.4, 51.0 + rng.random() * 0.4, rng.random() * 19)
+        for i in range(4000)
+    ]
+    frame = reports(rows)
+    results = []
+    for parts in (1, 4, 200):
+        track = movement.track_reports(frame.repartition(parts, F.rand(parts)))
+        km = movement.distance_travelled(track, 60).collect()
+        results.append((km, movement.speed_stats(track).collect()))
+    assert results[0] == results[1] == results[2]
+    mean = sum(r[4] for r in rows) / len(rows)
+    assert results[0][1][0].speed_avg == pytest.approx(mean, abs=1e-9)
+
+
+def test_speeds_that_are_no_numbers_do_not_end_the_job(reports):
+    odd = [float("-inf"), float("inf"), float("nan"), -1e300, 5.0, None]
+    rows = reports([(1, i, 4.0, 51.0, speed) for i, speed in enumerate(odd)])
+    stats = movement.speed_stats(movement.track_reports(rows)).collect()[0]
+    # Above the limit is zero, and so is what is no number; minus infinity has no sum.
+    assert stats.speed_avg == pytest.approx((0.0 + 0.0 + 5.0) / 3)
+
+
+@pytest.fixture
+def load(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def run(**files):
+        for name, lines in files.items():
+            (tmp_path / "in" / f"{name}.csv").write_text(HEADER + "".join(lines))
+        return store.ingest(spark, ais.scan_positions, f"{tmp_path}/in/*.csv", f"{tmp_path}/store")
+
+    return run
+
+
+def test_only_changed_days_are_summarised_again(spark, load, tmp_path):
+    reports, kept, box = f"{tmp_path}/store", f"{tmp_path}/kept", Box(4.0, 51.0, 5.0, 52.0)
+    fleet = fleet_of(spark, (1, True), (2, True))
+
+    def check(last):
+        window = ("2016-01-01 00:00:00", f"{last + dt.timedelta(days=1)} 00:00:00")
+        positions = store.read_stored(spark, reports, POSITIONS, *window)
+        found = days.read_days(spark, reports, kept, box, FIRST, last)
+        got = sorted_rows(figures.fleet_figures_of_days(found, fleet))
+        assert got == sorted_rows(figures.fleet_figures(positions, fleet, box)) != []
+
+    assert days.refresh(spark, reports, kept, box) == 0
+    load(a=[line(1, 3600 * h) for h in range(24)], b=[line(2, DAY + 3600 * h) for h in range(30)])
+    assert days.refresh(spark, reports, kept, box) == 3
+    assert days.refresh(spark, reports, kept, box) == 0
+    check(FIRST + dt.timedelta(days=2))
+    # A late report of the first day comes with the file of the fourth.
+    load(d=[line(1, DAY - 1), line(1, 3 * DAY), line(5, None)])
+    with pytest.raises(ValueError, match="2016-01-01"):
+        days.read_days(spark, reports, kept, box, FIRST, FIRST)
+    assert days.read_days(spark, reports, kept, box, FIRST + dt.timedelta(days=1), FIRST + dt.timedelta(days=2)).count() == 2
+    assert days.refresh(spark, reports, kept, box) == 2
+    check(FIRST)
+    check(FIRST + dt.timedelta(days=3))
+    assert days.read_days(spark, reports, kept, box, dt.date(2020, 1, 1), dt.date(2020, 1, 2)).count() == 0
+    # Another port has summaries of its own.
+    with pytest.raises(ValueError):
+        days.read_days(spark, reports, kept, PORT, FIRST, FIRST)
+
+
+def test_the_job_over_days_writes_what_the_job_over_reports_writes(spark, load, tmp_path):
+    load(a=[line(2, 1800 * n, lon=f"4.{n % 9}") for n in range(100)])
+    (tmp_path / "m.csv").write_text(
+        "mmsi,imo,name,callsign,destination,draught,dim_a,dim_b,dim_c,dim_c,ship_type,timestamp\n"
+        "2,2,N,C,D,10,1,2,3,4,30,2016-01-01 00:00:00\n"
+    )
+    (tmp_path / "r.csv").write_text("mmsi;port_code;ton_gt;power_main\n2;YE;1;2\n")
+    stored, kept, messages, register = (f"{tmp_path}/{n}" for n in ("store", "kept", "m", "r.csv"))
+    jobs.store_messages(spark, f"{tmp_path}/m.csv", messages)
+    box = Box(4.0, 51.0, 4.55, 52.0)
+    window = jobs.Window("2016-01-01 00:00:00", "2016-01-03 00:00:00")
+    days_of = (spark, stored, kept, messages, register)
+    with pytest.raises(ValueError, match="refresh"):
+        jobs.fleet_statistics_of_days(*days_of, f"{tmp_path}/x", box, "YE", window)
+    assert jobs.store_days(spark, stored, kept, box) == 3
+    with pytest.raises(ValueError, match="midnight"):
+        late = jobs.Window("2016-01-01 01:00:00", "2016-01-03 00:00:00")
+        jobs.fleet_statistics_of_days(*days_of, f"{tmp_path}/x", box, "YE", late)
+    jobs.fleet_statistics_of_days(*days_of, f"{tmp_path}/days", box, "YE", window)
+    jobs.fleet_statistics(
+        spark, stored, messages, register, f"{tmp_path}/reports", box, "YE", window, "parquet"
+    )
+    for name in ("time_in_port", "time_fishing_activity", "movement_report"):
+        got, expected = (
+            [tuple(r) for r in spark.read.csv(f"{tmp_path}/{by}/{name}", header=True).collect()]
+            for by in ("days", "reports")
+        )
+        assert got == expected and len(got) == 1

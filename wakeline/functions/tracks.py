@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 600
+DAY_SECONDS = 86400
 
 # Reports without a time sort first and have no neighbours; they are spread over
 # this many slices of their own, before any real one.
@@ -25,6 +26,12 @@ def slice_start(epoch: Column, spread: list[str], seconds: int = SLICE_SECONDS)
     return F.coalesce(epoch - F.pmod(epoch, F.lit(seconds)), timeless)
 
 
+def day_of_slice(slice_: Column) -> Column:
+    """The day (UTC) a slice starts on; slices of reports without a time have none."""
+    day = F.floor(slice_ / DAY_SECONDS).cast("int")
+    return F.when(slice_ > _TIMELESS_START, F.date_from_unix_date(day))
+
+
 def with_slice(
     rows: DataFrame, epoch: Column, spread: list[str], seconds: int = SLICE_SECONDS
 ) -> DataFrame:

@@ -26,6 +26,14 @@ def hours(seconds: Column) -> Column:
     return F.round(seconds * F.lit(HOURS_PER_SECOND), 2)
 
 
+def exact(value: Column) -> Column:
+    """A step or a speed as a decimal: its sums do not depend on the order of addition.
+
+    Digits behind the twelfth are rounded. What is no number below a million is missing.
+    """
+    return value.try_cast("decimal(18,12)")
+
+
 def parse_double(text: Column) -> Column:
     return text.try_cast("double")
 

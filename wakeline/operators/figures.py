@@ -1,22 +1,26 @@
 """Time in port, fishing activity and movement of a fleet from one pass over its reports.
 
 Each report lies in port, or at sea, or counts for neither. Both parts of a vessel are cut
-into time slices, and one aggregate over the slices holds what all three results need; a
-second one, over slices instead of reports, puts them together.
+into time slices, and one aggregate over the slices holds what all three results need: a
+piece of the track. Pieces that follow each other combine into one, so slices give days, days
+any window, and the days can be kept (``wakeline.sources.days``).
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import Box, step_km
-from wakeline.functions.tracks import SLICE_SECONDS, with_slice
-from wakeline.functions.values import clipped_speed, epoch_seconds, hours
+from wakeline.functions.tracks import DAY_SECONDS, SLICE_SECONDS, day_of_slice, with_slice
+from wakeline.functions.values import clipped_speed, epoch_seconds, exact, hours
 from wakeline.operators.dwell import MAX_SEA_SPEED, MIN_SEA_SPEED, MOORED_SPEED, TIE_BREAK
-from wakeline.operators.movement import ACTIVE_SPEED, draught_stats
+from wakeline.operators.movement import ACTIVE_SPEED, draught_stats, mean
 
 _PLACE = ["time", "lon", "lat"]
 _PART = ["mmsi", "at_sea"]
 
+# Sums of sums keep this type, so that adding two of them drops no digit.
+_SUM = "decimal(28,12)"
+
 
 def fleet_with_home(register: DataFrame, port_code: str) -> DataFrame:
     """Every identity of the fleet, and whether a ship of the home port has it."""
@@ -27,12 +31,12 @@ def fleet_with_home(register: DataFrame, port_code: str) -> DataFrame:
     )
 
 
-def _parts(positions: DataFrame, fleet: DataFrame, port: Box) -> DataFrame:
-    """Distinct reports in port, and at sea of vessels of the home port, with their copies."""
-    at_sea = F.when(port.contains(), False).when(port.excludes() & F.col("home"), True)
+def _parts(positions: DataFrame, port: Box, at_sea: Column) -> DataFrame:
+    """Distinct reports in port, and at sea where they count there, with their copies."""
     return (
-        positions.join(fleet, "mmsi")
-        .withColumn("at_sea", at_sea)
+        positions.withColumn(
+            "at_sea", F.when(port.contains(), False).when(port.excludes() & at_sea, True)
+        )
         .where("at_sea IS NOT NULL")
         .groupBy(*_PART, *TIE_BREAK)
         .agg(F.count("*").alias("copies"))
@@ -77,31 +81,33 @@ def _sums(rows: DataFrame) -> DataFrame:
             F.count_if("is_first").alias("n"),
             F.max(own_speed).alias("speed_max"),
             F.min(own_speed).alias("speed_min"),
-            F.sum(own_speed).alias("speed_sum"),
-            F.count(own_speed).alias("speed_n"),
+            F.sum(exact(own_speed)).cast(_SUM).alias("speed_sum"),
+            F.count(exact(own_speed)).alias("speed_n"),
             F.max("lat").alias("lat_max"),
             F.min("lat").alias("lat_min"),
             F.max("lon").alias("lon_max"),
             F.min("lon").alias("lon_min"),
-            F.sum("km").alias("km"),
+            F.sum(exact(F.col("km"))).cast(_SUM).alias("km"),
             F.min(point).alias("first"),
             F.max(point).alias("last"),
         )
     )
 
 
-def fleet_figures(
-    positions: DataFrame, fleet: DataFrame, port: Box, slice_seconds: int = SLICE_SECONDS
-) -> DataFrame:
-    """One row per vessel and part: the counted seconds and every movement figure.
+def _slices(parts: DataFrame, slice_seconds: int) -> DataFrame:
+    """The pieces of all slices. Rows move once, by slice."""
+    # Copies that differ in speed must share a slice, also without a time.
+    sliced = with_slice(parts, F.unix_seconds("timestamp"), ["lon", "lat"], slice_seconds)
+    return _sums(sliced.repartition(*_PART, "slice"))
 
-    The positions are read and joined with the fleet once, and move once by slice.
+
+def combined(pieces: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Pieces that follow each other as one piece for each key, with the gaps between them.
+
+    Pieces without a time come first in the order. The result has the columns of the
+    pieces, and combining it further gives what combining all pieces at once gives.
     """
-    rows = _parts(positions, fleet, port)
-    # Copies that differ in speed must share a slice, also without a time.
-    sliced = with_slice(rows, F.unix_seconds("timestamp"), ["lon", "lat"], slice_seconds)
-    slices = _sums(sliced.repartition(*_PART, "slice"))
-    across = Window.partitionBy(*_PART).orderBy("slice")
+    across = Window.partitionBy(*by).orderBy(order)
     to_next = F.lead("first_s").over(across) - F.col("last_s")
     before = F.last("last", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
     bridge = step_km(F.col("before.lat"), F.col("before.lon"), F.col("first.lat"), F.col("first.lon"))
@@ -109,22 +115,67 @@ def fleet_figures(
     extremes = {c: (F.max if c.endswith("max") else F.min) for c in
                 ("speed_max", "speed_min", "lat_max", "lat_min", "lon_max", "lon_min")}
     return (
-        slices.withColumns({"between": F.when(F.col("last_counted"), to_next), "before": before})
+        pieces.withColumns({"between": F.when(F.col("last_counted"), to_next), "before": before})
         .withColumn("bridge_km", bridge)
-        .groupBy(*_PART)
+        .groupBy(*by)
         .agg(
-            F.coalesce(inside + between, inside, between).alias("counted_s"),
+            F.coalesce(inside + between, inside, between).alias("inside"),
             F.max("any_counted").alias("any_counted"),
-            F.sum("n").alias("n_records"),
+            F.max_by("last_counted", order).alias("last_counted"),
+            F.min("first_s").alias("first_s"),
+            F.max("last_s").alias("last_s"),
+            F.sum("n").alias("n"),
             *(of(c).alias(c) for c, of in extremes.items()),
-            F.try_divide(F.sum("speed_sum"), F.sum("speed_n")).alias("speed_avg"),
+            F.sum("speed_sum").cast(_SUM).alias("speed_sum"),
+            F.sum("speed_n").alias("speed_n"),
+            (F.sum("km").cast(_SUM) + F.sum(exact(F.col("bridge_km")))).cast(_SUM).alias("km"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
-            (F.sum("km") + F.sum("bridge_km")).alias("km"),
         )
     )
 
 
+def _figures(whole: DataFrame) -> DataFrame:
+    return whole.select(
+        *_PART, F.col("inside").alias("counted_s"), "any_counted", F.col("n").alias("n_records"),
+        "speed_max", "speed_min", "lat_max", "lat_min", "lon_max", "lon_min",
+        mean(F.col("speed_sum"), F.col("speed_n")).alias("speed_avg"),
+        "first", "last", F.col("km").cast("double").alias("km"),
+    )
+
+
+def fleet_figures(
+    positions: DataFrame, fleet: DataFrame, port: Box, slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """One row per vessel and part: the counted seconds and every movement figure.
+
+    The positions are read and joined with the fleet once, and move once by slice.
+    """
+    parts = _parts(positions.join(fleet, "mmsi"), port, F.col("home"))
+    return _figures(combined(_slices(parts, slice_seconds), _PART, "slice"))
+
+
+def day_summaries(
+    positions: DataFrame, port: Box, slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """One piece per vessel, part and day (UTC), of every vessel.
+
+    They serve any fleet, home port and window of whole days. Reports without a time are
+    pieces without a date.
+    """
+    if DAY_SECONDS % slice_seconds:
+        raise ValueError("a day must be a whole number of slices")
+    slices = _slices(_parts(positions.where("mmsi IS NOT NULL"), port, F.lit(True)), slice_seconds)
+    dated = slices.withColumn("date", day_of_slice(F.col("slice")))
+    return combined(dated, [*_PART, "date"], "slice")
+
+
+def fleet_figures_of_days(days: DataFrame, fleet: DataFrame) -> DataFrame:
+    """What ``fleet_figures`` gives of the reports of these days, out of their summaries."""
+    mine = days.join(fleet, "mmsi").where(~F.col("at_sea") | F.col("home"))
+    return _figures(combined(mine, _PART, "date"))
+
+
 def _counted(figures: DataFrame, part: Column, alias: str) -> DataFrame:
     seconds = F.col("counted_s")
     return figures.where(part & F.col("any_counted")).select(

@@ -12,7 +12,7 @@ from wakeline.functions.tracks import (
     with_previous,
     with_slice,
 )
-from wakeline.functions.values import clipped_speed, draught_or_zero, epoch_seconds
+from wakeline.functions.values import clipped_speed, draught_or_zero, epoch_seconds, exact
 
 # A vessel whose clipped speed never exceeds this has not travelled.
 ACTIVE_SPEED = 1.0
@@ -64,11 +64,16 @@ def track_reports(reports: DataFrame) -> DataFrame:
     )
 
 
+def mean(total: Column, count: Column) -> Column:
+    """A mean out of a decimal sum; without values it is missing."""
+    return F.try_divide(total.cast("double"), count)
+
+
 def speed_stats(track: DataFrame) -> DataFrame:
     return track.groupBy("mmsi").agg(
         F.max("speed").alias("speed_max"),
         F.min("speed").alias("speed_min"),
-        F.avg("speed").alias("speed_avg"),
+        mean(F.sum(exact(F.col("speed"))), F.count(exact(F.col("speed")))).alias("speed_avg"),
     )
 
 
@@ -156,13 +161,13 @@ def _movement(track: DataFrame, slice_seconds: int) -> DataFrame:
             F.count("*").alias("n"),
             F.max("speed").alias("speed_max"),
             F.min("speed").alias("speed_min"),
-            F.sum("speed").alias("speed_sum"),
-            F.count("speed").alias("speed_n"),
+            F.sum(exact(F.col("speed"))).alias("speed_sum"),
+            F.count(exact(F.col("speed"))).alias("speed_n"),
             F.max("lat").alias("lat_max"),
             F.min("lat").alias("lat_min"),
             F.max("lon").alias("lon_max"),
             F.min("lon").alias("lon_min"),
-            F.sum("km").alias("km"),
+            F.sum(exact(F.col("km"))).alias("km"),
             F.min(point).alias("first"),
             F.max(point).alias("last"),
         )
@@ -180,14 +185,17 @@ def _movement(track: DataFrame, slice_seconds: int) -> DataFrame:
         F.sum("n").alias("n_records"),
         F.max("speed_max").alias("speed_max"),
         F.min("speed_min").alias("speed_min"),
-        (F.try_divide(F.sum("speed_sum"), F.sum("speed_n"))).alias("speed_avg"),
+        mean(F.sum("speed_sum"), F.sum("speed_n")).alias("speed_avg"),
         F.max("lat_max").alias("lat_max"),
         F.min("lat_min").alias("lat_min"),
         F.max("lon_max").alias("lon_max"),
         F.min("lon_min").alias("lon_min"),
         F.min("first").alias("first"),
         F.max("last").alias("last"),
-        (F.sum("km") + F.sum("bridge_km")).alias("km"),
+        # In a narrower type, as the sum of two wide ones would drop a digit.
+        (F.sum("km").cast("decimal(28,12)") + F.sum(exact(F.col("bridge_km"))))
+        .cast("double")
+        .alias("km"),
     )
 
 

@@ -31,6 +31,8 @@ JOBS = {
     "store_messages": (str, str),
     "reference_frame": (str, str, str, str, _window, str),
     "fleet_statistics": (str, str, str, str, _box, str, _window, str),
+    "store_days": (str, str, _box),
+    "fleet_statistics_of_days": (str, str, str, str, str, _box, str, _window),
     "register_statistics": (str, str),
     "trip": (str, int, _box, str, _window, str),
     "maps": (str, str, int, _window, str),

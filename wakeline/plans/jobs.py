@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from wakeline.functions.geo import Box
 from wakeline.operators import cells, dwell, enrich, figures, flags, fleet, ports, registry
 from wakeline.schemas import MESSAGES, POSITIONS
-from wakeline.sources import ais, store
+from wakeline.sources import ais, days, store
 from wakeline.sources.mid import scan_mid_table
 from wakeline.session import shared_folder
 from wakeline.sources.register import REGISTER_ENCODING, scan_register, scan_register_text
@@ -118,7 +118,46 @@ def fleet_statistics(
         figures.fleet_figures(positions, of_home, port),
         f"{shared_folder(spark)}/wakeline-figures-{uuid.uuid4().hex}",
     )
-    hours = window.hours if window else 24
+    _write_fleet(found, messages, window.hours if window else 24, out)
+
+
+def store_days(spark: SparkSession, positions_path: str, out: str, port: Box) -> int:
+    """Summarise the days of stored positions that are new or have changed."""
+    return days.refresh(spark, positions_path, out, port)
+
+
+def fleet_statistics_of_days(
+    spark: SparkSession,
+    positions_path: str,
+    days_path: str,
+    messages_path: str,
+    register_path: str,
+    out: str,
+    port: Box,
+    home_port: str,
+    window: Window,
+) -> None:
+    """``fleet_statistics`` of whole days out of their summaries; positions are not read.
+
+    The window begins and ends at midnight. Both paths of reports are stores.
+    """
+    first, end = (dt.datetime.fromisoformat(t) for t in (window.start, window.end))
+    if any(t.time() != dt.time() for t in (first, end)):
+        raise ValueError("days are whole: a window begins and ends at midnight")
+    last = end.date() - dt.timedelta(days=1)
+    summaries = days.read_days(spark, positions_path, days_path, port, first.date(), last)
+    register = scan_register(spark, register_path)
+    messages = read_messages(spark, messages_path, window, "parquet")
+    messages = fleet.of_vessels(messages, fleet.fleet_ids(register))
+    of_home = figures.fleet_with_home(register, home_port)
+    found = _kept(
+        figures.fleet_figures_of_days(summaries, of_home),
+        f"{shared_folder(spark)}/wakeline-figures-{uuid.uuid4().hex}",
+    )
+    _write_fleet(found, messages, window.hours, out)
+
+
+def _write_fleet(found: DataFrame, messages: DataFrame, hours: float, out: str) -> None:
     results = {
         "time_in_port": figures.time_in_port_of(found, hours),
         "time_fishing_activity": figures.fishing_activity_of(found),

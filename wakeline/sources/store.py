@@ -7,6 +7,7 @@ beside the rows of its day's own file. A file that changed is a new batch, and t
 one of a file counts.
 """
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -120,6 +121,17 @@ def _days(held: DataFrame) -> DataFrame:
     return current.select("date", "batch", F.row_number().over(largest).alias("place"))
 
 
+def files_by_day(spark: SparkSession, store: str) -> DataFrame:
+    """Each date that has reports, and the batches they come from as one text."""
+    batches = F.array_join(F.array_sort(F.collect_list("batch")), ",")
+    return (
+        _days(manifest(spark, store))
+        .where("date IS NOT NULL")
+        .groupBy("date")
+        .agg(batches.alias("files"))
+    )
+
+
 def _of(stored: DataFrame, days: DataFrame) -> DataFrame:
     named = days.select(F.col("date").alias("_date"), F.col("batch").alias("_batch"))
     same = (F.col("batch") == F.col("_batch")) & F.col("date").eqNullSafe(F.col("_date"))
@@ -132,8 +144,9 @@ def read_stored(
     schema: T.StructType,
     start: str | None = None,
     end: str | None = None,
+    dates: list[dt.date] | None = None,
 ) -> DataFrame:
-    """Stored reports of the schema, all or those of a window.
+    """Stored reports of the schema, all or those of a window or of some dates.
 
     A report that several files hold is there as often as in the file that holds it most
     often: copies within a file stay, those across files fold. Of each day the largest
@@ -146,6 +159,8 @@ def read_stored(
         stored = observed_between(stored, start, end)
         first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
         days = days.where(F.col("date").between(first, last))
+    if dates is not None:
+        days, stored = (rows.where(F.col("date").isin(dates)) for rows in (days, stored))
     columns = schema.names
     main = _of(stored, days.where("place = 1")).select(columns)
     others = days.where("place > 1")
