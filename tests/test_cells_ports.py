@@ -99,3 +99,22 @@ def test_box_parts_meet_nowhere(reports):
     rows = [(1, i, rng.choice([None, 3.9, 4.0, 4.05, 4.1, 4.2]), rng.choice([None, 50.9, 51.0, 51.1, 51.2]), 1.0) for i in range(100)]
     frame = reports(rows)
     assert frame.where(box.contains() & box.excludes()).count() == 0
+
+
+def test_wide_boxes_cost_few_cells(spark, reports):
+    boxes = [("wide", -20.0, 10.0, 20.0, 50.0), ("world", -180.0, -90.0, 180.0, 90.0), ("point", 4.0, 51.0, 4.0, 51.0)]
+    boxes += [("long", -179.9, 1.0, 179.9, 1.01), ("pacific", 100.0, -60.0, -70.0, 60.0), ("small", 3.95, 50.95, 4.05, 51.05)]
+    boxes = spark.createDataFrame(
+        boxes, "port_code string, west double, south double, east double, north double"
+    )
+    counts = dict(rows_of(ports.port_cells(boxes).groupBy("port_code").count()))
+    assert counts["wide"] < 100 and counts["world"] < 100 and counts["pacific"] < 200
+    assert counts["small"] <= 9 and counts["point"] == 1
+    places = [(4.0, 51.0), (-20.0, 50.0), (20.0, 10.0), (179.95, 0.0), (-100.0, 1.005), (-70.0, 60.0), (None, 1.0)]
+    rows = [(n, 0, lon, lat, 1.0) for n, (lon, lat) in enumerate(places)]
+    got = rows_of(ports.positions_by_port(reports(rows), boxes).select("port_code", "mmsi"))
+    expected = [("long", 4), *(("pacific", n) for n in (3, 4, 5)), ("point", 0), ("small", 0)]
+    expected += [*(("wide", n) for n in (1, 2)), *(("world", n) for n in range(6))]
+    assert got == sorted(expected)
+    none = ports.positions_by_port(reports(rows), boxes.limit(0))
+    assert none.count() == 0

@@ -1,6 +1,6 @@
 """Positions against many port boxes at once."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELL_DEGREES = 0.1
@@ -9,12 +9,21 @@ CELL_DEGREES = 0.1
 MAX_BROADCAST_CELLS = 200_000
 
 
-def _cell(coordinate: str, cell_degrees: float):
-    return F.floor(F.col(coordinate) / cell_degrees)
+# A box is covered by cells of one size, the smallest that gives it at most so many, and one
+# more, along its longer side. Sizes double from level to level.
+CELLS_ALONG = 8
+
+
+def _size(cell_degrees: float) -> Column:
+    return F.lit(cell_degrees) * F.pow(F.lit(2.0), F.col("level"))
+
+
+def _cell(coordinate: str, cell_degrees: float) -> Column:
+    return F.floor(F.col(coordinate) / _size(cell_degrees))
 
 
 def port_cells(ports: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """Each port once for every grid cell its box touches.
+    """Each port once for every cell its box touches, under 100 for a box of any size.
 
     A box whose west lies east of its east reaches over 180 degrees: it has two parts.
     """
@@ -22,6 +31,8 @@ def port_cells(ports: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFram
     part = lambda low, high: F.struct(low.alias("west"), high.alias("east"))
     over = F.array(part(west, F.lit(180.0)), part(F.lit(-180.0), east))
     parts = F.when(west <= east, F.array(part(west, east))).otherwise(over)
+    extent = F.greatest(east - west, F.col("north") - F.col("south"))
+    doublings = F.ceil(F.log2(extent / (cell_degrees * CELLS_ALONG)))
     columns = F.sequence(_cell("west", cell_degrees), _cell("east", cell_degrees))
     rows = F.sequence(_cell("south", cell_degrees), _cell("north", cell_degrees))
     return (
@@ -30,6 +41,8 @@ def port_cells(ports: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFram
         .withColumns({"west": F.col("part.west"), "east": F.col("part.east")})
         .where("west <= east")
         .drop("part")
+        # A point has no logarithm.
+        .withColumn("level", F.greatest(F.coalesce(doublings, F.lit(0)), F.lit(0)).cast("int"))
         .withColumn("cell_x", F.explode(columns))
         .withColumn("cell_y", F.explode(rows))
     )
@@ -40,21 +53,26 @@ def positions_by_port(
 ) -> DataFrame:
     """Each position once per port whose closed box contains it.
 
-    Candidates meet by an equi-join on the grid cell, and the box test decides. The
-    cells of wide boxes are many and no estimate sees them, so they are counted, up
-    to the limit, before they are broadcast. Beyond it the join merges, and adaptive
-    execution splits the cells with very many positions.
+    Candidates meet by an equi-join on the cell, at each size of cells that some box
+    has, and the box test decides. The cells are counted, up to the limit, before they
+    are broadcast. Beyond it the join merges, and adaptive execution splits the cells
+    with very many positions.
     """
     cells = port_cells(ports, cell_degrees)
     few = cells.limit(MAX_BROADCAST_CELLS + 1).count() <= MAX_BROADCAST_CELLS
-    located = positions.withColumn("cell_x", _cell("lon", cell_degrees)).withColumn(
-        "cell_y", _cell("lat", cell_degrees)
+    # Sizes double, so there are some ten levels.
+    levels = sorted(row["level"] for row in cells.select("level").distinct().collect())
+    located = (
+        positions.withColumn("level", F.explode(F.array(*map(F.lit, levels or [0]))))
+        .withColumn("cell_x", _cell("lon", cell_degrees))
+        .withColumn("cell_y", _cell("lat", cell_degrees))
     )
     inside = F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(
         F.col("south"), F.col("north")
     )
+    keys = ["level", "cell_x", "cell_y"]
     return (
-        located.join(F.broadcast(cells) if few else cells.hint("merge"), ["cell_x", "cell_y"])
+        located.join(F.broadcast(cells) if few else cells.hint("merge"), keys)
         .where(inside)
         .select("port_code", *positions.columns)
     )
