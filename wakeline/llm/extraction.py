@@ -47,23 +47,33 @@ _OUTSIDE = frozenset(
     " video canvas svg math label fieldset header template noscript".split()
 )
 _RAW = "script|style|textarea|noscript|template|svg|iframe|title"
+# A telling name alone, or with a word behind that says what part of the page it is: a
+# share-price, related-work or ads-theory is none.
 _NAMED = re.compile(
     r"(?:(?P<never>comments?|cookies?|consent|disqus|gdpr|replies)|ads?|advert\w*|adbox|banner|breadcrumbs?"
     r"|footer|(?P<header>header)|masthead|menu|nav(?:bar|igation)?|newsletter|notice"
     r"|notification|pagination|paywall|popup|promo(?:tion)?|related|share|sharing"
-    r"|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?=$|[_-])",
+    r"|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)"
+    r"(?:[_-]++(?:\d+|alert|area|articles?|banner|bar|block|body|bottom|box|buttons?|column"
+    r"|consent|container|content|dialog|footer|form|frame|header|icons?|info|inner|items?|left"
+    r"|links?|list|main|media|menu|message|modal|nav|note|notice|outer|overlay|panel|policy"
+    r"|popup|posts?|primary|prompt|right|row|secondary|section|slot|stories|strip|thread|top"
+    r"|unit|widget|wrap|wrapper))*+",
     re.I,
 )
 _ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu navigation search".split()
 )
 
+# A quote opens a value behind an equals sign only. A tag, value, comment or raw element that
+# never ends lasts to the end of the page, so each character is looked at a few times at most.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?+)*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|</(?P<end>[a-z][^\s/>]*)[^>]*>"
-    r"|<(?P<start>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>"
-    r"|<[!?][^>]*>"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>]){_INSIDE}(?:>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|\Z)"
+    r"|</(?P<end>[a-z][^\s/>]*+)[^>]*+(?:>|\Z)"
+    rf"|<(?P<start>[a-z][^\s/>]*+)(?P<rest>{_INSIDE})(?:>|\Z)"
+    r"|<[!?][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
@@ -82,6 +92,11 @@ _KINDS = dict.fromkeys("nav footer aside menu dialog header".split(), FIRM) | di
 )
 _WORD = re.compile(r"[^\W\d_]+")
 
+# Prose of any language has a mark in so many characters.
+MARK_EVERY = 150
+_MARK = re.compile(r"[.!?…,;:](?=\s|$)|[。！？，、；।؟،]")
+_LEGAL = re.compile(r"©|\(c\)\s|copyright\b|all rights reserved", re.I)
+
 
 @dataclass
 class Block:
@@ -89,6 +104,8 @@ class Block:
     link_chars: int
     in_article: bool
     in_list: int = 0
+    heading: bool = False
+    code: bool = False
     dropped: int = -1
     good: bool | None = None
 
@@ -105,6 +122,24 @@ class Dropped:
     articles: int = 0
 
 
+@dataclass
+class Open:
+    """An open element and what holds for text in it."""
+
+    name: str
+    outside: bool = False
+    in_article: bool = False
+    # The outermost list in the article, and the innermost dropped element.
+    in_list: int = 0
+    inner: int = -1
+    heading: bool = False
+    code: bool = False
+    in_link: bool = False
+    # Places in the stack: of the innermost block, and of the paragraph a block would end.
+    block: int = 0
+    paragraph: int = 0
+
+
 def _outside(name: str, rest: str, in_article: bool, in_heading: bool) -> int:
     """Whether an element holds no main text, by its name, role, class or id; its kind."""
     if name in ("article", "main", "body", "html"):
@@ -121,7 +156,7 @@ def _outside(name: str, rest: str, in_article: bool, in_heading: bool) -> int:
         if key == "role" and value.lower() in _ROLES:
             kinds.append(LOOSE if value.lower() == "form" else FIRM)
         for token in value.split() if key in ("class", "id") else ():
-            found = _NAMED.match(token)
+            found = _NAMED.fullmatch(token)
             if found and not (in_heading and found["header"]):
                 kinds.append(HELD if found["never"] else LOOSE)
     return min(kinds, default=0)
@@ -139,103 +174,112 @@ def page_blocks(
     blocks: list[Block] = []
     dropped: list[Dropped] = []
     articles = number = 0
-    # name, outside, in article, outermost list in the article, innermost dropped element
-    open_elements: list[tuple[str, bool, bool, int, int]] = []
+    stack = [Open("")]
+    # Places in the stack by name, so that no tag looks through it.
+    places: dict[str, list[int]] = {}
     parts: list[str] = []
-    state = {"links": 0}
-    outside = in_article = False
-    in_list, inner = 0, -1
-
-    nothing = ("", False, False, 0, -1)
+    links = 0
 
     def close_block() -> None:
+        nonlocal links
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append(Block(text, state["links"], in_article, in_list, inner))
+            of = stack[-1]
+            blocks.append(
+                Block(text, links, of.in_article, of.in_list, of.heading, of.code, of.inner)
+            )
         parts.clear()
-        state["links"] = 0
+        links = 0
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            places[stack.pop().name].pop()
 
     for token in _TOKEN.finditer(page):
-        kind = token.lastgroup
+        kind, was = token.lastgroup, stack[-1]
         if kind == "text":
-            if not outside:
+            if was.outside:
+                dropped[was.inner].chars += len(token["text"])
+            else:
                 text = html.unescape(token["text"])
                 parts.append(text)
-                if any(e[0] == "a" for e in open_elements):
-                    state["links"] += len("".join(text.split()))
-            else:
-                dropped[inner].chars += len(token["text"])
+                if was.in_link:
+                    links += len("".join(text.split()))
             continue
         if kind == "end":
             name = token["end"].lower()
-            if name not in _INLINE and not outside:
+            inline = name in _INLINE
+            if not inline and not was.outside:
                 close_block()
             # An inline element ends inside its own block only.
-            for place in range(len(open_elements) - 1, -1, -1):
-                if open_elements[place][0] == name:
-                    del open_elements[place:]
-                    break
-                if name in _INLINE and open_elements[place][0] not in _INLINE:
-                    break
+            if places.get(name) and not (inline and places[name][-1] < was.block):
+                if every and not was.outside and stack[places[name][-1] - 1].inner != was.inner:
+                    close_block()
+                cut(places[name][-1])
         elif token["start"]:
-            name = token["start"].lower()
+            name, rest = token["start"].lower(), token["rest"]
             if name == "br":
-                parts.append(" ")
+                if not was.outside:
+                    parts.append(" ")
                 continue
             if name in _VOID:
-                if name == "hr":
+                if name == "hr" and not was.outside:
                     close_block()
                 continue
-            if name not in _INLINE:
-                if not outside:
+            inline = name in _INLINE
+            if not inline:
+                if not was.outside:
                     close_block()
                 # A block ends an open paragraph and what stands open in it, and the
                 # body ends the head.
-                names = [e[0] for e in open_elements]
-                ends = "head" if name in ("body", "article", "main") else "p"
-                if ends in names and (ends == "head" or _direct(names)):
-                    del open_elements[len(names) - 1 - names[::-1].index(ends) :]
-            was = open_elements[-1] if open_elements else nothing
-            rest = token["rest"]
-            if rest.endswith("/") and name in _INLINE:
+                if name in ("body", "article", "main"):
+                    if places.get("head"):
+                        cut(places["head"][-1])
+                elif was.paragraph:
+                    cut(was.paragraph)
+                was = stack[-1]
+            if rest.endswith("/") and inline:
                 continue
             number += 1
-            is_outside, is_inner = was[1], was[4]
+            opened = Open(name, was.outside, was.in_article, was.in_list, was.inner)
             if name in ("article", "main"):
-                if is_inner >= 0:
-                    dropped[is_inner].mains += name == "main"
-                    dropped[is_inner].articles += name == "article"
+                if was.inner >= 0:
+                    dropped[was.inner].mains += name == "main"
+                    dropped[was.inner].articles += name == "article"
                 else:
                     articles += 1
-            if not is_outside and number not in wrappers:
-                in_heading = name in _HEADINGS or any(e[0] in _HEADINGS for e in open_elements)
-                kind = _outside(name, rest, was[2], in_heading)
-                is_outside = kind == NOT or (kind > 0 and not every)
+                opened.in_article = True
+            opened.heading = was.heading or name in _HEADINGS
+            opened.code = was.code or name == "pre"
+            if not was.outside and number not in wrappers:
+                kind = _outside(name, rest, was.in_article, opened.heading)
+                opened.outside = kind == NOT or (kind > 0 and not every)
                 if kind:
-                    dropped.append(Dropped(number, kind, is_inner))
-                    is_inner = len(dropped) - 1
-            is_article = was[2] or name in ("article", "main")
-            is_list = was[3] or (number if is_article and name in _LISTS else 0)
-            open_elements.append((name, is_outside, is_article, is_list, is_inner))
-        top = open_elements[-1] if open_elements else nothing
-        if every and top[4] != inner and not outside:
-            close_block()
-        outside, in_article, in_list, inner = top[1:]
-    if not outside:
+                    if inline and every:
+                        close_block()
+                    dropped.append(Dropped(number, kind, was.inner))
+                    opened.inner = len(dropped) - 1
+            if not was.in_list and opened.in_article and name in _LISTS:
+                opened.in_list = number
+            opened.in_link = was.in_link or name == "a"
+            opened.block = was.block if inline else len(stack)
+            # An inline element inside a paragraph, or the paragraph itself.
+            opened.paragraph = len(stack) if name == "p" else was.paragraph if inline else 0
+            places.setdefault(name, []).append(len(stack))
+            stack.append(opened)
+    if not stack[-1].outside:
         close_block()
     return blocks, dropped, articles
 
 
-def _direct(names: list[str]) -> bool:
-    """Whether only inline elements stand open inside the innermost open paragraph."""
-    return all(name in _INLINE for name in names[len(names) - names[::-1].index("p") :])
-
-
 def judge(blocks: list[Block]) -> None:
     """Decide the clear blocks, then let the others take the label of the nearest.
 
     A block full of links is bad, in an article only in a list full of links. One with many stop words is good when it is not
-    short. A long one with few is bad, in an article undecided. An undecided block
+    short. A long one with few is bad, in an article undecided. Where no block of the page
+    has many, its language has other stop words, and marks between clauses stand for them.
+    Preformatted blocks are undecided, short lines on copyright outside an article are bad.
+    An undecided heading takes the label of what follows it. Any other undecided block
     takes the label of the nearest decided block before or behind it in the same
     part of the page, an article or the rest; between two equally near, or with
     none, blocks of an article are good and others bad. A block of links inside an
@@ -245,9 +289,12 @@ def judge(blocks: list[Block]) -> None:
     for block in blocks:
         links, chars = lists.setdefault(block.in_list, [0, 0])
         lists[block.in_list] = [links + block.link_chars, chars + _chars(block)]
-    for block in blocks:
-        words = [w.lower() for w in _WORD.findall(block.text)]
-        density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    densities = [_density(block.text) for block in blocks]
+    known = any(
+        len(block.text) >= SHORT and density >= HIGH_STOP_WORDS
+        for block, density in zip(blocks, densities, strict=True)
+    )
+    for block, density in zip(blocks, densities, strict=True):
         size = len(block.text)
         links, chars = lists[block.in_list]
         of_links = links > LINK_SHARE * chars if block.in_list else not block.in_article
@@ -255,7 +302,13 @@ def judge(blocks: list[Block]) -> None:
             block.good = False
         elif size >= SHORT and density >= HIGH_STOP_WORDS:
             block.good = True
-        elif size >= LONG and not block.in_article:
+        elif block.in_article or block.code:
+            continue
+        elif size < LONG and _LEGAL.match(block.text):
+            block.good = False
+        elif not known and size >= SHORT and _is_prose(block.text):
+            block.good = True
+        elif size >= LONG:
             block.good = density >= LOW_STOP_WORDS
     labels = [None if b.in_article and b.good is False else b.good for b in blocks]
     before = _nearest(blocks, labels, range(len(blocks)))
@@ -263,7 +316,9 @@ def judge(blocks: list[Block]) -> None:
     for place, block in enumerate(blocks):
         if block.good is None:
             left, right = before[place], behind[place]
-            if left[0] == right[0]:
+            if block.heading and right[1] is not None:
+                block.good = right[1]
+            elif left[0] == right[0]:
                 block.good = left[1] if left[1] == right[1] else block.in_article
             else:
                 block.good = min(left, right)[1]
@@ -271,6 +326,16 @@ def judge(blocks: list[Block]) -> None:
                 block.good = block.in_article
 
 
+def _density(text: str) -> float:
+    words = [w.lower() for w in _WORD.findall(text)]
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def _is_prose(text: str) -> bool:
+    marks = len(_MARK.findall(text))
+    return marks > 1 and marks * MARK_EVERY >= len(text)
+
+
 def _chars(block: Block) -> int:
     return len("".join(block.text.split()))
 
