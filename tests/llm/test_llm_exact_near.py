@@ -6,10 +6,13 @@ from collections import Counter, defaultdict
 
 import pytest
 from llm_rows import given_docs, llm_spark, make_docs, rows_of, tricky_rows  # noqa: F401
+from pyspark.sql import functions as F
+
+from pyspark.sql import functions as F
 
 from wakeline.llm import near_dedup
 from wakeline.llm.components import components
-from wakeline.llm.exact_dedup import exact_duplicates
+from wakeline.llm.exact_dedup import digests, exact_duplicates, merged_runs, run_bits_of
 from wakeline.llm.near_dedup import least_matches, near_duplicates
 
 
@@ -146,3 +149,25 @@ def test_components_of_paths_stars_and_loops(llm_spark):
     found = dict(tuple(r) for r in components(llm_spark.createDataFrame(edges, "a long, b long")).collect())
     expected = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 130)}
     assert found == expected | {300: 300, 301: 300}
+
+
+def test_runs_are_sorted_and_merged_without_hashing_digests(make_docs):
+    """Each level sends runs by number, sorts them and folds the sorted rows."""
+    groups = merged_runs(
+        digests(make_docs([(1, "a"), (2, "a")]))
+        .withColumnRenamed("doc_id", "keep_id")
+        .withColumns({"run": F.pmod("keep_id", F.lit(64)), "group_size": F.lit(1).cast("long")})
+    )
+    plan = re.sub(r"#\d+L?", "", groups._jdf.queryExecution().executedPlan().toString())
+    assert plan.count("Exchange hashpartitioning(run, 64), REPARTITION_BY_NUM") == 4
+    assert plan.count("Exchange") == 4
+    assert plan.count("Sort [run ASC NULLS FIRST, digest ASC NULLS FIRST], false") == 4
+    assert "HashAggregate" not in plan
+    assert [(r.keep_id, r.group_size) for r in groups.collect()] == [(1, 2)]
+    assert [run_bits_of(n) for n in (0, 10**6, 10**9, 3 * 10**10)] == [6, 6, 10, 15]
+
+
+def test_rows_without_doc_id_come_after_all_others(make_docs):
+    rows = [(None, "x  y"), (9, "x y"), (None, "x y"), (None, None), (None, "")]
+    found = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_duplicates(make_docs(rows)).collect()}
+    assert found == {(9, 9, 3, True), (None, 9, 3, False), (None, None, 2, True)}

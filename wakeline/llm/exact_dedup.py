@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.tables import written
 
-# Runs at the start, as a power of two, and how many halvings one round does.
-RUN_BITS = 6
-ROUND_BITS = 2
+# There are 64 runs at least, as many more as keep a run at some two million rows, and they
+# meet in three rounds: of 2 ** 6 runs four at a time, of 2 ** 15 runs 32 at a time.
+LEAST_RUN_BITS = 6
+ROWS_PER_RUN = 1 << 20
+ROUNDS = 3
 
 
 def normalised(text: Column) -> Column:
@@ -29,46 +31,63 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def merged_runs(
-    runs: DataFrame, run_bits: int = RUN_BITS, round_bits: int = ROUND_BITS
-) -> DataFrame:
+def run_bits_of(rows: int) -> int:
+    """Bits of a run's number, so that a run of this many rows in all is a task's work."""
+    return max(LEAST_RUN_BITS, (rows // ROWS_PER_RUN).bit_length())
+
+
+def _merged(runs: DataFrame, n_runs: int) -> DataFrame:
+    """Send each run to its own partition, sort it there and fold neighbours of one digest.
+
+    The minimum of a pair cannot be kept in a hash table, so Spark folds the sorted
+    rows as they stream by (tests look at the plan).
+    """
+    smallest = F.min(F.struct(F.col("keep_id").isNull().alias("missing"), "keep_id"))
+    same = F.col("size") == F.col("largest")
+    wrong = F.raise_error(F.lit("equal digests of different texts")).cast("long")
+    return (
+        runs.repartition(n_runs, "run")
+        .groupBy("run", "digest")
+        .agg(
+            smallest.alias("smallest"),
+            F.sum("group_size").alias("group_size"),
+            F.min("size").alias("size"),
+            F.max("size").alias("largest"),
+        )
+        .select(
+            "run",
+            "digest",
+            F.col("smallest.keep_id").alias("keep_id"),
+            "group_size",
+            F.when(same, F.col("size")).otherwise(wrong).alias("size"),
+        )
+    )
+
+
+def merged_runs(runs: DataFrame, run_bits: int = LEAST_RUN_BITS) -> DataFrame:
     """Groups of equal digests: digest, keep_id, group_size.
 
     ``runs`` has a run number below 2 ** run_bits, digest, size, keep_id and
-    group_size. In each round a run meets the runs whose numbers differ from its own
-    in the next bits, and takes from them the digests that end in its bits: after all
-    rounds a run holds every entry of its digests. Equal digests fold to the smallest
-    identifier at each level, before and after the exchange, so a group has at most
-    one entry per run however many copies it has. Equal digests with texts of other
-    lengths end the job with an error.
+    group_size. First each run is sorted and folded. Then in each of the rounds a run
+    exchanges with the runs whose numbers differ from its own in the next bits: it takes
+    from them the digests that end in its bits, and gives them theirs. What arrives is
+    merged in order of digests. After all rounds a run holds every entry of its digests.
+    Equal digests fold to the smallest identifier at each level, so a group has at most
+    one entry per run however many copies it has, and digests of another length of text
+    end the job with an error.
     """
     tail = F.conv(F.right(F.hex("digest"), F.lit(8)), 16, 10).cast("long")
-    for low in range(0, run_bits, round_bits):
-        bits = min(round_bits, run_bits - low)
-        mask = ((1 << bits) - 1) << low
-        runs = (
-            runs.withColumn(
-                "run", F.col("run").bitwiseAND(~mask) + tail.bitwiseAND(F.lit(mask))
-            )
-            .groupBy("run", "digest")
-            .agg(
-                F.min("keep_id").alias("keep_id"),
-                F.sum("group_size").alias("group_size"),
-                F.min("size").alias("size"),
-                F.max("size").alias("largest"),
-            )
-            .withColumn(
-                "size",
-                F.when(F.col("size") == F.col("largest"), F.col("size")).otherwise(
-                    F.raise_error(F.lit("equal digests of different texts")).cast("long")
-                ),
-            )
-            .drop("largest")
-        )
+    n_runs = 1 << run_bits
+    runs = _merged(runs, n_runs)
+    step = -(-run_bits // ROUNDS)
+    for low in range(0, run_bits, step):
+        mask = ((1 << min(step, run_bits - low)) - 1) << low
+        number = F.col("run").bitwiseAND(~mask) + tail.bitwiseAND(F.lit(mask))
+        runs = _merged(runs.withColumn("run", number), n_runs)
     return runs
 
 
-def exact_duplicates(docs: DataFrame, run_bits: int = RUN_BITS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, run_bits: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of the documents with equal normalised text the one with the smallest doc_id
@@ -79,8 +98,10 @@ def exact_duplicates(docs: DataFrame, run_bits: int = RUN_BITS) -> DataFrame:
     not read.
     """
     rows = written(digests(docs), "digests")
+    run_bits = run_bits_of(rows.count()) if run_bits is None else run_bits
     members = rows.groupBy("doc_id", "digest", "size").agg(F.count("*").alias("group_size"))
-    number = F.pmod(F.xxhash64("doc_id"), F.lit(1 << run_bits))
+    # The hash of doc_id deals copies to all runs; rows without one go by their text.
+    number = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("digest"))), F.lit(1 << run_bits))
     runs = members.withColumn("run", number).withColumnRenamed("doc_id", "keep_id")
     groups = merged_runs(runs, run_bits).where(F.col("group_size") > 1)
     # Groups have no size bound, so they are merged, not broadcast; of a group with
