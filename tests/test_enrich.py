@@ -341,3 +341,33 @@ def test_names_that_latin_1_lacks_are_written_as_utf_8(spark, tmp_path):
     assert jobs.complete_register(spark, out, pages, "naam", f"{out}2", "UTF-8") == "UTF-8"
     again = {r.id: r for r in scan_register_text(spark, f"{out}2", "UTF-8").collect()}
     assert again["1"].name_scrape == "Gdańsk Łodz" and again["2"].naam == "Zeeëend"
+
+
+def test_names_that_share_little_meet_rarely(spark):
+    """Two or three letters in common are no reason to compare two names."""
+    rng = random.Random(5)
+    letters = "aeiourstnlmpdcgb"
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    left = sorted({f"{word(5)} {word(6)}" for _ in range(1500)})
+    near = [a[:3] + a[4:] for a in left[:40]] + [a + " ii" for a in left[40:80]] + [a[1:] + "x" for a in left[80:120]]
+    right = sorted({f"{word(5)} {word(6)}" for _ in range(1500)} | set(near))
+    frames = [spark.createDataFrame([(n,) for n in side], "name string") for side in (left, right)]
+    pairs = enrich.name_candidates(*frames).select("a", "b").collect()
+    assert len(pairs) == len(set(pairs)) < 0.005 * len(left) * len(right)
+    found = {tuple(r) for r in enrich.name_matches(*frames).collect()}
+    assert found >= {(a, b) for a, b in zip(left, near) if similar(a, b)}
+    assert len(found) >= 100 and all(similar(a, b) for a, b in found)
+
+
+@pytest.mark.parametrize("common", ["front", "end"])
+def test_names_with_a_common_end_are_cut_at_the_other(spark, monkeypatch, common):
+    monkeypatch.setattr(enrich, "FEW_NAMES", 0)
+    rng = random.Random(common)
+    def side():
+        own = {"".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 7))) for _ in range(150)}
+        return sorted(f"santa ana {n}" if common == "front" else f"{n} santa ana" for n in own)
+    left, right = side(), side()
+    frames = [spark.createDataFrame([(n,) for n in names], "name string") for names in (left, right)]
+    got = [tuple(r) for r in enrich.name_matches(*frames).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for a in left for b in right if similar(a, b)}
