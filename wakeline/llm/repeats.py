@@ -22,9 +22,10 @@ from wakeline.llm.tables import slices, utf8, written
 LENGTH = 100
 KEY_WIDTH = 32
 # Runs a task folds before they are shuffled, and strings of one rank it compares.
-FOLDED_RUNS = 1 << 20
+FOLDED_RUNS = 1 << 18
 COMPARED_STRINGS = 1 << 21
-_SLICE_BYTES = 1 << 20
+# An executor holds some twelve numbers of eight bytes for each byte, for each of its tasks.
+_SLICE_BYTES = 1 << 18
 
 _RUN = "rank long, content long, doc_id long, first long, size int, place int"
 _JUDGED = "kind int, rank long, doc_id long, first long, size int, place int"
