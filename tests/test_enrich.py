@@ -371,3 +371,50 @@ def test_names_with_a_common_end_are_cut_at_the_other(spark, monkeypatch, common
     got = [tuple(r) for r in enrich.name_matches(*frames).collect()]
     assert len(got) == len(set(got))
     assert set(got) == {(a, b) for a in left for b in right if similar(a, b)}
+
+
+def rounds_of_names(spark):
+    rng = random.Random(11)
+    left = {"".join(rng.choice("abcdefg") for _ in range(rng.choice([5, 11]))) for _ in range(90)}
+    near = {edited(rng, rng.choice(sorted(left)), "abcdefg") for _ in range(200)}
+    right = {n for n in near if len(n) in (5, 6, 11)}
+    links = links_frame(spark, [n.upper() for n in sorted(right)] + sorted(right)[:2])
+    rows = [(str(n), None, name, None, None, None) for n, name in enumerate([*sorted(left), "zzzzzzz", " ", None])]
+    return left, right, register_frame(spark, rows), links
+
+
+def disk_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_rounds_of_the_name_join_find_every_match_once(spark, monkeypatch):
+    """Keys that are too many for the disk come in rounds, which give their space back."""
+    monkeypatch.setattr(enrich, "FEW_NAMES", 0)
+    left, right, register, links = rounds_of_names(spark)
+    whole = sorted(map(str, enrich.fuzzy_register_match(register, links).collect()))
+    monkeypatch.setattr(enrich, "ROUND", 700)
+    assert len(enrich._candidate_rounds(register.where("trim(name) != ''"), links)) >= 3
+    got = [tuple(r) for r in enrich.name_matches(register.where("trim(name) != ''"), links).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for a in left for b in right if similar(a, b)}
+    files = disk_files(spark)
+    found = enrich.fuzzy_register_match(register, links)
+    for _ in range(50):
+        if disk_files(spark) <= files + 20:
+            break
+        time.sleep(0.2)
+    assert disk_files(spark) <= files + 20
+    assert found.columns == ["register_name", "page_id", "part", "pos", "name", "imo", "mmsi"]
+    assert sorted(map(str, found.collect())) == whole
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_a_large_meeting_is_divided_by_names():
+    meetings = [(12, 12, 8, 2, 2, 1, 6_000_000, 3_000_000), (12, 11, 8, 2, 1, 1, 1000, 1000)]
+    rounds = enrich._rounds(meetings, {(12, 12): 10**9})
+    assert rounds[0] == ([meetings[1]], (1, 0), (1, 0))
+    of = {(a, b) for some, a, b in rounds[1:] if some == meetings[:1]}
+    (parts_a,), (parts_b,) = ({x[n][0] for x in of} for n in (0, 1))
+    assert of == {((parts_a, i), (parts_b, j)) for i in range(parts_a) for j in range(parts_b)}
+    assert len(of) == len(rounds) - 1 > 1
+    assert enrich._rounds([], {}) == [([], (1, 0), (1, 0))]
