@@ -418,3 +418,26 @@ def test_a_large_meeting_is_divided_by_names():
     assert of == {((parts_a, i), (parts_b, j)) for i in range(parts_a) for j in range(parts_b)}
     assert len(of) == len(rounds) - 1 > 1
     assert enrich._rounds([], {}) == [([], (1, 0), (1, 0))]
+
+
+def test_match_lists_are_made_some_names_at_a_time(spark, monkeypatch):
+    """Lists of all names at once need the matches on disk several times over."""
+    monkeypatch.setattr(enrich, "LIST_PART", 3)
+    names = [f"{word} {word}" for word in ("anna", "boreas", "cornelis", "dolfijn", "eems", "friso")]
+    links = links_frame(spark, [n.upper() for n in names for _ in range(len(n))])
+    rows = [(n, None, n, None, None, None) for n in [*names, "nothing", None]]
+    matches = enrich.fuzzy_register_match(register_frame(spark, rows), links)
+    whole = sorted(map(tuple, enrich.match_lists(matches).collect()))
+    assert sum(r[2] for r in whole) == sum(map(len, names))
+    matches = enrich._stored(matches)
+    assert enrich._is_read(matches.where("page_id IS NOT NULL"))
+    monkeypatch.setattr(enrich, "LIST_ROUND", 20)
+    files = disk_files(spark)
+    lists = enrich.match_lists(matches)
+    for _ in range(50):
+        if disk_files(spark) <= files + 20:
+            break
+        time.sleep(0.2)
+    assert disk_files(spark) <= files + 20
+    assert sorted(map(tuple, lists.collect())) == whole
+    assert len({f.split("/")[-2] for f in lists.inputFiles()}) > 1
